@@ -87,12 +87,9 @@ def event_state(events: DataFrame, key: str, time: str, id_col: str, type_col: s
         F.min(F.when(is_dec & (word == "Granted"), t)).alias("first_granted_ts"),
         F.max(F.when(is_res, t)).alias("latest_resubmit_ts"),
     )
-    status = (F.when(F.col("latest_submit_ts") > F.coalesce(F.col("latest_decision_ts"),
-                                                            F.lit(None).cast("timestamp_ntz")), F.lit("Pending"))
-              .when(F.col("latest_decision_ts").isNull(), F.lit("Pending"))
-              .when(F.col("latest_submit_ts").isNull() | (F.col("latest_submit_ts") <= F.col("latest_decision_ts")),
-                    F.col("latest_decision"))
-              .otherwise(F.lit("Pending")))
+    status = (F.when(F.col("latest_decision_ts").isNull(), F.lit("Pending"))
+              .when(F.col("latest_submit_ts") > F.col("latest_decision_ts"), F.lit("Pending"))
+              .otherwise(F.col("latest_decision")))
     resub = (F.when(F.col("latest_resubmit_ts").isNull(), F.lit(None).cast("string"))
              .when(F.col("latest_decision_ts") >= F.col("latest_resubmit_ts"), F.col("latest_decision"))
              .otherwise(F.lit("Pending")))
@@ -113,7 +110,8 @@ def file_decision_status(files: DataFrame, submission: str, decision: Column, de
     f = files.withColumn("__dec", decision).withColumn("__cancel", cancel)
     sub = f.groupBy(submission).agg(
         F.max(F.col("__cancel").cast("int")).alias("__sub_cancel"),
-        F.max_by(F.col("__dec"), F.when(F.col("__dec").isNotNull(), F.col(decided_at))).alias("__sub_dec"))
+        F.max_by(F.col("__dec"), F.when(F.col("__dec").isNotNull(),
+                                        F.struct(F.col(decided_at), F.col("__dec")))).alias("__sub_dec"))
     f = f.join(sub, submission, "left")
     eff = F.coalesce(F.col("__dec"), F.col("__sub_dec"))
     named = F.when((eff == "Accepted") & (year >= rename_from_year), F.lit("Granted")) \
@@ -204,4 +202,5 @@ def upload_bundle(files: DataFrame, members: DataFrame, key: str, set_id: str,
         aggs.append(F.round(F.sum(F.when(F.col(member_type) == t, F.col(measure))), 2).alias(f"sum_{t}"))
     aggs.append(F.array_join(F.array_sort(F.collect_set(member_type)), ",").alias("member_types"))
     bundled = m.groupBy(key, set_id).agg(*aggs)
-    return latest.join(bundled, [key, set_id], "left")
+    out = latest.join(bundled, [key, set_id], "left")
+    return out.fillna(0, subset=[f"n_{t}" for t in types])
