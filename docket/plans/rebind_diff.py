@@ -86,14 +86,17 @@ def q_diff_breakdowns(spark, sf):
                              kind="percentage", upper=10.0, lower=-10.0)
 
 
-_TIER = (F.when(F.col("spend") < 300000, F.lit("small")).when(F.col("spend") < 800000, F.lit("medium"))
-         .otherwise(F.lit("large")))
+def _tier():
+    return (F.when(F.col("spend") < 300000, F.lit("small")).when(F.col("spend") < 800000, F.lit("medium"))
+            .otherwise(F.lit("large")))
+
+
 TIER_SQL = "CASE WHEN spend < 300000 THEN 'small' WHEN spend < 800000 THEN 'medium' ELSE 'large' END"
 
 
 def _tiers(spark, sf, year):
     return (_year_orders(spark, sf, year).groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spend"))
-            .withColumn("tier", _TIER))
+            .withColumn("tier", _tier()))
 
 
 @register("membership_change", f"""

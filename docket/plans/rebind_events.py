@@ -161,7 +161,8 @@ def deadline_calendar(spark, first_year: int, last_year: int, large_from: int):
     return spark.createDataFrame(rows, schema)
 
 
-ORDER_SIZE = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("large")).otherwise(F.lit("small"))
+def order_size():
+    return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("large")).otherwise(F.lit("small"))
 ORDER_SIZE_SQL = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'large' ELSE 'small' END"
 CALENDAR_SQL = """
 SELECT 'small' AS size, y AS year, make_date(y, 4, 2) AS deadline FROM range(1995, 2002) t(y)
@@ -179,7 +180,7 @@ FROM f LEFT JOIN cal ON f.size = cal.size AND f.year = cal.year
 """)
 def q_deadline_flags(spark, sf):
     o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_orderpriority"])
-    out = E.deadline_flags(o, ["o_custkey"], "o_orderdate", ORDER_SIZE, deadline_calendar(spark, 1995, 2001, 1998))
+    out = E.deadline_flags(o, ["o_custkey"], "o_orderdate", order_size(), deadline_calendar(spark, 1995, 2001, 1998))
     return out.select("o_custkey", "size", "year", "first_submission", "deadline", "is_late")
 
 

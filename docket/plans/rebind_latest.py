@@ -108,12 +108,13 @@ def q_source_preference_latest(spark, sf):
                                       [F.col("event_ts").desc(), F.col("ref").desc()])
 
 
-_PERIOD_LABEL = (
-    F.when(F.col("o_orderstatus") == "O",
-           F.concat(F.when(F.month("o_orderdate") <= 6, F.lit("Jan to Jun ")).otherwise(F.lit("Jul to Dec ")),
-                    F.date_format("o_orderdate", "yy")))
-    .otherwise(F.concat(F.when(F.month("o_orderdate") <= 6, F.lit("January to June "))
-                        .otherwise(F.lit("July to December ")), F.date_format("o_orderdate", "yyyy"))))
+def _period_label():
+    half = F.month("o_orderdate") <= 6
+    short = F.concat(F.when(half, F.lit("Jan to Jun ")).otherwise(F.lit("Jul to Dec ")),
+                     F.date_format("o_orderdate", "yy"))
+    full = F.concat(F.when(half, F.lit("January to June ")).otherwise(F.lit("July to December ")),
+                    F.date_format("o_orderdate", "yyyy"))
+    return F.when(F.col("o_orderstatus") == "O", short).otherwise(full)
 
 
 @register("normalise_period", r"""
@@ -146,7 +147,7 @@ FROM c LEFT JOIN d ON c.canonical_period = d.canonical_period
 """)
 def q_normalise_period(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderdate"])
-    o = o.withColumn("period_label", _PERIOD_LABEL)
+    o = o.withColumn("period_label", _period_label())
     dim = period_dimension(spark, 1995, 2001)
     out = normalise_period(o, "period_label", dim,
                            shift=F.when(F.col("o_orderstatus") == "F", 1).otherwise(0))
