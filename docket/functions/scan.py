@@ -42,66 +42,66 @@ class KeyedScan:
     def _across(self, lo, hi):
         return Window.partitionBy(*self.keys).orderBy(self.bucket_col).rowsBetween(lo, hi)
 
-    def _all_buckets(self, df: DataFrame) -> DataFrame:
-        return df.select(*self.keys, self.bucket_col).distinct()
-
     # -- operations --------------------------------------------------------
-    def last_before(self, df: DataFrame, source: Column, value: Column, out: str,
-                    inclusive: bool = False) -> DataFrame:
-        """``out`` = ``value`` of the most recent earlier row (within key) where ``source``.
-
-        ``inclusive`` lets a row see itself. Rows order by ``self.order``.
+    def run(self, df: DataFrame, counts: dict | None = None, lasts: dict | None = None,
+            firsts: dict | None = None, inclusive: bool = False) -> DataFrame:
+        """All scan outputs of one keyed log in one pass.
+
+        ``counts``: name -> condition: number of earlier rows meeting it.
+        ``lasts``: name -> (condition, value): value of the latest earlier row meeting it.
+        ``firsts``: name -> (condition, value): value of the earliest later row meeting it.
+        ``inclusive`` lets a row see itself. One window over (key, bucket), one
+        per-bucket summary on the same partitioning, one small carry window per
+        key over buckets and one join back.
         """
-        hi = Window.currentRow if inclusive else -1
-        tmp = f"__loc_{out}"
-        value = F.struct(value.alias("v"))
-        df = df.withColumn(tmp, F.last(F.when(source, value), ignorenulls=True)
-                           .over(self._in_bucket(Window.unboundedPreceding, hi)))
+        counts, lasts, firsts = counts or {}, lasts or {}, firsts or {}
+        if self.bucket_col not in df.columns:
+            df = self.prepare(df)
+        before = self._in_bucket(Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+        after = self._in_bucket(Window.currentRow if inclusive else 1, Window.unboundedFollowing)
         order_struct = F.struct(*[F.col(c) for c in self.order])
-        summ = (df.filter(source).groupBy(*self.keys, self.bucket_col)
-                .agg(F.max_by(value, order_struct).alias("__blast")))
-        carry = (self._all_buckets(df).join(summ, [*self.keys, self.bucket_col], "left")
-                 .withColumn(f"__carry_{out}", F.last("__blast", ignorenulls=True)
-                             .over(self._across(Window.unboundedPreceding, -1)))
-                 .drop("__blast"))
-        df = df.join(carry, [*self.keys, self.bucket_col], "left")
-        return df.withColumn(out, F.coalesce(F.col(tmp), F.col(f"__carry_{out}")).getField("v")) \
-                 .drop(tmp, f"__carry_{out}")
+        loc, summ, carry, finals = [], [], [], []
+        across_before = self._across(Window.unboundedPreceding, -1)
+        across_after = self._across(1, Window.unboundedFollowing)
+        for n, cond in counts.items():
+            flag = F.when(cond, 1).otherwise(0)
+            loc.append(F.coalesce(F.sum(flag).over(before), F.lit(0)).alias(f"__l_{n}"))
+            summ.append(F.sum(flag).alias(f"__s_{n}"))
+            carry.append(F.coalesce(F.sum(f"__s_{n}").over(across_before), F.lit(0)).alias(f"__c_{n}"))
+            finals.append((F.col(f"__l_{n}") + F.col(f"__c_{n}")).cast("long").alias(n))
+        for n, (cond, value) in lasts.items():
+            v = F.struct(value.alias("v"))
+            loc.append(F.last(F.when(cond, v), ignorenulls=True).over(before).alias(f"__l_{n}"))
+            summ.append(F.max_by(v, F.when(cond, order_struct)).alias(f"__s_{n}"))
+            carry.append(F.last(f"__s_{n}", ignorenulls=True).over(across_before).alias(f"__c_{n}"))
+            finals.append(F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")).getField("v").alias(n))
+        for n, (cond, value) in firsts.items():
+            v = F.struct(value.alias("v"))
+            loc.append(F.first(F.when(cond, v), ignorenulls=True).over(after).alias(f"__l_{n}"))
+            summ.append(F.min_by(v, F.when(cond, order_struct)).alias(f"__s_{n}"))
+            carry.append(F.first(f"__s_{n}", ignorenulls=True).over(across_after).alias(f"__c_{n}"))
+            finals.append(F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")).getField("v").alias(n))
+        kb = [*self.keys, self.bucket_col]
+        x = df.select("*", *loc)
+        s = x.groupBy(*kb).agg(*summ)
+        c = s.select(*kb, *carry)
+        out = x.join(c, kb, "left")
+        tmp = [f"__l_{n}" for n in [*counts, *lasts, *firsts]] + [f"__c_{n}" for n in [*counts, *lasts, *firsts]]
+        return out.select(*[F.col(k) for k in df.columns], *finals).drop(*[t for t in tmp if t in out.columns])
+
+    def last_before(self, df: DataFrame, source: Column, value: Column, out: str,
+                    inclusive: bool = False) -> DataFrame:
+        """``out`` = ``value`` of the most recent earlier row (within key) where ``source``."""
+        return self.run(df, lasts={out: (source, value)}, inclusive=inclusive)
 
     def first_after(self, df: DataFrame, source: Column, value: Column, out: str,
                     inclusive: bool = False) -> DataFrame:
         """``out`` = ``value`` of the earliest later row (within key) where ``source``."""
-        lo = Window.currentRow if inclusive else 1
-        tmp = f"__loc_{out}"
-        value = F.struct(value.alias("v"))
-        df = df.withColumn(tmp, F.first(F.when(source, value), ignorenulls=True)
-                           .over(self._in_bucket(lo, Window.unboundedFollowing)))
-        order_struct = F.struct(*[F.col(c) for c in self.order])
-        summ = (df.filter(source).groupBy(*self.keys, self.bucket_col)
-                .agg(F.min_by(value, order_struct).alias("__bfirst")))
-        carry = (self._all_buckets(df).join(summ, [*self.keys, self.bucket_col], "left")
-                 .withColumn(f"__carry_{out}", F.first("__bfirst", ignorenulls=True)
-                             .over(self._across(1, Window.unboundedFollowing)))
-                 .drop("__bfirst"))
-        df = df.join(carry, [*self.keys, self.bucket_col], "left")
-        return df.withColumn(out, F.coalesce(F.col(tmp), F.col(f"__carry_{out}")).getField("v")) \
-                 .drop(tmp, f"__carry_{out}")
-
-    def count_before(self, df: DataFrame, cond: Column, out: str,
-                     inclusive: bool = False) -> DataFrame:
+        return self.run(df, firsts={out: (source, value)}, inclusive=inclusive)
+
+    def count_before(self, df: DataFrame, cond: Column, out: str, inclusive: bool = False) -> DataFrame:
         """``out`` = number of earlier rows (within key) satisfying ``cond``."""
-        hi = Window.currentRow if inclusive else -1
-        flag = F.when(cond, 1).otherwise(0)
-        tmp = f"__loc_{out}"
-        df = df.withColumn(tmp, F.coalesce(F.sum(flag).over(
-            self._in_bucket(Window.unboundedPreceding, hi)), F.lit(0)))
-        summ = df.groupBy(*self.keys, self.bucket_col).agg(F.sum(flag).alias("__bcnt"))
-        carry = summ.withColumn(f"__carry_{out}", F.coalesce(
-            F.sum("__bcnt").over(self._across(Window.unboundedPreceding, -1)), F.lit(0))) \
-            .drop("__bcnt")
-        df = df.join(carry, [*self.keys, self.bucket_col], "left")
-        return df.withColumn(out, (F.col(tmp) + F.col(f"__carry_{out}")).cast("long")) \
-                 .drop(tmp, f"__carry_{out}")
+        return self.run(df, counts={out: cond}, inclusive=inclusive)
 
     def next_value(self, df: DataFrame, value: Column, out: str) -> DataFrame:
         """``out`` = ``value`` of the next row within key (NULL for the last row): LEAD."""

@@ -27,3 +27,13 @@ def parse_event_time(col, mode: str = "millis") -> Column:
         # instant -> its UTC wall time, independent of the session time zone
         return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
     raise ValueError(mode)
+
+
+def in_years(col, first: int, last: int | None = None) -> Column:
+    """``first <= year(col) <= last`` written as a range on the raw column, so
+    Parquet min/max statistics can skip row groups (``year(col) = y`` cannot)."""
+    last = first if last is None else last
+    c = _c(col)
+    lo = F.lit(f"{first:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    hi = F.lit(f"{last + 1:04d}-01-01 00:00:00").cast("timestamp_ntz")
+    return (c >= lo) & (c < hi)

@@ -135,12 +135,7 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
     Replaces correlated TOP 1 / COUNT subqueries with a bucketed keyed scan.
     """
     scan = KeyedScan(list(keys), list(order), bucket)
-    x = scan.prepare(df)
-    for name, cond in counts.items():
-        x = scan.count_before(x, cond, name)
-    for name, (cond, value) in lasts.items():
-        x = scan.last_before(x, cond, value, name)
-    x = scan.finish(x)
+    x = scan.finish(scan.run(scan.prepare(df), counts=counts, lasts=lasts))
     if pending is not None:
         nv = newest if newest is not None else F.struct(*_cols(order))
         x = x.withColumn("__nv", nv)

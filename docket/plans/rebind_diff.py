@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docket.operators import diff as D
 from docket.operators.latest import latest_per_key
+from docket.functions.times import in_years
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -13,7 +14,7 @@ from docket.sources import read_table
 def _year_orders(spark, sf, year):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus",
                                          "o_totalprice", "o_orderdate"])
-    return o.filter(F.year("o_orderdate") == year)
+    return o.filter(in_years("o_orderdate", year))
 
 
 def _diff_97_98(spark, sf):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docket.operators import gaps as G
+from docket.functions.times import in_years
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -22,7 +23,7 @@ FROM x
 def q_expected_grid(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey"])
     o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate"]) \
-        .filter(F.year("o_orderdate") == 1998) \
+        .filter(in_years("o_orderdate", 1998)) \
         .select(F.col("o_custkey").alias("c_custkey"), F.quarter("o_orderdate").alias("quarter"))
     return G.expected_grid(c, "c_custkey", [1, 2, 3, 4], "quarter", o)
 
@@ -34,7 +35,7 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND yea
 def q_unmatched(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
     o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate"])
-    o98 = o.filter(F.year("o_orderdate") == 1998).select(F.col("o_custkey").alias("c_custkey"))
+    o98 = o.filter(in_years("o_orderdate", 1998)).select(F.col("o_custkey").alias("c_custkey"))
     return G.unmatched(c, o98, ["c_custkey"])
 
 
@@ -76,8 +77,8 @@ SELECT DISTINCT * FROM (
 def q_error_report(spark, sf):
     o_all = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
     l_all = read_table(spark, sf, "lineitem", ["l_orderkey", "l_shipdate", "l_extendedprice"])
-    o = o_all.filter(F.year("o_orderdate") == 1998)
-    li = l_all.filter(F.year("l_shipdate") == 1998)
+    o = o_all.filter(in_years("o_orderdate", 1998))
+    li = l_all.filter(in_years("l_shipdate", 1998))
     lo = li.join(o_all.select("o_orderkey", "o_custkey"), li.l_orderkey == o_all.o_orderkey)
     oq = o.select("o_custkey", F.quarter("o_orderdate").alias("q")).distinct()
     lq = lo.select("o_custkey", F.quarter("l_shipdate").alias("q")).distinct()

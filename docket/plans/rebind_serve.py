@@ -152,10 +152,8 @@ def q_summary_view(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_returnflag"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
     scan = KeyedScan(["o_custkey"], ["o_orderdate", "o_orderkey"], day_bucket("o_orderdate", 90))
-    p = scan.prepare(o)
-    p = scan.count_before(p, F.lit(True), "n_prior_orders")
-    p = scan.count_before(p, F.col("o_orderstatus") == "P", "n_prior_p")
-    p = scan.finish(p)
+    p = scan.finish(scan.run(scan.prepare(o), counts={"n_prior_orders": F.lit(True),
+                                                      "n_prior_p": F.col("o_orderstatus") == "P"}))
     flags = concat_labels(li, ["l_orderkey"], "l_returnflag", "flags")
     n = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     ls = n.join(flags, "l_orderkey")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from docket.operators import shape as S
 from docket.operators.measures import weight_pivots
+from docket.functions.times import in_years
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -189,7 +190,7 @@ LEFT JOIN pm ON pm.l_orderkey = fl.latest_file
 def q_extract_recent(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey"])
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"]) \
-        .filter(F.year("o_orderdate") == 1998) \
+        .filter(in_years("o_orderdate", 1998)) \
         .select(F.col("o_custkey").alias("c_custkey"), F.quarter("o_orderdate").alias("quarter"),
                 "o_orderkey", "o_orderdate", "o_orderstatus")
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_returnflag", "l_quantity"])
