@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.functions.scan import KeyedScan
+from docket.functions.scan import KeyedScan, day_bucket
 
 
 def _cols(xs):
@@ -102,3 +102,65 @@ def source_preference_latest(sources: Sequence[tuple[DataFrame, int]], keys: Seq
         d = df.withColumn("source_rank", F.lit(rank))
         tagged = d if tagged is None else tagged.unionByName(d)
     return latest_per_key(tagged, keys, [F.col("source_rank").asc(), *order])
+
+
+# Regulator statuses folded into the ACCEPTED class.
+ACCEPTED_STATUSES = ["GRANTED", "REFUSED", "CANCELLED", "APPROVED"]
+
+
+def submission_first_latest(df: DataFrame, keys: Sequence[str], time: str, file_col: str, status: str,
+                            resub: Column, payload: Sequence[str] = (), bucket_days: int = 30) -> DataFrame:
+    """First and latest submission per key under the full status-class rules (O-15, S5).
+
+    1. class: raw = upper(trim(status)), missing -> PENDING; QUERIED -> PENDING;
+       GRANTED/REFUSED/CANCELLED/APPROVED -> ACCEPTED; other values stay.
+    2. among non-resubmission PENDING/ACCEPTED rows: if a key's newest such row
+       is not QUERIED, all its QUERIED rows are dropped;
+    3. a QUERIED row followed (in time) by a QUERIED row of another file is
+       dropped (consecutive queries collapse to the last);
+    4. first = earliest remaining pending/accepted row, else the latest
+       rejected non-resubmission;
+    5. latest = newest of: last remaining pending/accepted row, last rejected
+       resubmission when the key has no pending/accepted resubmission, last
+       pending/accepted resubmission.
+    Ties on time are broken by file. One aggregate + join for rule 2, a
+    bucketed keyed scan for rule 3, one aggregation for rules 4-5.
+    """
+    raw = F.upper(F.trim(F.coalesce(F.col(status), F.lit("PENDING"))))
+    cls = (F.when(raw == "QUERIED", F.lit("PENDING")).when(raw.isin(ACCEPTED_STATUSES), F.lit("ACCEPTED"))
+           .otherwise(raw))
+    x = (df.withColumn("__raw", raw).withColumn("__cls", cls)
+           .withColumn("__resub", F.coalesce(resub, F.lit(False))))
+    is_pa = F.col("__cls").isin("PENDING", "ACCEPTED")
+    pa = x.filter(is_pa & ~F.col("__resub"))
+    newest = pa.groupBy(*keys).agg(F.max_by("__raw", F.struct(time, file_col)).alias("__newest"))
+    pa = (pa.join(newest, list(keys), "left")
+            .filter((F.col("__raw") != "QUERIED") | (F.col("__newest") == "QUERIED")).drop("__newest"))
+    scan = KeyedScan(list(keys), [time, file_col], day_bucket(time, bucket_days))
+    pa = scan.finish(scan.run(scan.prepare(pa), firsts={
+        "__next": (F.lit(True), F.struct(F.col("__raw").alias("raw"), F.col(file_col).alias("f")))}))
+    collapse = ((F.col("__raw") == "QUERIED") & (F.col("__next.raw") == "QUERIED")
+                & ~F.col("__next.f").eqNullSafe(F.col(file_col)))
+    pa = pa.filter(~F.coalesce(collapse, F.lit(False))).drop("__next")
+    rest = x.filter(~(is_pa & ~F.col("__resub")))
+    kind_rest = (F.when((F.col("__cls") == "REJECTED") & ~F.col("__resub"), F.lit("rej"))
+                 .when((F.col("__cls") == "REJECTED") & F.col("__resub"), F.lit("rej_r"))
+                 .when(is_pa & F.col("__resub"), F.lit("pa_r")))
+    u = pa.withColumn("__kind", F.lit("pa")).unionByName(rest.withColumn("__kind", kind_rest))
+    rec = F.struct(F.col(time).alias("t"), F.col(file_col).alias("f"), F.col("__raw").alias("s"),
+                   *[F.col(c) for c in payload])
+    k = F.col("__kind")
+    agg = u.groupBy(*keys).agg(
+        F.min(F.when(k == "pa", rec)).alias("__first_pa"), F.max(F.when(k == "pa", rec)).alias("__last_pa"),
+        F.max(F.when(k == "rej", rec)).alias("__last_rej"), F.max(F.when(k == "rej_r", rec)).alias("__last_rej_r"),
+        F.max(F.when(k == "pa_r", rec)).alias("__last_pa_r"))
+    first = F.coalesce(F.col("__first_pa"), F.col("__last_rej"))
+    latest = F.greatest(F.col("__last_pa"), F.when(F.col("__last_pa_r").isNull(), F.col("__last_rej_r")),
+                        F.col("__last_pa_r"))
+    out = agg.select(*keys, first.alias("__first"), latest.alias("__latest"))
+    cols = [*keys]
+    for side in ("first", "latest"):
+        cols += [F.col(f"__{side}.t").alias(f"{side}_time"), F.col(f"__{side}.f").alias(f"{side}_file"),
+                 F.col(f"__{side}.s").alias(f"{side}_status"),
+                 *[F.col(f"__{side}.{c}").alias(f"{side}_{c}") for c in payload]]
+    return out.select(*cols)

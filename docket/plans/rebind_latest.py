@@ -182,3 +182,56 @@ def q_scrub_placeholders(spark, sf):
     part = F.split_part(F.col("o_orderpriority"), F.lit("-"), F.lit(2))
     return o.select("o_orderkey", scrub_placeholders(part, DEFAULT_PLACEHOLDERS + ["NOT SPECIFIED"])
                     .alias("priority_clean"))
+
+
+def _raw_status():
+    return (F.when(F.col("o_orderstatus") == "F", F.lit("Granted"))
+            .when((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "3-MEDIUM"), F.lit(" queried "))
+            .when(F.col("o_orderstatus") == "O", F.lit(None).cast("string"))
+            .otherwise(F.lit("Rejected")))
+
+
+@register("submission_first_latest", """
+WITH x AS (
+  SELECT o_custkey, year(o_orderdate) AS year, o_orderdate AS t, o_orderkey AS f,
+         upper(trim(COALESCE(CASE WHEN o_orderstatus = 'F' THEN 'Granted'
+                                  WHEN o_orderstatus = 'O' AND o_orderpriority = '3-MEDIUM' THEN ' queried '
+                                  WHEN o_orderstatus = 'O' THEN NULL ELSE 'Rejected' END, 'PENDING'))) AS s,
+         o_orderpriority = '1-URGENT' AS resub
+  FROM orders),
+c AS (SELECT *, CASE WHEN s = 'QUERIED' THEN 'PENDING' WHEN s IN ('GRANTED', 'REFUSED', 'CANCELLED', 'APPROVED')
+                     THEN 'ACCEPTED' ELSE s END AS cls FROM x),
+pa0 AS (SELECT * FROM c WHERE cls IN ('PENDING', 'ACCEPTED') AND NOT resub),
+nw AS (SELECT o_custkey, year, s AS newest FROM (
+         SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY t DESC, f DESC) rn FROM pa0) WHERE rn = 1),
+pa1 AS (SELECT pa0.* FROM pa0 JOIN nw USING (o_custkey, year) WHERE pa0.s <> 'QUERIED' OR nw.newest = 'QUERIED'),
+pa2 AS (SELECT *, lead(s) OVER w AS ns, lead(f) OVER w AS nf FROM pa1
+        WINDOW w AS (PARTITION BY o_custkey, year ORDER BY t, f)),
+pa AS (SELECT * FROM pa2 WHERE NOT (s = 'QUERIED' AND COALESCE(ns = 'QUERIED' AND nf <> f, false))),
+rej AS (SELECT * FROM c WHERE cls = 'REJECTED' AND NOT resub),
+rej_r AS (SELECT * FROM c WHERE cls = 'REJECTED' AND resub),
+pa_r AS (SELECT * FROM c WHERE cls IN ('PENDING', 'ACCEPTED') AND resub),
+keys AS (SELECT DISTINCT o_custkey, year FROM c),
+firsts AS (
+  SELECT k.o_custkey, k.year,
+         COALESCE((SELECT min((t, f, s)) FROM pa WHERE pa.o_custkey = k.o_custkey AND pa.year = k.year),
+                  (SELECT max((t, f, s)) FROM rej WHERE rej.o_custkey = k.o_custkey AND rej.year = k.year)) AS fr
+  FROM keys k),
+cands AS (
+  SELECT o_custkey, year, t, f, s FROM pa
+  UNION ALL SELECT r.o_custkey, r.year, r.t, r.f, r.s FROM rej_r r
+    WHERE NOT EXISTS (SELECT 1 FROM pa_r p WHERE p.o_custkey = r.o_custkey AND p.year = r.year)
+  UNION ALL SELECT o_custkey, year, t, f, s FROM pa_r),
+lat AS (SELECT o_custkey, year, t, f, s FROM (
+          SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY t DESC, f DESC) rn FROM cands) WHERE rn = 1)
+SELECT k.o_custkey, k.year, k.fr[1] AS first_time, k.fr[2] AS first_file, k.fr[3] AS first_status,
+       lat.t AS latest_time, lat.f AS latest_file, lat.s AS latest_status
+FROM firsts k LEFT JOIN lat ON lat.o_custkey = k.o_custkey AND lat.year = k.year
+""")
+def q_submission_first_latest(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
+    o = o.withColumn("year", F.year("o_orderdate")).withColumn("raw_status", _raw_status())
+    return L.submission_first_latest(o, ["o_custkey", "year"], "o_orderdate", "o_orderkey", "raw_status",
+                                     F.col("o_orderpriority") == "1-URGENT").select(
+            "o_custkey", "year", "first_time", "first_file", "first_status", "latest_time", "latest_file",
+            "latest_status")

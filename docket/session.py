@@ -58,7 +58,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = checkpoint_dir(spark).rstrip("/")
+    base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "docket", *parts])
 
 

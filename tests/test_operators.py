@@ -134,3 +134,22 @@ def test_latest_with_fallback_accepted_nulls_win(spark):
                                "k long, acc boolean, ts timestamp_ntz, v string")
     got = {r.k: (r.v, r.source) for r in latest_with_fallback(df, ["k"], F.col("acc"), ["ts"], ["v"]).collect()}
     assert got == {1: (None, "accepted"), 2: ("x", "submitted")}
+
+
+def test_submission_first_latest_rules(spark):
+    from docket.operators.latest import submission_first_latest
+    rows = [
+        ("A", t(1), 1, "Pending", False), ("A", t(2), 2, "Queried", False), ("A", t(3), 3, "Granted", False),
+        ("B", t(1), 1, "QUERIED", False), ("B", t(2), 2, "queried ", False),
+        ("C", t(1), 1, "Rejected", False), ("C", t(2), 2, "REJECTED", False),
+        ("D", t(1), 1, None, False), ("D", t(2), 2, "Rejected", True),
+        ("E", t(1), 1, "Pending", False), ("E", t(3), 3, "Rejected", True), ("E", t(2), 2, "Approved", True),
+    ]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, f long, s string, r boolean")
+    got = {x.k: (x.first_file, x.first_status, x.latest_file, x.latest_status)
+           for x in submission_first_latest(df, ["k"], "ts", "f", "s", F.col("r")).collect()}
+    assert got["A"] == (1, "PENDING", 3, "GRANTED")       # stale query dropped
+    assert got["B"] == (2, "QUERIED", 2, "QUERIED")       # consecutive queries collapse to the last
+    assert got["C"] == (2, "REJECTED", None, None)        # first falls back to the latest rejection
+    assert got["D"] == (1, "PENDING", 2, "REJECTED")      # rejected resubmission counts when no other resub
+    assert got["E"] == (1, "PENDING", 2, "APPROVED")      # ...but not when a pending/accepted resub exists
