@@ -103,8 +103,8 @@ def q_file_decision_status(spark, sf):
 @register("prior_stats", """
 SELECT event_id, user_id, event_type, n_prior_decisions, n_prior_accepted, last_rejection_value FROM (
   SELECT event_id, user_id, event_type, ts,
-         COALESCE(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w, 0) AS n_prior_decisions,
-         COALESCE(sum(CASE WHEN event_type = 'error' AND value >= 25 THEN 1 ELSE 0 END) OVER w, 0) AS n_prior_accepted,
+         CAST(COALESCE(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER w, 0) AS BIGINT) AS n_prior_decisions,
+         CAST(COALESCE(sum(CASE WHEN event_type = 'error' AND value >= 25 THEN 1 ELSE 0 END) OVER w, 0) AS BIGINT) AS n_prior_accepted,
          last_value(CASE WHEN event_type = 'error' AND value < 25 THEN value END IGNORE NULLS) OVER w AS last_rejection_value,
          max(ts) OVER (PARTITION BY user_id) AS mx
   FROM events
@@ -172,7 +172,7 @@ SELECT 'large', y, CASE WHEN y >= 1998 THEN make_date(y - 1, 10, 2) ELSE make_da
 
 
 @register("deadline_flags", f"""
-WITH f AS (SELECT o_custkey, {ORDER_SIZE_SQL} AS size, year(o_orderdate) AS year, min(o_orderdate) AS first_submission
+WITH f AS (SELECT o_custkey, {ORDER_SIZE_SQL} AS size, CAST(year(o_orderdate) AS INTEGER) AS year, min(o_orderdate) AS first_submission
            FROM orders GROUP BY ALL),
 cal AS ({CALENDAR_SQL})
 SELECT f.o_custkey, f.size, f.year, f.first_submission, cal.deadline, f.first_submission >= cal.deadline AS is_late

@@ -12,11 +12,11 @@ from docket.sources import read_table
 
 @register("expected_grid", """
 WITH g AS (SELECT c_custkey, q AS quarter FROM (SELECT DISTINCT c_custkey FROM customer), range(1, 5) t(q)),
-f AS (SELECT o_custkey, quarter(o_orderdate) AS quarter, count(*) AS n FROM orders
+f AS (SELECT o_custkey, CAST(quarter(o_orderdate) AS INTEGER) AS quarter, count(*) AS n FROM orders
       WHERE year(o_orderdate) = 1998 GROUP BY ALL),
 x AS (SELECT g.c_custkey, CAST(g.quarter AS INTEGER) AS quarter, COALESCE(f.n, 0) AS n_facts, COALESCE(f.n, 0) > 0 AS present
       FROM g LEFT JOIN f ON f.o_custkey = g.c_custkey AND f.quarter = g.quarter)
-SELECT *, sum(CAST(present AS INTEGER)) OVER (PARTITION BY c_custkey) AS n_present,
+SELECT *, CAST(sum(CAST(present AS INTEGER)) OVER (PARTITION BY c_custkey) AS BIGINT) AS n_present,
        sum(CASE WHEN present THEN 1 ELSE 0 END) OVER (PARTITION BY c_custkey) = 4 AS all_present
 FROM x
 """)

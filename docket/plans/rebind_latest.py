@@ -86,10 +86,10 @@ def q_collapse_repeats(spark, sf):
 
 
 @register("source_preference_latest", """
-WITH a AS (SELECT o.o_custkey, year(l.l_shipdate) AS yr, 'lineitem' AS src, l.l_shipdate AS event_ts,
+WITH a AS (SELECT o.o_custkey, CAST(year(l.l_shipdate) AS INTEGER) AS yr, 'lineitem' AS src, l.l_shipdate AS event_ts,
                   l.l_orderkey AS ref, 1 AS source_rank
            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-b AS (SELECT o_custkey, year(o_orderdate) AS yr, 'orders' AS src, o_orderdate AS event_ts, o_orderkey AS ref,
+b AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, 'orders' AS src, o_orderdate AS event_ts, o_orderkey AS ref,
              2 AS source_rank FROM orders),
 u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
 SELECT o_custkey, yr, src, event_ts, ref, source_rank FROM (
@@ -193,7 +193,7 @@ def _raw_status():
 
 @register("submission_first_latest", """
 WITH x AS (
-  SELECT o_custkey, year(o_orderdate) AS year, o_orderdate AS t, o_orderkey AS f,
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, o_orderdate AS t, o_orderkey AS f,
          upper(trim(COALESCE(CASE WHEN o_orderstatus = 'F' THEN 'Granted'
                                   WHEN o_orderstatus = 'O' AND o_orderpriority = '3-MEDIUM' THEN ' queried '
                                   WHEN o_orderstatus = 'O' THEN NULL ELSE 'Rejected' END, 'PENDING'))) AS s,

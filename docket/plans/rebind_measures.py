@@ -31,7 +31,7 @@ def q_json_payload(spark, sf):
 
 
 @register("complete_period_weights", """
-WITH f AS (SELECT o_custkey, year(o_orderdate) AS year, quarter(o_orderdate) AS quarter, o_orderkey, o_orderdate
+WITH f AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(quarter(o_orderdate) AS INTEGER) AS quarter, o_orderkey, o_orderdate
            FROM orders WHERE quarter(o_orderdate) IN (1, 2)),
 ok AS (SELECT o_custkey, year FROM f GROUP BY o_custkey, year HAVING count(DISTINCT quarter) = 2),
 n AS (SELECT * FROM (SELECT f.*, row_number() OVER (PARTITION BY f.o_custkey, f.year, f.quarter
@@ -53,14 +53,14 @@ def q_complete_period_weights(spark, sf):
 
 
 @register("half_year_population", """
-WITH x AS (SELECT *, year(o_orderdate) AS year FROM orders),
+WITH x AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
 a AS (SELECT o_custkey, year, bool_or(month(o_orderdate) <= 6) AS has_h1, bool_or(month(o_orderdate) > 6) AS has_h2,
              CAST(min(o_orderdate) AS DATE) AS first_date FROM x GROUP BY o_custkey, year),
 l AS (SELECT o_custkey, year, o_orderkey AS latest_file FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY o_orderdate DESC, o_orderkey DESC) rn
         FROM x WHERE o_orderstatus = 'F') WHERE rn = 1)
 SELECT a.o_custkey, a.year, l.latest_file, a.has_h1, a.has_h2, a.first_date,
-       datediff('day', a.first_date, make_date(a.year, 12, 31)) + 1 AS obligated_days
+       CAST(datediff('day', a.first_date, make_date(a.year, 12, 31)) + 1 AS INTEGER) AS obligated_days
 FROM a JOIN l ON a.o_custkey = l.o_custkey AND a.year = l.year
 """)
 def q_half_year_population(spark, sf):
@@ -122,7 +122,7 @@ def q_child_counts(spark, sf):
 
 
 @register("obligation_balance", """
-WITH l AS (SELECT l.*, p.p_brand, year(l_shipdate) AS year FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+WITH l AS (SELECT l.*, p.p_brand, CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 ob AS (SELECT l_suppkey, p_brand, year, sum(l_quantity) AS required FROM l WHERE l_linestatus = 'O' GROUP BY ALL),
 cr AS (SELECT l_suppkey, p_brand, year,
               sum(CASE WHEN l_returnflag = 'A' THEN l_quantity ELSE 0.0 END) AS accepted,
@@ -175,7 +175,7 @@ def q_hierarchy_rollup(spark, sf):
 
 
 @register("compliance_report", f"""
-WITH x AS (SELECT *, year(o_orderdate) AS year FROM orders),
+WITH x AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
 a AS (SELECT o_custkey, year, min(o_orderdate) AS first_date, max(o_orderdate) AS latest_date, count(*) AS n_orders,
              CASE WHEN bool_or(o_orderpriority IN ('1-URGENT', '2-HIGH')) THEN 'large' ELSE 'small' END AS size
       FROM x GROUP BY o_custkey, year),

@@ -74,7 +74,7 @@ def q_delta_refresh(spark, sf):
 
 
 @register("public_register", """
-WITH x AS (SELECT *, year(o_orderdate) AS year FROM orders),
+WITH x AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
 l AS (SELECT o_custkey, year, o_orderkey AS latest_file, o_orderstatus AS latest_status FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY o_orderdate DESC, o_orderkey DESC) rn FROM x)
       WHERE rn = 1),
@@ -104,13 +104,13 @@ def q_public_register(spark, sf):
 
 
 @register("landing_list", """
-WITH org AS (SELECT o_custkey, year(o_orderdate) AS year,
+WITH org AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year,
                     concat_ws(' - ', lpad(CAST(o_custkey AS VARCHAR), 8, '0'), strftime(o_orderdate, '%d/%m/%Y'), o_orderpriority) AS org_label
              FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate DESC, o_orderkey DESC) rn
                    FROM orders) WHERE rn = 1),
 dat AS (SELECT o_custkey, year, concat_ws(' - ', lpad(CAST(l_orderkey AS VARCHAR), 10, '0'), CAST(l_linenumber AS VARCHAR),
                                          strftime(l_shipdate, '%Y%m%d')) AS data_label
-        FROM (SELECT o.o_custkey, year(l.l_shipdate) AS year, l.l_orderkey, l.l_linenumber, l.l_shipdate,
+        FROM (SELECT o.o_custkey, CAST(year(l.l_shipdate) AS INTEGER) AS year, l.l_orderkey, l.l_linenumber, l.l_shipdate,
                      row_number() OVER (PARTITION BY o.o_custkey, year(l.l_shipdate)
                                         ORDER BY l.l_shipdate DESC, l.l_orderkey DESC, l.l_linenumber DESC) rn
               FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey) WHERE rn = 1)

@@ -167,13 +167,13 @@ def q_entity_extract(spark, sf):
 
 
 @register("extract_recent", """
-WITH f AS (SELECT o_custkey AS c_custkey, quarter(o_orderdate) AS quarter, o_orderkey, o_orderdate, o_orderstatus
+WITH f AS (SELECT o_custkey AS c_custkey, CAST(quarter(o_orderdate) AS INTEGER) AS quarter, o_orderkey, o_orderdate, o_orderstatus
            FROM orders WHERE year(o_orderdate) = 1998),
 g AS (SELECT c_custkey, CAST(q AS INTEGER) AS quarter FROM (SELECT DISTINCT c_custkey FROM customer), range(1, 5) t(q)),
 cnt AS (SELECT c_custkey, quarter, count(*) AS n FROM f GROUP BY ALL),
 grid AS (SELECT g.*, COALESCE(cnt.n, 0) AS n_facts, COALESCE(cnt.n, 0) > 0 AS present FROM g
          LEFT JOIN cnt ON cnt.c_custkey = g.c_custkey AND cnt.quarter = g.quarter),
-grid2 AS (SELECT *, sum(CAST(present AS INTEGER)) OVER (PARTITION BY c_custkey) AS n_present,
+grid2 AS (SELECT *, CAST(sum(CAST(present AS INTEGER)) OVER (PARTITION BY c_custkey) AS BIGINT) AS n_present,
                  sum(CASE WHEN present THEN 1 ELSE 0 END) OVER (PARTITION BY c_custkey) = 4 AS all_present FROM grid),
 r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey, quarter ORDER BY o_orderdate, o_orderkey) AS r1,
              row_number() OVER (PARTITION BY c_custkey, quarter ORDER BY o_orderdate DESC, o_orderkey DESC) AS r2 FROM f),

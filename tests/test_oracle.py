@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from oracle_check import TABLES, rows_of  # noqa: E402
+from oracle_check import TABLES, rows_of, type_diffs  # noqa: E402
 
 from docket.plans import all_oracles, all_queries  # noqa: E402
 
@@ -41,4 +41,5 @@ def test_query_matches_oracle(spark, duck, sf_small, name):
     res = duck.execute(ORACLES[name])
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
+    assert type_diffs(df, res) == []
     assert rows_of(df.columns, rows) == rows_of(cols, res.fetchall())

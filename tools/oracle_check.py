@@ -47,6 +47,29 @@ def norm(v):
     return v
 
 
+def spark_to_duck_type(t: str) -> str:
+    t = t.lower()
+    simple = {"bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT",
+              "double": "DOUBLE", "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE"}
+    if t in simple:
+        return simple[t]
+    if t.startswith("decimal"):
+        return t.upper().replace(" ", "")
+    return t.upper()
+
+
+def type_diffs(sdf, res):
+    duck = {d[0]: str(d[1]).upper().replace(" ", "") for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        want = spark_to_duck_type(f.dataType.simpleString()).replace(" ", "")
+        got = duck.get(f.name, "?")
+        if want != got:
+            out.append(f"{f.name}:{f.dataType.simpleString()}/{got}")
+    return out
+
+
 def rows_of(cols, records):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     out = [tuple(norm(r[i]) for i in order) for r in records]
@@ -92,6 +115,9 @@ def main():
                 if a1 != b1:
                     diffs = [(x, y) for x, y in zip(a1, b1) if x != y][:3]
                     msg.append(f"values differ, cols={sorted(scols)} e.g. {diffs}")
+            td = type_diffs(df, res)
+            if td:
+                msg.append("types " + ",".join(td))
             status = "OK " if not msg else "BAD"
             if msg:
                 bad.append(n)
