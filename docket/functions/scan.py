@@ -24,6 +24,16 @@ def day_bucket(col, days: int = 7) -> Column:
     return F.floor(F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) / F.lit(days)).cast("long")
 
 
+def time_bucket(col, seconds: int) -> Column:
+    """Bucket of ``seconds`` for a timestamp_ntz column, from its calendar fields
+    (day number x 86400 + seconds of day): monotonic and time-zone free, for
+    keys whose rows burst within a day."""
+    c = F.col(col) if isinstance(col, str) else col
+    day = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    sec = day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
+    return F.floor(sec / F.lit(seconds)).cast("long")
+
+
 @dataclass
 class KeyedScan:
     keys: list[str]

@@ -24,14 +24,26 @@ def extrapolate(df: DataFrame, measure: str, by: str, factors: Mapping[str, floa
     return df.withColumn(out, (F.col(measure) * f).cast(f"decimal({p},{s})"))
 
 
-def json_payload(df: DataFrame, group: Sequence[str], fields: Sequence[str], out: str = "payload") -> DataFrame:
+def json_payload(df: DataFrame, group: Sequence[str], fields: Sequence[str], out: str = "payload",
+                 chunk_size: int = 10000) -> DataFrame:
     """JSON array of members per group, sorted by ``fields`` (O-40).
 
     Built with ``to_json`` over a sorted struct array, never by concatenating
-    strings. ``collect_list`` merges partial lists map-side.
+    strings. A group is never collected whole into one task: groups larger
+    than ``chunk_size`` are split into ``n_chunks`` arrays by a hash of the
+    member (each member in exactly one chunk, each chunk sorted), so a hot
+    group costs several bounded tasks. Groups up to ``chunk_size`` members get
+    exactly one chunk (chunk 0), i.e. the plain per-group array.
     """
-    return df.groupBy(*group).agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in fields])))).alias(out))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
+    x = df.join(sizes, list(group), "inner")
+    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(chunk_size))).cast("int")
+    member = F.struct(*[F.col(c) for c in fields])
+    x = x.withColumn("n_chunks", n_chunks).withColumn(
+        "chunk", F.when(F.col("n_chunks") == 1, F.lit(0))
+                  .otherwise(F.pmod(F.xxhash64(member), F.col("n_chunks"))).cast("int"))
+    return x.groupBy(*group, "chunk", "n_chunks").agg(
+        F.to_json(F.array_sort(F.collect_list(member))).alias(out))
 
 
 def complete_period_weights(facts: DataFrame, entity: str, set_col: str, period_col: str,
