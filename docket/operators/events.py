@@ -199,3 +199,67 @@ def upload_bundle(files: DataFrame, members: DataFrame, key: str, set_id: str,
     bundled = m.groupBy(key, set_id).agg(*aggs)
     out = latest.join(bundled, [key, set_id], "left")
     return out.fillna(0, subset=[f"n_{t}" for t in types])
+
+
+def registration_state(events: DataFrame, key: str, time: str, id_col: str, type_col: str, file_col: str,
+                       decision: str, is_resub: Column, upload_type: str, application_type: str,
+                       decision_type: str, bucket_days: int = 7) -> DataFrame:
+    """Registration fold with file attribution and resubmissions (O-21, S3).
+
+    * newest copy per (key, event id) is kept;
+    * the file of an application is the newest upload strictly before it (as-of, ``<``);
+    * a decision without a file is a registration decision, worded
+      Accepted->Granted, Rejected->Refused, NULL->Pending; a decision with a file
+      is a resubmission decision on that file (NULL->Pending, else as is);
+    * first application = oldest non-resubmission application; initial
+      application = the newest one (the reference's naming); latest
+      resubmission = newest resubmission application;
+    * status: Pending when the newest application is later than the newest
+      decision, else that decision, else the newest Granted, else Pending;
+    * resubmission status: NULL without a resubmission, else the newest
+      decision on the latest resubmission's file, else Pending.
+    One dedupe aggregate, one as-of scan, one fold aggregate and one (key, file)
+    aggregate joined back.
+    """
+    cols = [time, type_col, file_col, decision, "__resub"]
+    x = events.withColumn("__resub", F.coalesce(is_resub, F.lit(False)))
+    x = (x.groupBy(key, id_col).agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("__r"))
+          .select(key, id_col, *[F.col(f"__r.{c}").alias(c) for c in cols]))
+    uploads = x.filter(F.col(type_col) == upload_type)
+    others = x.filter(F.col(type_col).isin(application_type, decision_type))
+    att = asof_attribute(others, uploads, [key], time, time, [id_col, time, type_col, file_col, decision, "__resub"],
+                         [time, id_col, file_col], bucket_days=bucket_days, strict=True)
+    ty, t = F.col(type_col), F.col(time)
+    app = ty == application_type
+    dec = ty == decision_type
+    reg_dec = dec & F.col(file_col).isNull()
+    res_dec = dec & F.col(file_col).isNotNull()
+    raw = F.trim(F.col(decision))
+    wording = (F.when(raw == "Accepted", F.lit("Granted")).when(raw == "Rejected", F.lit("Refused"))
+               .when(F.col(decision).isNull(), F.lit("Pending")).otherwise(F.col(decision)))
+    res_wording = F.coalesce(F.col(decision), F.lit("Pending"))
+    app_rec = F.struct(t.alias("t"), F.col(id_col).alias("id"), F.col(f"anchor_{file_col}").alias("file"))
+    agg = att.groupBy(key).agg(
+        F.min(F.when(app & ~F.col("__resub"), app_rec)).alias("__first"),
+        F.max(F.when(app & ~F.col("__resub"), app_rec)).alias("__initial"),
+        F.max(F.when(app & F.col("__resub"), app_rec)).alias("__resub_app"),
+        F.max(F.when(reg_dec, F.struct(t.alias("t"), F.col(id_col).alias("id"), wording.alias("w")))).alias("__dec"),
+        F.max(F.when(reg_dec & (wording == "Granted"), t)).alias("granted_time"),
+        F.max(F.when(app, t)).alias("__last_app_t"))
+    rdec = (att.filter(res_dec).groupBy(F.col(key).alias("__rkey"), F.col(file_col).alias("__rfile"))
+               .agg(F.max(F.struct(t.alias("t"), F.col(id_col).alias("id"), res_wording.alias("w"))).alias("__rd")))
+    out = agg.join(rdec, (F.col(key) == F.col("__rkey")) & (F.col("__resub_app.file") == F.col("__rfile")), "left")
+    status = (F.when(F.col("__last_app_t") > F.col("__dec.t"), F.lit("Pending"))
+              .when(F.col("__dec").isNotNull(), F.col("__dec.w"))
+              .when(F.col("granted_time").isNotNull(), F.lit("Granted"))
+              .otherwise(F.lit("Pending")))
+    resub_status = (F.when(F.col("__resub_app").isNull(), F.lit(None).cast("string"))
+                    .when(F.col("__rd").isNotNull(), F.col("__rd.w")).otherwise(F.lit("Pending")))
+    return out.select(
+        key,
+        F.col("__first.t").alias("first_application_time"), F.col("__first.file").alias("first_application_file"),
+        F.col("__initial.t").alias("initial_application_time"),
+        F.col("__initial.file").alias("initial_application_file"),
+        F.col("__resub_app.t").alias("resubmission_time"), F.col("__resub_app.file").alias("resubmission_file"),
+        F.col("__dec.t").alias("latest_decision_time"), F.col("__dec.w").alias("latest_decision"),
+        "granted_time", status.alias("status"), resub_status.alias("resubmission_status"))

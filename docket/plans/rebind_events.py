@@ -204,3 +204,60 @@ def q_upload_bundle(spark, sf):
         .withColumnRenamed("l_orderkey", "o_orderkey")
     return E.upload_bundle(o, li, "o_custkey", "o_orderkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
                            "l_returnflag", ["A", "N", "R"], "l_quantity")
+
+
+@register("registration_state", """
+WITH e AS (
+  SELECT user_id, event_id, ts, event_type,
+         CASE WHEN event_type = 'view' OR (event_type = 'error' AND value > 40)
+              THEN json_extract_string(props, '$.k') END AS file_id,
+         CASE WHEN event_type = 'error' AND value >= 5 THEN (CASE WHEN value >= 25 THEN 'Accepted' ELSE 'Rejected' END)
+         END AS decision,
+         COALESCE(event_type = 'purchase' AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50, false) AS resub
+  FROM events),
+up AS (SELECT * FROM e WHERE event_type = 'view'),
+o AS (SELECT e.*, a.file_id AS afile FROM e LEFT JOIN LATERAL (
+        SELECT u.file_id FROM up u WHERE u.user_id = e.user_id AND u.ts < e.ts ORDER BY u.ts DESC, u.event_id DESC,
+               u.file_id DESC LIMIT 1) a ON true
+      WHERE e.event_type IN ('purchase', 'error')),
+apps AS (SELECT * FROM o WHERE event_type = 'purchase'),
+regd AS (SELECT *, CASE WHEN trim(decision) = 'Accepted' THEN 'Granted' WHEN trim(decision) = 'Rejected' THEN 'Refused'
+                        WHEN decision IS NULL THEN 'Pending' ELSE decision END AS w
+         FROM o WHERE event_type = 'error' AND file_id IS NULL),
+resd AS (SELECT *, COALESCE(decision, 'Pending') AS w FROM o WHERE event_type = 'error' AND file_id IS NOT NULL),
+k AS (SELECT DISTINCT user_id FROM o),
+fa AS (SELECT user_id, ts, afile FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) rn
+                                       FROM apps WHERE NOT resub) WHERE rn = 1),
+ia AS (SELECT user_id, ts, afile FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn
+                                       FROM apps WHERE NOT resub) WHERE rn = 1),
+ra AS (SELECT user_id, ts, afile FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn
+                                       FROM apps WHERE resub) WHERE rn = 1),
+ld AS (SELECT user_id, ts, w FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) rn
+                                   FROM regd) WHERE rn = 1),
+gr AS (SELECT user_id, max(ts) AS granted_time FROM regd WHERE w = 'Granted' GROUP BY user_id),
+la AS (SELECT user_id, max(ts) AS t FROM apps GROUP BY user_id),
+rd AS (SELECT user_id, file_id, w FROM (SELECT *, row_number() OVER (PARTITION BY user_id, file_id ORDER BY ts DESC, event_id DESC) rn
+                                        FROM resd) WHERE rn = 1)
+SELECT k.user_id, fa.ts AS first_application_time, fa.afile AS first_application_file,
+       ia.ts AS initial_application_time, ia.afile AS initial_application_file,
+       ra.ts AS resubmission_time, ra.afile AS resubmission_file,
+       ld.ts AS latest_decision_time, ld.w AS latest_decision, gr.granted_time,
+       CASE WHEN la.t > ld.ts THEN 'Pending' WHEN ld.w IS NOT NULL THEN ld.w
+            WHEN gr.granted_time IS NOT NULL THEN 'Granted' ELSE 'Pending' END AS status,
+       CASE WHEN ra.user_id IS NULL THEN NULL WHEN rd.w IS NOT NULL THEN rd.w ELSE 'Pending' END AS resubmission_status
+FROM k LEFT JOIN fa ON fa.user_id = k.user_id LEFT JOIN ia ON ia.user_id = k.user_id
+LEFT JOIN ra ON ra.user_id = k.user_id LEFT JOIN ld ON ld.user_id = k.user_id LEFT JOIN gr ON gr.user_id = k.user_id
+LEFT JOIN la ON la.user_id = k.user_id LEFT JOIN rd ON rd.user_id = k.user_id AND rd.file_id = ra.afile
+""")
+def q_registration_state(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value", "props"])
+    k = F.get_json_object("props", "$.k")
+    ev = ev.select(
+        "user_id", "event_id", "ts", "event_type",
+        F.when((F.col("event_type") == "view") | ((F.col("event_type") == "error") & (F.col("value") > 40)), k)
+         .alias("file_id"),
+        F.when((F.col("event_type") == "error") & (F.col("value") >= 5),
+               F.when(F.col("value") >= 25, F.lit("Accepted")).otherwise(F.lit("Rejected"))).alias("decision"),
+        ((F.col("event_type") == "purchase") & (k.cast("int") >= 50)).alias("resub"))
+    return E.registration_state(ev, "user_id", "ts", "event_id", "event_type", "file_id", "decision", F.col("resub"),
+                                "view", "purchase", "error")

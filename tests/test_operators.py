@@ -153,3 +153,22 @@ def test_submission_first_latest_rules(spark):
     assert got["C"] == (2, "REJECTED", None, None)        # first falls back to the latest rejection
     assert got["D"] == (1, "PENDING", 2, "REJECTED")      # rejected resubmission counts when no other resub
     assert got["E"] == (1, "PENDING", 2, "APPROVED")      # ...but not when a pending/accepted resub exists
+
+
+def test_registration_state_same_file_rule(spark):
+    rows = []
+    for sub, rd_file in (("s", "F1"), ("r", "F2")):
+        rows += [(sub, 1, t(1), "up", "F1", None, False), (sub, 2, t(2), "app", None, None, False),
+                 (sub, 3, t(3), "dec", None, "Accepted", False), (sub, 4, t(4), "up", "F2", None, False),
+                 (sub, 5, t(5), "app", None, None, True), (sub, 6, t(6), "dec", rd_file, "Accepted", False),
+                 (sub, 6, t(0), "dec", rd_file, "Rejected", False)]       # older copy of event 6
+    rows += [("p", 1, t(1), "app", None, None, False)]
+    df = spark.createDataFrame(rows, "k string, id long, ts timestamp_ntz, ty string, f string, d string, rs boolean")
+    out = {r.k: r for r in E.registration_state(df, "k", "ts", "id", "ty", "f", "d", F.col("rs"),
+                                                "up", "app", "dec").collect()}
+    assert out["s"].first_application_file == "F1" and out["s"].resubmission_file == "F2"
+    assert out["s"].status == "Pending"                 # an application is newer than the decision
+    assert out["s"].latest_decision == "Granted" and out["s"].granted_time == t(3)
+    assert out["s"].resubmission_status == "Pending"    # decision was on another file
+    assert out["r"].resubmission_status == "Accepted"   # decision on the resubmitted file, newest copy
+    assert out["p"].first_application_file is None and out["p"].status == "Pending"
