@@ -79,11 +79,17 @@ def rows_of(cols, records):
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--tz", default=None, help="session time zone to run Spark under")
+    ap.add_argument("--ansi", default=None, help="true/false for spark.sql.ansi.enabled")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     from docket.plans import all_oracles, all_queries
     from docket.session import local_test_session
     spark = local_test_session()
+    if a.tz:
+        spark.conf.set("spark.sql.session.timeZone", a.tz)
+    if a.ansi:
+        spark.conf.set("spark.sql.ansi.enabled", a.ansi)
     qs, orc = all_queries(), all_oracles()
     con = duckdb.connect()
     for t in TABLES:
