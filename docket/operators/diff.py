@@ -172,3 +172,23 @@ def cross_validate(declared: DataFrame, reported: DataFrame, key: str, declared_
     status = (F.when(r.isNull(), F.lit("declared_only")).when(d.isNull(), F.lit("reported_only"))
               .when(F.abs(d - r) <= F.abs(d) * tolerance, F.lit("match")).otherwise(F.lit("mismatch")))
     return x.withColumn("status", status)
+
+
+def drill_down(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column]], name: str,
+               dim_value: str | None = None) -> DataFrame:
+    """Rows of a diff behind one breakdown entry (O-51 drill, S2).
+
+    ``breakdowns`` is the same data as for ``diff_breakdowns``: choosing a
+    breakdown (and optionally a dimension value) is a filter, so the 73
+    hand-written drill branches of the reference become one parameterised call.
+    Each name resolves to exactly one breakdown (the reference's duplicated
+    flag returned two result sets).
+    """
+    found = [(p, d) for n, p, d in breakdowns if n == name]
+    if len(found) != 1:
+        raise KeyError(f"breakdown {name!r} defined {len(found)} times")
+    pred, dim = found[0]
+    out = rows.filter(F.coalesce(pred, F.lit(False)))
+    if dim_value is not None:
+        out = out.filter(dim.cast("string") == dim_value)
+    return out

@@ -110,3 +110,17 @@ def landing_pairs(org: DataFrame, data: DataFrame, keys: Sequence[str]) -> DataF
     """Pair the org file with the data file of the same keys (e.g. entity, year):
     full outer, each side one row per key."""
     return org.join(data, list(keys), "full_outer")
+
+
+def names_filter(col: str, names: Sequence[str], mode: str = "any") -> Column:
+    """Several organisation-name fragments (S6): ``any`` = match one of them,
+    ``all`` = match every one. Case-insensitive substring, matched literally."""
+    conds = [F.contains(ci(col), F.lit(n.lower().rstrip())) for n in names]
+    if not conds:
+        return F.lit(True)
+    out = conds[0]
+    for c in conds[1:]:
+        out = (out | c) if mode == "any" else (out & c)
+    if mode not in ("any", "all"):
+        raise ValueError(mode)
+    return out

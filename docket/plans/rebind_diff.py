@@ -229,3 +229,29 @@ def q_cross_validate(spark, sf):
     returns = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("o_orderkey"))
     return D.cross_validate(o, rep, "o_orderkey", "declared_total", "reported_total", 0.05,
                             {"has_returns": returns})
+
+
+@register("diff_drill", """
+WITH a AS (SELECT o_custkey, o_orderpriority, round(sum(o_totalprice), 2) AS total, count(*) AS n
+           FROM orders WHERE year(o_orderdate) = 1997 GROUP BY ALL),
+b AS (SELECT o_custkey, o_orderpriority, round(sum(o_totalprice), 2) AS total, count(*) AS n
+      FROM orders WHERE year(o_orderdate) = 1998 GROUP BY ALL),
+d AS (SELECT COALESCE(a.o_custkey, b.o_custkey) AS o_custkey, COALESCE(a.o_orderpriority, b.o_orderpriority) AS o_orderpriority,
+             a.total AS total_1, b.total AS total_2, round(COALESCE(b.total, 0) - COALESCE(a.total, 0), 2) AS total_diff,
+             a.n AS n_1, b.n AS n_2, COALESCE(b.n, 0) - COALESCE(a.n, 0) AS n_diff,
+             CASE WHEN a.o_custkey IS NULL THEN 'added' WHEN b.o_custkey IS NULL THEN 'removed'
+                  WHEN a.total IS NOT DISTINCT FROM b.total AND a.n = b.n THEN 'unchanged' ELSE 'changed' END AS change_class
+      FROM a FULL JOIN b ON a.o_custkey = b.o_custkey AND a.o_orderpriority = b.o_orderpriority)
+SELECT d.*, c.c_mktsegment FROM d JOIN customer c ON c.c_custkey = d.o_custkey
+WHERE d.o_orderpriority = '1-URGENT' AND c.c_mktsegment = 'BUILDING'
+""")
+def q_diff_drill(spark, sf):
+    d = D.diff_measures(_year_orders(spark, sf, 1997), _year_orders(spark, sf, 1998),
+                        ["o_custkey", "o_orderpriority"],
+                        {"total": F.round(F.sum("o_totalprice"), 2), "n": F.count(F.lit(1))}, null_keys="distinct")
+    d = d.withColumn("total_diff", F.round("total_diff", 2))
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
+    rows = d.join(c, d.o_custkey == c.c_custkey).drop("c_custkey")
+    breakdowns = [("segment", F.lit(True), F.col("c_mktsegment")),
+                  ("urgent_by_segment", F.col("o_orderpriority") == "1-URGENT", F.col("c_mktsegment"))]
+    return D.drill_down(rows, breakdowns, "urgent_by_segment", "BUILDING")

@@ -181,3 +181,21 @@ def q_file_trace(spark, sf):
     x = o.join(t, o.o_orderkey == t.l_orderkey, "left")
     return x.select("o_orderkey", "o_custkey", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "suppliers",
                     "last_ship", (F.col("o_orderstatus") != "P").alias("processed"))
+
+
+@register("filter_page_names", """
+WITH x AS (SELECT o.o_orderkey, o.o_custkey, c.c_name, o.o_orderstatus, o.o_orderdate
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+           WHERE contains(lower(rtrim(c.c_name)), '#0000001') OR contains(lower(rtrim(c.c_name)), '#0000002')),
+y AS (SELECT *, CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 4 END AS INTEGER) AS status_rank FROM x)
+SELECT *, count(*) OVER () AS total_count, 2 AS page FROM y
+ORDER BY status_rank, o_orderdate DESC, o_orderkey LIMIT 30 OFFSET 30
+""")
+def q_filter_page_names(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
+    x = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "o_custkey", "c_name", "o_orderstatus",
+                                                     "o_orderdate")
+    return V.filter_page(spark, x, "o_orderkey", "o_orderstatus", {"O": 1, "F": 2, "P": 3},
+                         [F.col("o_orderdate").desc()], page=2, size=30,
+                         filters=[V.names_filter("c_name", ["#0000001", "#0000002"], mode="any")])

@@ -172,3 +172,19 @@ def test_registration_state_same_file_rule(spark):
     assert out["s"].resubmission_status == "Pending"    # decision was on another file
     assert out["r"].resubmission_status == "Accepted"   # decision on the resubmitted file, newest copy
     assert out["p"].first_application_file is None and out["p"].status == "Pending"
+
+
+def test_names_filter_modes(spark):
+    from docket.operators.serve import names_filter
+    df = spark.createDataFrame([("Acme Widgets Ltd",), ("acme ltd",), ("Widgets Co",)], "n string")
+    anyn = [r.n for r in df.filter(names_filter("n", ["ACME", "widgets"], "any")).collect()]
+    alln = [r.n for r in df.filter(names_filter("n", ["ACME", "widgets"], "all")).collect()]
+    assert sorted(anyn) == ["Acme Widgets Ltd", "Widgets Co", "acme ltd"] and alln == ["Acme Widgets Ltd"]
+
+
+def test_drill_down_resolves_one_breakdown(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "d string, v long")
+    bd = [("x", F.col("v") > 1, F.col("d")), ("y", F.lit(True), F.col("d")), ("y", F.lit(True), F.col("d"))]
+    assert [r.d for r in D.drill_down(rows, bd, "x").collect()] == ["b"]
+    with pytest.raises(KeyError):
+        D.drill_down(rows, bd, "y")
