@@ -188,3 +188,28 @@ def test_drill_down_resolves_one_breakdown(spark):
     assert [r.d for r in D.drill_down(rows, bd, "x").collect()] == ["b"]
     with pytest.raises(KeyError):
         D.drill_down(rows, bd, "y")
+
+
+def test_pages_cover_filtered_rows_exactly_once(spark):
+    from docket.operators.serve import filter_page
+    df = spark.createDataFrame([(i, ["O", "F", "P"][i % 3], t(i % 5)) for i in range(47)],
+                               "k long, s string, ts timestamp_ntz")
+    seen = []
+    for page in range(1, 5):
+        rows = filter_page(spark, df, "k", "s", {"O": 1, "F": 2}, [F.col("ts").desc()], page, 10,
+                           statuses=["O", "F"]).collect()
+        assert all(r.total_count == 32 for r in rows)
+        seen += [r.k for r in rows]
+    assert sorted(seen) == sorted(i for i in range(47) if i % 3 != 2)
+    clamped = filter_page(spark, df, "k", "s", {"O": 1, "F": 2}, [F.col("ts").desc()], 99, 10,
+                          statuses=["O", "F"]).collect()
+    assert [r.k for r in clamped] == seen[30:] and clamped[0].page == 4
+
+
+def test_full_sync_with_empty_source(spark):
+    tgt = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    empty = tgt.limit(0)
+    res, counts = U.upsert_full_sync(tgt, empty, ["k"], delete_missing=True)
+    assert res.count() == 0 and {r.action: r.rows for r in counts.collect()} == {"deleted": 2}
+    keep, _ = U.upsert_full_sync(tgt, empty, ["k"], delete_missing=False)
+    assert sorted(tuple(r) for r in keep.collect()) == [(1, "a"), (2, "b")]
