@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from docket.functions.periods import canonical_period, period_year
 from docket.functions.text import ci, key_equals, scrub_placeholders
