@@ -148,11 +148,18 @@ def changed_members(old: DataFrame, new: DataFrame, member: str) -> DataFrame:
     """Members with any changed, new or removed row, excluding members that are
     wholly new or wholly removed (O-56). Returns distinct member ids.
 
-    ``subtract`` is EXCEPT DISTINCT (NULL-safe) in both directions.
+    Same result as EXCEPT DISTINCT both ways (grouping compares NULLs as
+    equal), but as two partial aggregations instead of two distinct+anti-join
+    pairs: rows tagged by side are grouped on all columns (a hot member is
+    spread by the other columns), then folded per member.
     """
-    changed = old.subtract(new).select(member).union(new.subtract(old).select(member)).distinct()
-    in_both = old.select(member).distinct().join(new.select(member).distinct(), member, "left_semi")
-    return changed.join(in_both, member, "left_semi")
+    cols = old.columns
+    tagged = (old.select(*cols, F.lit(1).alias("__o"), F.lit(0).alias("__n"))
+              .unionByName(new.select(*cols, F.lit(0).alias("__o"), F.lit(1).alias("__n"))))
+    rows = tagged.groupBy(*cols).agg(F.max("__o").alias("__o"), F.max("__n").alias("__n"))
+    per = rows.groupBy(member).agg(F.max("__o").alias("__in_old"), F.max("__n").alias("__in_new"),
+                                   F.max(F.when(F.col("__o") + F.col("__n") == 1, 1).otherwise(0)).alias("__chg"))
+    return per.filter((F.col("__in_old") == 1) & (F.col("__in_new") == 1) & (F.col("__chg") == 1)).select(member)
 
 
 def cross_validate(declared: DataFrame, reported: DataFrame, key: str, declared_total: str,
