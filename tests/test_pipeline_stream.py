@@ -45,8 +45,9 @@ def test_snapshot_versions_and_backup(spark, scratch, sf_small):
 
 def test_stream_replay_in_two_arrivals_equals_batch(spark, scratch, sf_small):
     ev = read_table(spark, sf_small, "events")
-    late = ev.filter(F.col("event_id") % 4 == 0)      # split of the replay, not of the result
-    early = ev.filter(F.col("event_id") % 4 != 0)
+    cut = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    late = ev.filter(F.col("ts") < cut)               # older events arrive after newer ones
+    early = ev.filter(F.col("ts") >= cut)
     early.repartition(3).write.parquet(f"{scratch}/in/part1")
     args = (TABLE_SCHEMAS["events"], ["user_id", "event_type"], ["ts", "event_id"], ["value"],
             f"{scratch}/state", f"{scratch}/ckpt")
