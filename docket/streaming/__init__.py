@@ -1 +1 @@
-from docket.streaming.event_state import stream_latest_state  # noqa: F401
+from docket.streaming.event_state import LatestState, stream_latest_state  # noqa: F401

@@ -3,54 +3,103 @@ the batch refresh: the reference itself has no streaming).
 
 Plan: file-source stream -> keyed streaming aggregation holding
 ``max(struct(order..., payload...))`` per key in the state store (checkpointed,
-so executor loss and restarts are survived) -> ``update`` output mode ->
-``foreachBatch`` merges only the keys that changed into a versioned snapshot.
-Because the state is an event-time max, late events are accepted and
-replaying files in any order converges to the batch answer; applying the
-same micro-batch twice is harmless (the merge keeps the max).
+so executor loss and restarts are survived) -> ``update`` output mode, so each
+micro-batch emits only the keys that changed -> ``foreachBatch`` writes those
+rows to ``changes/batch_id=<id>``. A replayed micro-batch overwrites its own
+folder, so the effect is exactly once. The cost per micro-batch is the size
+of the change, not of the state.
+
+Readers merge on read: max per key over the last compacted snapshot plus the
+change folders written after it (partition pruning on ``batch_id``).
+``compact()`` folds them into a new snapshot version. Because the state is an
+event-time max, late events are accepted and replaying files in any order
+converges to the batch answer.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docket.sources.snapshots import SnapshotTable
+from docket.sources.snapshots import SnapshotTable, path_exists
+
+
+class LatestState:
+    """Latest row per key, kept as a compacted snapshot plus change folders."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], cols: Sequence[str]):
+        self.spark, self.root = spark, root.rstrip("/")
+        self.keys, self.cols = list(keys), list(cols)
+        self.snapshots = SnapshotTable(spark, f"{self.root}/snapshot")
+
+    @property
+    def changes_path(self) -> str:
+        return f"{self.root}/changes"
 
+    def write_changes(self, batch: DataFrame, batch_id: int) -> None:
+        batch.select(*self.keys, *self.cols).write.mode("overwrite") \
+             .parquet(f"{self.changes_path}/batch_id={batch_id}")
 
-def _merge_latest(current: DataFrame | None, changed: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    if current is None:
-        return changed
-    both = current.select(*keys, *cols).unionByName(changed.select(*keys, *cols))
-    best = F.max(F.struct(*[F.col(c) for c in cols])).alias("__b")
-    return both.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__b.{c}").alias(c) for c in cols])
+    def _compacted_through(self) -> int:
+        v = self.snapshots.current_version()
+        if v is None:
+            return -1
+        meta = self.spark.read.text(f"{self.snapshots.path_of(v)}/_through").first()
+        return json.loads(meta.value)["batch_id"] if meta else -1
+
+    def _merge(self, parts: list[DataFrame]) -> DataFrame:
+        both = parts[0]
+        for p in parts[1:]:
+            both = both.unionByName(p)
+        best = F.max(F.struct(*[F.col(c) for c in self.cols])).alias("__b")
+        return both.groupBy(*self.keys).agg(best).select(*self.keys, *[F.col(f"__b.{c}").alias(c) for c in self.cols])
+
+    def read(self) -> DataFrame:
+        parts = []
+        base = self.snapshots.read()
+        if base is not None:
+            parts.append(base.select(*self.keys, *self.cols))
+        through = self._compacted_through()
+        if path_exists(self.spark, self.changes_path):
+            ch = self.spark.read.parquet(self.changes_path).filter(F.col("batch_id") > through)
+            parts.append(ch.select(*self.keys, *self.cols))
+        if not parts:
+            raise LookupError("no state yet")
+        return self._merge(parts)
+
+    def compact(self) -> int:
+        """Fold all changes into a new snapshot version; returns the version."""
+        if not path_exists(self.spark, self.changes_path):
+            return self.snapshots.current_version() or 0
+        ids = self.spark.read.parquet(self.changes_path).agg(F.max("batch_id").alias("m")).first().m
+        state = self.read()
+        v = self.snapshots.commit(state)
+        self.spark.createDataFrame([(json.dumps({"batch_id": int(ids)}),)], "value string").coalesce(1) \
+            .write.mode("overwrite").text(f"{self.snapshots.path_of(v)}/_through")
+        return v
 
 
 def stream_latest_state(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
                         order: Sequence[str], payload: Sequence[str], state_root: str, checkpoint: str,
-                        max_files_per_trigger: int | None = None) -> SnapshotTable:
-    """Run the stream to completion over what has arrived (``availableNow``).
+                        max_files_per_trigger: int | None = None) -> LatestState:
+    """Run the stream over what has arrived (``availableNow``) and return the state.
 
-    The snapshot at ``state_root`` holds one row per key: ``order`` columns
-    then ``payload`` columns of the newest event.
+    The state holds one row per key: ``order`` columns then ``payload``
+    columns of the newest event.
     """
     cols = [*order, *payload]
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(source_dir)
-    state = (events.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("__b"))
-                   .select(*keys, *[F.col(f"__b.{c}").alias(c) for c in cols]))
-    table = SnapshotTable(spark, state_root)
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        merged = _merge_latest(table.read(), batch, keys, cols)
-        table.commit(merged)
-
-    q = (state.writeStream.outputMode("update").foreachBatch(merge)
-              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    changed = (events.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("__b"))
+                     .select(*keys, *[F.col(f"__b.{c}").alias(c) for c in cols]))
+    state = LatestState(spark, state_root, keys, cols)
+    q = (changed.writeStream.outputMode("update").foreachBatch(state.write_changes)
+                .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return table
+    return state
