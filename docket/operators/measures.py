@@ -179,3 +179,35 @@ def share_of_total(df: DataFrame, keys: Sequence[str], group: str, measure: Colu
     g = g.withColumn(f"{out}_total", F.sum(out).over(w))
     return g.withColumn("share", F.round(F.try_divide(F.col(out), F.col(f"{out}_total")), 4)) \
             .withColumn(out, F.round(out, 2)).withColumn(f"{out}_total", F.round(f"{out}_total", 2))
+
+
+def obligation_lines(edges: DataFrame, parent: str, child: str, amounts: DataFrame, org: str, amount: str,
+                     credits: DataFrame | None = None, credit: str = "credit") -> DataFrame:
+    """Parent line with the group total and zero child lines (O-47 report shape).
+
+    Parent total = its own amount + its children's (one hop, via ``edges``);
+    each child appears as a line with obligation 0; the parent's credit is
+    shown on the first line only — the parent line, which sorts first by
+    construction, so no window over a (possibly huge) group is needed.
+    ``remaining`` = obligation - credit on the parent line.
+    """
+    own = amounts.select(F.col(org).alias("__org"), F.col(amount).alias("__amt"))
+    via = edges.select(F.col(parent).alias("__p"), F.col(child).alias("__c")) \
+               .join(own, F.col("__c") == F.col("__org")).select(F.col("__p").alias("__org"), "__amt")
+    parents = edges.select(F.col(parent).alias("__org")).distinct()
+    total = parents.join(own.unionByName(via), "__org", "left").groupBy("__org") \
+                   .agg(F.round(F.coalesce(F.sum("__amt"), F.lit(0.0)), 2).alias("obligation"))
+    plines = total.select(F.col("__org").alias("parent_id"), F.lit("parent").alias("line_type"),
+                          F.col("__org").alias("org_id"), "obligation")
+    clines = edges.select(F.col(parent).alias("parent_id"), F.lit("child").alias("line_type"),
+                          F.col(child).alias("org_id"), F.lit(0.0).alias("obligation"))
+    lines = plines.unionByName(clines)
+    if credits is not None:
+        cr = credits.select(F.col(org).alias("__cp"), F.col(credit).alias("__cr"))
+        lines = lines.join(cr, F.col("parent_id") == F.col("__cp"), "left").drop("__cp")
+    else:
+        lines = lines.withColumn("__cr", F.lit(None).cast("double"))
+    first = F.col("line_type") == "parent"
+    lines = lines.withColumn("credit", F.when(first, F.round(F.coalesce("__cr", F.lit(0.0)), 2)).otherwise(F.lit(0.0)))
+    return lines.drop("__cr").withColumn(
+        "remaining", F.when(first, F.round(F.col("obligation") - F.col("credit"), 2)).otherwise(F.lit(0.0)))

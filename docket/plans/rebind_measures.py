@@ -221,3 +221,28 @@ FROM g
 def q_share_of_total(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_returnflag", "l_extendedprice"])
     return M.share_of_total(li, ["l_orderkey"], "l_returnflag", F.col("l_extendedprice"), "revenue")
+
+
+@register("obligation_lines", """
+WITH rev AS (SELECT 'customer-' || o_custkey AS org, sum(o_totalprice) AS amt FROM orders GROUP BY o_custkey),
+edges AS (SELECT 'nation-' || c_nationkey AS p, 'customer-' || c_custkey AS c FROM customer),
+tot AS (SELECT e.p AS org, round(COALESCE(sum(r.amt), 0.0), 2) AS obligation
+        FROM edges e LEFT JOIN rev r ON r.org = e.c GROUP BY e.p),
+cr AS (SELECT 'nation-' || s_nationkey AS org, sum(s_acctbal) AS credit FROM supplier GROUP BY s_nationkey),
+lines AS (SELECT t.org AS parent_id, 'parent' AS line_type, t.org AS org_id, t.obligation FROM tot t
+          UNION ALL SELECT p, 'child', c, 0.0 FROM edges)
+SELECT l.*, CASE WHEN line_type = 'parent' THEN round(COALESCE(cr.credit, 0.0), 2) ELSE 0.0 END AS credit,
+       CASE WHEN line_type = 'parent' THEN round(obligation - round(COALESCE(cr.credit, 0.0), 2), 2) ELSE 0.0 END AS remaining
+FROM lines l LEFT JOIN cr ON cr.org = l.parent_id
+""")
+def q_obligation_lines(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey"])
+    o = read_table(spark, sf, "orders", ["o_custkey", "o_totalprice"])
+    s = read_table(spark, sf, "supplier", ["s_nationkey", "s_acctbal"])
+
+    def org_id(kind, col):
+        return F.concat(F.lit(f"{kind}-"), F.col(col).cast("string"))
+    edges = c.select(org_id("nation", "c_nationkey").alias("parent"), org_id("customer", "c_custkey").alias("child"))
+    amounts = o.groupBy(org_id("customer", "o_custkey").alias("org")).agg(F.sum("o_totalprice").alias("amount"))
+    credits = s.groupBy(org_id("nation", "s_nationkey").alias("org")).agg(F.sum("s_acctbal").alias("credit"))
+    return M.obligation_lines(edges, "parent", "child", amounts, "org", "amount", credits, "credit")

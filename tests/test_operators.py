@@ -213,3 +213,15 @@ def test_full_sync_with_empty_source(spark):
     assert res.count() == 0 and {r.action: r.rows for r in counts.collect()} == {"deleted": 2}
     keep, _ = U.upsert_full_sync(tgt, empty, ["k"], delete_missing=False)
     assert sorted(tuple(r) for r in keep.collect()) == [(1, "a"), (2, "b")]
+
+
+def test_obligation_lines_parent_total_and_first_line_credit(spark):
+    from docket.operators.measures import obligation_lines
+    edges = spark.createDataFrame([("P", "A"), ("P", "B"), ("Q", "C")], "parent string, child string")
+    amounts = spark.createDataFrame([("P", 5.0), ("A", 3.0), ("B", 2.0), ("C", 1.0)], "org string, amount double")
+    credits = spark.createDataFrame([("P", 4.0)], "org string, credit double")
+    got = {(r.parent_id, r.org_id): (r.line_type, r.obligation, r.credit, r.remaining)
+           for r in obligation_lines(edges, "parent", "child", amounts, "org", "amount", credits, "credit").collect()}
+    assert got == {("P", "P"): ("parent", 10.0, 4.0, 6.0), ("P", "A"): ("child", 0.0, 0.0, 0.0),
+                   ("P", "B"): ("child", 0.0, 0.0, 0.0), ("Q", "Q"): ("parent", 1.0, 0.0, 1.0),
+                   ("Q", "C"): ("child", 0.0, 0.0, 0.0)}
