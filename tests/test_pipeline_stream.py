@@ -69,3 +69,11 @@ def test_stream_replay_in_two_arrivals_equals_batch(spark, scratch, sf_small):
     replay = spark.createDataFrame(first.collect(), first.schema)   # a replay arrives from the source, not the folder
     state.write_changes(replay, 0)
     assert sorted(tuple(r) for r in state.read().select(*cols).collect()) == want
+
+
+def test_keep_schema_commit(spark, scratch):
+    tbl = SnapshotTable(spark, f"{scratch}/k")
+    tbl.commit(spark.createDataFrame([(1, "a")], "id long, v string"))
+    tbl.commit(spark.createDataFrame([("x", 2, "b")], "extra string, id int, v string"), keep_schema=True)
+    df = tbl.read()
+    assert df.columns == ["id", "v"] and dict(df.dtypes)["id"] == "bigint" and df.collect()[0].v == "b"
