@@ -246,7 +246,8 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
         F.max(F.when(reg_dec, F.struct(t.alias("t"), F.col(id_col).alias("id"), wording.alias("w")))).alias("__dec"),
         F.max(F.when(reg_dec & (wording == "Granted"), t)).alias("granted_time"),
         F.max(F.when(app, t)).alias("__last_app_t"))
-    rdec = (att.filter(res_dec).groupBy(F.col(key).alias("__rkey"), F.col(file_col).alias("__rfile"))
+    # resubmission decisions carry their own file: no as-of needed, so read them from the deduped log
+    rdec = (x.filter(res_dec).groupBy(F.col(key).alias("__rkey"), F.col(file_col).alias("__rfile"))
                .agg(F.max(F.struct(t.alias("t"), F.col(id_col).alias("id"), res_wording.alias("w"))).alias("__rd")))
     out = agg.join(rdec, (F.col(key) == F.col("__rkey")) & (F.col("__resub_app.file") == F.col("__rfile")), "left")
     status = (F.when(F.col("__last_app_t") > F.col("__dec.t"), F.lit("Pending"))
