@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docket.session import bounded_broadcast
+
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -63,7 +65,7 @@ def normalise_period(df: DataFrame, col: str, dimension: DataFrame,
     """Add canonical label, label year, ordinal (0 when unknown) and shifted relevant year."""
     out = df.withColumn("canonical_period", canonical_period(col)) \
             .withColumn("period_year", period_year(col))
-    out = out.join(F.broadcast(dimension), "canonical_period", "left")
+    out = out.join(bounded_broadcast(dimension), "canonical_period", "left")
     out = out.withColumn("period_ordinal", F.coalesce("period_ordinal", F.lit(0))) \
              .withColumn("reporting_year", F.coalesce("reporting_year", F.lit(0)))
     if shift is not None:

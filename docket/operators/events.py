@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docket.session import bounded_broadcast
+
 from docket.functions.scan import KeyedScan, day_bucket
 from docket.operators.latest import latest_per_key
 
@@ -180,7 +182,7 @@ def deadline_flags(df: DataFrame, keys: Sequence[str], time: str, size: Column,
     """
     x = df.withColumn("size", size).withColumn("year", F.year(time))
     first = x.groupBy(*keys, "size", "year").agg(F.min(time).alias("first_submission"))
-    out = first.join(F.broadcast(calendar), ["size", "year"], "left")
+    out = first.join(bounded_broadcast(calendar), ["size", "year"], "left")
     return out.withColumn("is_late", F.col("first_submission") >= F.col("deadline"))
 
 

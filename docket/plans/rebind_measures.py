@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docket.session import bounded_broadcast
+
 from docket.operators import measures as M
 from docket.plans.rebind_events import CALENDAR_SQL, deadline_calendar
 from docket.plans.registry import register
@@ -198,7 +200,7 @@ def q_compliance_report(spark, sf):
         F.when(F.max(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")), F.lit("large"))
          .otherwise(F.lit("small")).alias("size"))
     cal = deadline_calendar(spark, 1995, 2001, 1998)
-    out = a.join(F.broadcast(cal), ["size", "year"], "left")
+    out = a.join(bounded_broadcast(cal), ["size", "year"], "left")
     return out.withColumn("on_time", F.col("first_date") < F.col("deadline")).select(
         "o_custkey", "year", "first_date", "latest_date", "latest_status", "n_orders", "size", "deadline", "on_time")
 

@@ -65,3 +65,14 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 def local_test_session(partitions: int = 8) -> SparkSession:
     master = os.environ.get("DOCKET_MASTER", "local[8]")
     return build_session(master=master, shuffle_partitions=partitions, app="docket-tests")
+
+
+def bounded_broadcast(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` before ``count``),
+    so it stays cheap even when handed a big table; beyond the bound the join
+    is left to AQE (runtime size check, shuffle join otherwise).
+    """
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

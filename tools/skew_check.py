@@ -40,8 +40,7 @@ def main():
                           extra={"spark.eventLog.enabled": "true", "spark.eventLog.dir": logdir, "spark.eventLog.compress": "false",
                                  "spark.sql.adaptive.coalescePartitions.enabled": "false"})
     ev = read_table(spark, a.sf, "events", ["event_id", "user_id", "ts", "event_type"])
-    rep = spark.range(a.copies).withColumnRenamed("id", "copy")
-    big = (ev.join(F.broadcast(rep)).select(
+    big = (ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(a.copies - 1)).cast("array<long>"))).select(
         (F.col("event_id") * a.copies + F.col("copy")).alias("event_id"),
         F.when(F.pmod(F.col("event_id") * a.copies + F.col("copy"), F.lit(3)) == 0, F.lit(0))
          .otherwise(F.col("user_id") + 1).alias("user_id"),
