@@ -33,24 +33,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not d:
-        raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
-    return d
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when unset (local tests) pick a scratch one."""
+    Only a local master, where one machine holds everything, may leave it unset: it then gets
+    a scratch folder. On a cluster that would scatter files over the executors' disks, so it
+    raises.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="docket-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -58,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = checkpoint_dir(spark).rstrip("/")
     return "/".join([base, "docket", *parts])
 
 
