@@ -3,9 +3,37 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docket.llm import exact_dedup, packing, secrets
-from docket.llm.common import load
+from docket.llm import exact_dedup, mixing, packing, quality, secrets, toxicity, urls
+from docket.llm.common import held_out, load
+
+LEARN_FROM = ~held_out(F.col("doc_id"), 4, 2)
+
+
+def op2_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(load(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), LEARN_FROM)
+    return toxicity.with_score(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    out, names = mixing.mix(docs, load(spark, sf_dir, "labels", "doc_id", "quality"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_words"),
+                      *[F.col("p")[k].alias(f"p_{x}") for k, x in enumerate(names)], "rate", "copies")
+
+
+def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.fit(docs, load(spark, sf_dir, "labels", "doc_id", "quality"), LEARN_FROM)
+    return quality.score(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op7_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +48,6 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(load(spark, sf_dir, "documents", "doc_id", "text")))
 
 
-QUERIES = {f.__name__: f for f in (op7_chunk_recipes, op9_concatenate_and_cut, op10_trigram_secrets)}
+QUERIES = {f.__name__: f for f in (
+    op2_url_language_models, op4_kneser_ney_toxicity, op5_soft_membership_mixing, op6_attention_quality, op7_chunk_recipes, op9_concatenate_and_cut, op10_trigram_secrets)}
 ORACLES = {"op7_chunk_recipes": exact_dedup.ORACLE_SQL}
