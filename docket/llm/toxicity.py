@@ -1,18 +1,19 @@
-"""Toxicity by two class-conditional Kneser-Ney models of word pairs.
+"""Toxicity by two class-conditional Kneser-Ney models of words and word pairs.
 
-Both classes share the backoff counts. A word's probability rests on its continuation count (in
-how many contexts it stands), which copied passages cannot inflate. With c the class's own
-discounted count of an expression, E what the shared counts let expect for a class of its size,
-and ``SHARED`` pseudo-observations that follow the shorter expression, the class's probability
-is the shared one times
+The expressions form a chain of backoff: a pair of words, its second word, that word's first 7,
+5, 4 and 3 characters. Both classes share the backoff counts, and a class's count of an
+expression is the number of its documents that hold it, which a line that one document repeats
+cannot inflate. With c the class's own count, E what the shared count lets expect of a class of
+its size, and ``SHARED`` pseudo-observations that follow the shorter expression, the class's
+probability is the shared one times
 
     ratio = (max(c - DISCOUNT, 0) + SHARED * ratio of the shorter expression) / (E + SHARED)
 
-so that a rare expression has nearly the same probability in both and says nothing, and the
-shared factor cancels when the classes are compared. What is compared is the difference of the
-two log-likelihoods per word, over the whole text and over its most toxic short stretches (a
-single insult in a long text is lost in the text's mean). A logistic curve, fitted on labelled
-texts that were not counted, turns these into a score from 0 to 1.
+so that a rare expression says what its backoff says and no more, and the shared factor cancels
+when the classes are compared. What is compared is the difference of the two log-likelihoods per
+word, over the whole text and over its most toxic short stretches (a single insult in a long
+text is lost in the text's mean). A logistic curve, fitted on labelled texts that were not
+counted, turns these into a score from 0 to 1.
 """
 
 from __future__ import annotations
@@ -29,80 +30,116 @@ from pyspark.sql import functions as F
 from docket.llm.common import arrow_batches, saved, words
 
 SAMPLE = 20_000        # labelled documents used for the fit, at most; half count, half calibrate
-WORD_SLOTS = 1 << 18   # fixed tables: the model's size does not depend on the data
-PAIR_SLOTS = 1 << 21
+SLOTS = 1 << 22        # fixed table: the model's size does not depend on the data
 DISCOUNT = 0.75
-SHARED = 20.0
+SHARED = 10.0
+PREFIXES = (3, 4, 5, 7)
 STRETCHES = (1, 4, 16)  # words in the short stretches
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 MARKS = string.punctuation.encode()
 
 
-class Slots(dict):
-    """Slot of a word without the marks around it; a bounded memory of frequent words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = s = xxhash.xxh64_intdigest(word.strip(MARKS) or word) % (WORD_SLOTS - 1) + 1  # 0: begin
-        return s
+def chain(word: bytes) -> list[int]:
+    """Slots of a word's prefixes, shortest first, and of the word, without the marks around it."""
+    w = word.strip(MARKS) or word
+    text = w.decode("utf-8", "surrogatepass")
+    return [xxhash.xxh64_intdigest(text[:k].encode("utf-8", "surrogatepass") + b"*") % SLOTS for k in PREFIXES if len(text) > k] + [
+        xxhash.xxh64_intdigest(w) % SLOTS]
 
 
-def word_slots(texts: list[str | None], slots: Slots) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of all words, and the number of words of each text."""
-    each = [words(t) for t in texts]
-    n = np.array([len(w) for w in each], np.int64)
-    return np.fromiter((slots[w] for ws in each for w in ws), np.int64, int(n.sum())), n
+def pair_slot(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    x = (first.astype(np.uint64) << np.uint64(24)) ^ second.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> np.uint64(27))) % np.uint64(SLOTS)).astype(np.int64)
 
 
-def before(slots: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """The slot before each word; 0 at the begin of a text."""
-    out = np.concatenate([[0], slots[:-1]]) if len(slots) else slots
-    starts = (np.cumsum(n) - n)[n > 0]
-    out[starts] = 0
+def before(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """What stands before each word; -1 at the begin of a text."""
+    out = np.concatenate([[-1], x[:-1]]) if len(x) else x
+    out[(np.cumsum(n) - n)[n > 0]] = -1
     return out
 
 
-def pair_slot(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    x = (first.astype(np.uint64) << np.uint64(20)) ^ second.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(27))) % np.uint64(PAIR_SLOTS)).astype(np.int64)
-
-
 class Model:
-    """Of class 0 (ordinary) and 1 (toxic): ratios of the words, counts of the pairs; ``share`` of
-    the pair tokens that each class has."""
+    """Documents of class 0 (ordinary) and 1 (toxic) by slot; ``share`` of each class."""
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray, share: np.ndarray):
-        self.words, self.pairs, self.share = words, pairs, share
+    def __init__(self, counts: np.ndarray, share: np.ndarray):
+        self.counts, self.share = counts, share
         self.weights = np.zeros(2 + len(STRETCHES))
 
-    def log_ratio(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        """Toxic minus ordinary log-probability of each word after the one before it."""
-        pair = pair_slot(first, second)
-        both = self.pairs[0][pair] + self.pairs[1][pair]
-        log = [np.log((np.maximum(self.pairs[c][pair] - DISCOUNT, 0) + SHARED * self.words[c][second]) / (self.share[c] * both + SHARED))
-               for c in (0, 1)]
-        return log[1] - log[0]
-
-    def features(self, texts: list[str | None], slots: Slots) -> np.ndarray:
+    def ratio(self, slot, shorter: np.ndarray) -> np.ndarray:
+        own = self.counts[:, slot]
+        share = self.share.reshape((2,) + (1,) * (own.ndim - 1))
+        return (np.maximum(own - DISCOUNT, 0) + SHARED * shorter) / (share * own.sum(axis=0) + SHARED)
+
+
+class Scorer(dict):
+    """A worker's view of a model: remembers the ratios of so many words."""
+
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+        self.slot = np.zeros(CACHED_WORDS, np.int64)
+        self.ratios = np.zeros((2, CACHED_WORDS), np.float32)
+
+    def learn(self, new: list[bytes]) -> None:
+        slots, first = np.full((len(PREFIXES) + 1, len(new)), -1, np.int64), len(self)
+        for k, w in enumerate(new):
+            got = chain(w)
+            slots[-1, k] = got.pop()
+            slots[:len(got), k] = got
+            self[w] = first + k
+        ratio = np.ones((2, len(new)))
+        for level in slots:
+            ratio = np.where(level >= 0, self.model.ratio(level, ratio), ratio)
+        self.slot[first:first + len(new)], self.ratios[:, first:first + len(new)] = slots[-1], ratio
+
+    def log_ratio(self, each: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic minus ordinary log-probability of each word after the one before it; words by text."""
+        n = np.array([len(w) for w in each], np.int64)
+        there = set().union(*each)
+        new = there.difference(self)
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = there
+        self.learn(sorted(new))
+        i = np.fromiter((self[w] for ws in each for w in ws), np.int64, int(n.sum()))
+        slot = self.slot[i]
+        r = self.model.ratio(pair_slot(before(slot, n), slot), self.ratios[:, i])
+        return np.log(r[1]) - np.log(r[0]), n
+
+    def features(self, texts: list[str | None]) -> np.ndarray:
         """By text: 1, the whole text's ratio per word, that of the most toxic stretch of each
         length (a shorter text is one stretch). Zeros for a text without words."""
-        x, n = word_slots(texts, slots)
-        ratio = self.log_ratio(before(x, n), x) if len(x) else np.zeros(0)
-        out, end = np.zeros((len(texts), 2 + len(STRETCHES))), np.cumsum(n)
+        out = np.zeros((len(texts), 2 + len(STRETCHES)))
         out[:, 0] = 1
-        for i, (m, e) in enumerate(zip(n, end, strict=True)):
+        at = 0
+        while at < len(texts):  # so many texts at once as leave room for their words
+            each, size = [], 0
+            while at + len(each) < len(texts) and (not each or size < CACHED_WORDS // 4):
+                each.append(words(texts[at + len(each)]))
+                size += len(each[-1])
+            self._fill(each, out[at:at + len(each)])
+            at += len(each)
+        return out
+
+    def _fill(self, each: list[list[bytes]], out: np.ndarray) -> None:
+        if sum(map(len, each)) > CACHED_WORDS:  # one very long text: in parts, whose words count alike
+            parts = [ws[k:k + CACHED_WORDS // 2] for ws in each for k in range(0, len(ws), CACHED_WORDS // 2)]
+            ratio = np.concatenate([self.log_ratio([p])[0] for p in parts])
+            n = np.array([len(ws) for ws in each], np.int64)
+        else:
+            ratio, n = self.log_ratio(each)
+        for i, (m, e) in enumerate(zip(n, np.cumsum(n), strict=True)):
             if m:
-                total = np.concatenate([[0.0], np.cumsum(ratio[e - m:e])])
+                total = np.concatenate([[0.0], np.cumsum(ratio[e - m:e], dtype=float)])
                 out[i, 1] = total[-1] / m
                 for k, w in enumerate(STRETCHES):
                     w = min(w, m)
                     out[i, 2 + k] = (total[w:] - total[:-w]).max() / w
-        return out
 
-    def score(self, texts: list[str | None], slots: Slots) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.features(texts, slots) @ self.weights, -50, 50)))
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.features(texts) @ self.model.weights, -50, 50)))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
@@ -137,39 +174,36 @@ def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, id_col
                   .select("text", "y", half.alias("counted")), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = Slots()
         for b in batches:
-            x, n = word_slots(b.column(0).to_pylist(), slots)
-            y = np.repeat(b.column(1).to_numpy(zero_copy_only=False).astype(np.int64), n)
-            key, k = np.unique((before(x, n) * WORD_SLOTS + x) * 2 + y, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(k.astype(np.int64))], ["key", "n"])
-
-    pairs = (texts.filter("counted").select("text", "y").mapInArrow(count, "key bigint, n bigint")
-             .groupBy("key").agg(F.sum("n").alias("n")).select((F.col("key") % 2).cast("int").alias("y"), F.expr(
-                 f"(key div 2) % {WORD_SLOTS}").alias("word"), F.expr(f"key div {2 * WORD_SLOTS}").alias("first"), "n"))
-    pairs = saved(pairs, "toxic-pairs")
-
-    # continuation counts: at most two rows a slot
-    got = pairs.groupBy("y", "word").agg(F.count(F.lit(1)).alias("n")).toArrow()
-    kinds = np.zeros((2, WORD_SLOTS))
-    kinds[got["y"].to_numpy(), got["word"].to_numpy()] = got["n"].to_numpy()
-    if not kinds.any(axis=1).all():
+            known: dict[bytes, list[int]] = {}
+            each = []
+            for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                ws = words(t)
+                for w in set(ws).difference(known):
+                    known[w] = chain(w)
+                x = np.array([known[w][-1] for w in ws], np.int64)
+                if len(x):
+                    held = [s for w in set(ws) for s in known[w]]
+                    each.append(np.unique(np.concatenate([held, pair_slot(before(x, np.array([len(x)])), x)])) * 2 + y)
+            key, n = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
+
+    size = {r["y"]: r["n"] for r in texts.filter("counted").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if {0, 1} - size.keys():
         return None
-    part = kinds.sum(axis=1, keepdims=True) / kinds.sum()
-    word = (np.maximum(kinds - DISCOUNT, 0) + SHARED) / (part * kinds.sum(axis=0) + SHARED)
-    # a pair seen once in all falls to its word; the others by slot, at most two rows a slot
-    total = {r["y"]: r["n"] for r in pairs.groupBy("y").agg(F.sum("n").alias("n")).collect()}
-    got = _by_slot(pairs).toArrow()
-    pair = np.zeros((2, PAIR_SLOTS), np.float32)
+    one = [F.sum(F.when(F.col("key") % 2 == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
+    got = (texts.filter("counted").select("text", "y").mapInArrow(count, "key bigint, n bigint")
+           .groupBy(F.expr("key div 2").alias("slot")).agg(*one).filter("n0 + n1 > 1").toArrow())  # at most a row a slot
+    counts = np.zeros((2, SLOTS), np.float32)
     for y in (0, 1):
-        pair[y, got["slot"].to_numpy()] = got[f"n{y}"].to_numpy()
-    model = Model(word.astype(np.float32), pair, np.array([total[0], total[1]]) / (total[0] + total[1]))
-    shared_model = spark.sparkContext.broadcast(model)
+        counts[y, got["slot"].to_numpy()] = got[f"n{y}"].to_numpy()
+    model = Model(counts, np.array([size[0], size[1]]) / (size[0] + size[1]))
+    shared = spark.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = Slots()
+        scorer = Scorer(shared.value)
         for b in batches:
-            x = shared_model.value.features(b.column(0).to_pylist(), slots)
+            x = scorer.features(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), b.column(1)], ["x", "y"])
 
     got = texts.filter("NOT counted").select("text", "y").mapInArrow(features, "x array<double>, y int").toArrow()
@@ -180,19 +214,6 @@ def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, id_col
     return model
 
 
-def _by_slot(pairs: DataFrame) -> DataFrame:
-    both = (pairs.groupBy("first", "word").agg(*[F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)])
-            .filter("n0 + n1 > 1"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slot = pair_slot(b.column(0).to_numpy(), b.column(1).to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(slot), b.column(2), b.column(3)], ["slot", "n0", "n1"])
-
-    return (both.mapInArrow(run, "slot bigint, n0 bigint, n1 bigint")
-            .groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
-
-
 def with_score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, row, score): every row of ``docs`` whole in the struct ``row``, so that no column name can clash.
 
@@ -204,13 +225,13 @@ def with_score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", tex
     own = docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
     if model is None:
         return own.select("id", "row", F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(model)  # fixed slots: 18 MB
+    shared = spark.sparkContext.broadcast(model)  # fixed slots: 32 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = Slots()
+        scorer = Scorer(shared.value)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(
-                shared.value.score(b.column(2).to_pylist(), slots))], ["id", "row", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scorer.score(b.column(2).to_pylist()))],
+                                             ["id", "row", "score"])
 
     schema = own.select("id", "row").schema.add("score", "double")
     return own.mapInArrow(run, schema)
