@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docket.llm import exact_dedup, mixing, packing, quality, secrets, toxicity, urls
+from docket.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, packing, quality, secrets, toxicity, urls
 from docket.llm.common import held_out, load
 
 LEARN_FROM = ~held_out(F.col("doc_id"), 4, 2)
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(load(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op2_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(load(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -40,6 +44,10 @@ def op7_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(load(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_bayesian_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_groups(load(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_concatenate_and_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -49,5 +57,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_url_language_models, op4_kneser_ney_toxicity, op5_soft_membership_mixing, op6_attention_quality, op7_chunk_recipes, op9_concatenate_and_cut, op10_trigram_secrets)}
-ORACLES = {"op7_chunk_recipes": exact_dedup.ORACLE_SQL}
+    op1_cross_polytope, op2_url_language_models, op4_kneser_ney_toxicity, op5_soft_membership_mixing,
+    op6_attention_quality, op7_chunk_recipes, op8_bayesian_minhash, op9_concatenate_and_cut, op10_trigram_secrets)}
+ORACLES = {"op1_cross_polytope": embedding_dedup.ORACLE_SQL, "op7_chunk_recipes": exact_dedup.ORACLE_SQL,
+           "op8_bayesian_minhash": minhash_dedup.ORACLE_SQL}
