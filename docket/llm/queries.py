@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docket.llm import embedding_dedup, exact_dedup, minhash_dedup, mixing, packing, quality, secrets, toxicity, urls
+from docket.llm import embedding_dedup, exact_dedup, lm_scoring, minhash_dedup, mixing, packing, quality, secrets, toxicity, urls
 from docket.llm.common import held_out, load
 
 LEARN_FROM = ~held_out(F.col("doc_id"), 4, 2)
@@ -19,6 +19,13 @@ def op2_url_language_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(load(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op3_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents", "doc_id", "text")
+    back = held_out(F.col("doc_id"), 10, 0)
+    return lm_scoring.score_texts(docs, ~back).select(
+        "doc_id", back.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), LEARN_FROM)
@@ -57,7 +64,7 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_cross_polytope, op2_url_language_models, op4_kneser_ney_toxicity, op5_soft_membership_mixing,
+    op1_cross_polytope, op2_url_language_models, op3_hashed_maxent, op4_kneser_ney_toxicity, op5_soft_membership_mixing,
     op6_attention_quality, op7_chunk_recipes, op8_bayesian_minhash, op9_concatenate_and_cut, op10_trigram_secrets)}
 ORACLES = {"op1_cross_polytope": embedding_dedup.ORACLE_SQL, "op7_chunk_recipes": exact_dedup.ORACLE_SQL,
            "op8_bayesian_minhash": minhash_dedup.ORACLE_SQL}
