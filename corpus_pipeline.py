@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from docket.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity
 from docket.llm.common import load, saved
-from docket.llm.queries import LEARN_FROM
+from docket.llm.queries import learn_from
 
 TOXIC = 0.3
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below ``TOXIC``."""
-    model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), LEARN_FROM)
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), learn_from())
     return toxicity.with_score(docs, model).filter(F.col("score") < TOXIC).select("row.*")
 
 

@@ -250,7 +250,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         links = saved(links.unionByName(confirmed(more, texts_of(more, own))), "links")
         labels = saved(components(links), "components")
 
-    member = feats.join(twins, "digest", "left").select("id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep"))
+    member = feats.join(twins, "digest", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep"))
     member = member.withColumn("rep", F.coalesce("rep", "id"))
     out = member.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.coalesce("component", "rep")

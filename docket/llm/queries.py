@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docket.llm import embedding_dedup, exact_dedup, lm_scoring, minhash_dedup, mixing, packing, quality, secrets, toxicity, urls
 from docket.llm.common import held_out, load
 
-LEARN_FROM = ~held_out(F.col("doc_id"), 4, 2)
+
+def learn_from() -> Column:
+    """The ids of ``labels`` that classifiers may learn from."""
+    return ~held_out(F.col("doc_id"), 4, 2)
 
 
 def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +31,7 @@ def op3_hashed_maxent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), LEARN_FROM)
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels", "doc_id", "toxic"), learn_from())
     return toxicity.with_score(docs, model).select(
         F.col("id").alias("doc_id"), held_out(F.col("id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
@@ -42,7 +45,7 @@ def op5_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    model = quality.fit(docs, load(spark, sf_dir, "labels", "doc_id", "quality"), LEARN_FROM)
+    model = quality.fit(docs, load(spark, sf_dir, "labels", "doc_id", "quality"), learn_from())
     return quality.score(docs, model).select(
         "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
