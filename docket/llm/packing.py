@@ -10,7 +10,9 @@ the only padding is in the last sequence.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -26,28 +28,44 @@ from docket.llm.common import arrow_batches, saved
 WINDOW = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 200_000  # pre-tokens whose ids a worker remembers
+CACHED_WORDS = 300_000  # pre-tokens in a generation whose ids a worker remembers
+
+
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary (a fixed rule): printable
+    Latin-1 for itself, the others for those from 256 on, in turn."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
 
 
 class Encoder(dict):
-    """Ids of a text, as packed little-endian integers, by the ``tokenizers`` library; the ids of
-    frequent pre-tokens are remembered, which byte-level merges allow as they never cross one."""
+    """Ids of a text, as packed little-endian integers, by the ``tokenizers`` library.
+
+    Byte-level merges never cross a pre-token, so each goes to the library's model alone and the
+    ids of those met lately are remembered in two generations of bounded size.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.bytes = self.tokenizer.model, byte_characters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.special = regex.compile("|".join(regex.escape(t.content) for t in
                                               self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)").search
-        self.width = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.width = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width).tobytes()
+        return array(self.width, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            mapped = word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.bytes)
+            ids = array(self.width, [t.id for t in self.model.tokenize(mapped)]).tobytes()
         if len(self) >= CACHED_WORDS:
+            self.old = dict(self)
             self.clear()
-        ids = self.whole(word)
         if len(word) <= 64:
             self[word] = ids
         return ids
@@ -56,13 +74,19 @@ class Encoder(dict):
         return self.whole(text) if self.special(text) else b"".join(map(self.__getitem__, self.split(text)))
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker, so that it stays warm."""
+    return Encoder(path)
+
+
 def tokenize(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_id: int) -> DataFrame:
     """Id, ids (packed, with the end id), their count, the partition and the start within it."""
     arrow_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(public_tokenizers.path(vocabulary))
-        last, size = np.array([end_id], encoder.width).tobytes(), int(encoder.width[-1])
+        encoder = worker_encoder(public_tokenizers.path(vocabulary))
+        last, size = array(encoder.width, [end_id]).tobytes(), array(encoder.width).itemsize
         part, at = TaskContext.get().partitionId(), 0
         for b in batches:
             ids = [encoder.encode(t or "") + last for t in b.column(1).to_pylist()]
