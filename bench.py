@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,7 +24,8 @@ def main() -> None:
     from docket.plans import all_queries
     from docket.session import build_session
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2, app="docket-bench",
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="docket-bench-")})
     qs = all_queries()
     names = only or sorted(qs)
     # warm-up: JIT, class loading, file listing cache

@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from docket.session import bounded_broadcast
 
 
 def _c(col) -> Column:
@@ -40,34 +37,24 @@ def canonical_period(label) -> Column:
         head = F.regexp_replace(head, rf"\b{short}\b", full)
     year = year_tok.cast("int")
     year = F.when(year < 2000, year + 2000).otherwise(year)
-    return F.when((s == "") | (year_tok == ""), F.lit(None).cast("string")) \
+    return F.when(s.isNull() | (s == "") | (year_tok == ""), F.lit(None).cast("string")) \
         .otherwise(F.concat_ws(" ", head, year.cast("string")))
 
 
-def period_dimension(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
-    """Canonical half-year periods with an ordinal, built from a rule (no long CASE).
+def normalise_period(df: DataFrame, col: str, base_year: int, shift: Column | None = None) -> DataFrame:
+    """Add canonical label, label year, ordinal and reporting year (0 when the label is no
+    half-year), and the shifted relevant year.
 
-    Ordinal = 2*(year-first_year)+1 for January to June, +2 for July to December.
-    Bounded by the year range, so it is safe to broadcast.
+    The ordinal is a formula, for any year: 2 * (year - base_year) + 1 for January to June, + 2
+    for July to December (so years before ``base_year`` count backwards).
     """
-    rows = []
-    for y in range(first_year, last_year + 1):
-        rows.append((f"January to June {y}", y, 2 * (y - first_year) + 1))
-        rows.append((f"July to December {y}", y, 2 * (y - first_year) + 2))
-    schema = T.StructType([T.StructField("canonical_period", T.StringType()),
-                           T.StructField("reporting_year", T.IntegerType()),
-                           T.StructField("period_ordinal", T.IntegerType())])
-    return spark.createDataFrame(rows, schema)
-
-
-def normalise_period(df: DataFrame, col: str, dimension: DataFrame,
-                     shift: Column | None = None) -> DataFrame:
-    """Add canonical label, label year, ordinal (0 when unknown) and shifted relevant year."""
     out = df.withColumn("canonical_period", canonical_period(col)) \
             .withColumn("period_year", period_year(col))
-    out = out.join(bounded_broadcast(dimension), "canonical_period", "left")
-    out = out.withColumn("period_ordinal", F.coalesce("period_ordinal", F.lit(0))) \
-             .withColumn("reporting_year", F.coalesce("reporting_year", F.lit(0)))
+    c = F.col("canonical_period")
+    half = F.when(c.rlike("^January to June [0-9]{4}$"), 1).when(c.rlike("^July to December [0-9]{4}$"), 2)
+    year = F.right(c, F.lit(4)).try_cast("int")
+    out = out.withColumn("period_ordinal", F.coalesce(2 * (year - base_year) + half, F.lit(0)).cast("int")) \
+             .withColumn("reporting_year", F.when(half.isNotNull(), year).otherwise(0).cast("int"))
     if shift is not None:
         out = out.withColumn("relevant_year", F.col("period_year") + shift)
     return out

@@ -1,48 +1,45 @@
 """Keyed, time-ordered scans that survive a hot key.
 
-A window partitioned by the entity key alone sends every row of a key to
-one task; if one key holds a third of the data that task holds a third of
-the data. ``KeyedScan`` runs each running aggregate per (key, bucket) where
-the bucket is a coarse slice of the ordering column, and carries state in
-from earlier buckets through a per-bucket summary. The summary has one row
-per (key, non-empty bucket), so even a hot key contributes only as many
-rows as it has buckets. Order columns must be ascending and give a total
-order within a key.
+A window partitioned by the entity key alone sends every row of a key to one task; if one key
+holds a third of the data that task holds a third of the data. ``KeyedScan`` range-partitions
+the rows by (key, order) and commits them with the number of their range, so that each range
+holds an even share of all rows however they are spread over keys and time, a burst within one
+second included. Running aggregates then run per (key, range), and state is carried in from a
+key's earlier ranges through a summary with one row per (key, range): at most as many as there
+are ranges. The result does not depend on where the ranges end. Order columns must be ascending
+and give a total order within a key; NULL keys and NULL order values are values like others.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docket.session import committed
 
-def day_bucket(col, days: int = 7) -> Column:
-    """Bucket of ``days`` days for a timestamp/date column; monotonic, time-zone free."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")) / F.lit(days)).cast("long")
 
-
-def time_bucket(col, seconds: int) -> Column:
-    """Bucket of ``seconds`` for a timestamp_ntz column, from its calendar fields
-    (day number x 86400 + seconds of day): monotonic and time-zone free, for
-    keys whose rows burst within a day."""
-    c = F.col(col) if isinstance(col, str) else col
-    day = F.datediff(c.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
-    sec = day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
-    return F.floor(sec / F.lit(seconds)).cast("long")
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on ``keys`` with NULL matching NULL; the keys appear once, from ``left``."""
+    r = right.select(*[F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns])
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
 @dataclass
 class KeyedScan:
     keys: list[str]
     order: list[str]            # ascending, total within key
-    bucket: Column              # monotonic in ``order``
     bucket_col: str = "__bkt"
 
     def prepare(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(self.bucket_col, self.bucket)
+        """The rows in ranges of (key, order), committed: every later use sees the same ranges."""
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = df.repartitionByRange(n, *[F.col(c) for c in [*self.keys, *self.order]])
+        return committed(ranged.withColumn(self.bucket_col, F.spark_partition_id()), "scan")
 
     # -- windows -----------------------------------------------------------
     def _in_bucket(self, lo, hi):
@@ -61,8 +58,8 @@ class KeyedScan:
         ``lasts``: name -> (condition, value): value of the latest earlier row meeting it.
         ``firsts``: name -> (condition, value): value of the earliest later row meeting it.
         ``inclusive`` lets a row see itself. One window over (key, bucket), one
-        per-bucket summary on the same partitioning, one small carry window per
-        key over buckets and one join back.
+        per-range summary, one small carry window per
+        key over its ranges and one join back.
         """
         counts, lasts, firsts = counts or {}, lasts or {}, firsts or {}
         if self.bucket_col not in df.columns:
@@ -93,9 +90,8 @@ class KeyedScan:
             finals.append(F.coalesce(F.col(f"__l_{n}"), F.col(f"__c_{n}")).getField("v").alias(n))
         kb = [*self.keys, self.bucket_col]
         x = df.select("*", *loc)
-        s = x.groupBy(*kb).agg(*summ)
-        c = s.select(*kb, *carry)
-        out = x.join(c, kb, "left")
+        c = df.groupBy(*kb).agg(*summ).select(*kb, *carry)
+        out = null_safe_join(x, c, kb)
         tmp = [f"__l_{n}" for n in [*counts, *lasts, *firsts]] + [f"__c_{n}" for n in [*counts, *lasts, *firsts]]
         return out.select(*[F.col(k) for k in df.columns], *finals).drop(*[t for t in tmp if t in out.columns])
 

@@ -40,12 +40,12 @@ def key_equals(a, b, null_keys: str = "match", kind: str = "string") -> Column:
 
 
 # Placeholder tokens that mean "missing" in free-text columns.
-DEFAULT_PLACEHOLDERS = ["N/A", "NA", "NONE", "NULL", "-", "NOT APPLICABLE"]
+DEFAULT_PLACEHOLDERS = ["N/A", "NA", "NOT SET", "-", "NONE"]
 
 
-def scrub_placeholders(col, tokens: list[str] | None = None) -> Column:
+def scrub_placeholders(col, tokens: list[str] | None = None, extra: tuple[str, ...] = ()) -> Column:
     """Blank or placeholder text -> NULL; other values trimmed (O-13)."""
-    toks = [t.upper() for t in (tokens if tokens is not None else DEFAULT_PLACEHOLDERS)]
+    toks = [t.upper() for t in [*(tokens if tokens is not None else DEFAULT_PLACEHOLDERS), *extra]]
     trimmed = F.trim(_c(col))
     return F.when((trimmed == "") | F.upper(trimmed).isin(toks), F.lit(None).cast("string")) \
         .otherwise(trimmed)

@@ -24,8 +24,11 @@ def parse_event_time(col, mode: str = "millis") -> Column:
         return F.try_to_timestamp(head, F.lit("yyyy-MM-dd HH:mm:ss[.SSS][.SS][.S]")).cast("timestamp_ntz")
     if mode == "utc":
         ts = F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSSS][.SSSSSS][.SSS]XXX"))
-        # instant -> its UTC wall time, independent of the session time zone
-        return F.to_utc_timestamp(ts, F.current_timezone()).cast("timestamp_ntz")
+        # instant -> its UTC wall time, from microseconds: no session time zone, so no gap in it, takes part
+        micros, day = F.unix_micros(ts), F.lit(86_400_000_000)
+        days = F.floor(micros / day)
+        rest = (micros - days * day).cast("decimal(18,6)") / F.lit(1_000_000)
+        return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), rest.cast("decimal(18,6)"))
     raise ValueError(mode)
 
 

@@ -88,17 +88,24 @@ def diff_breakdowns(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Col
 
 def membership_change(a: DataFrame, b: DataFrame, key: str, attr: str,
                       attr_rank: Mapping[str, int]) -> DataFrame:
-    """added / removed / size increased / size decreased / no change (O-53)."""
+    """added / removed / size increased / size decreased / size removed / no change (O-53).
+
+    Presence decides added and removed, so a member without a size is present. A missing old
+    size counts as the lowest when the new one is larger than that, as the highest when smaller.
+    """
     pairs = [x for k, v in attr_rank.items() for x in (F.lit(k), F.lit(v))]
     rank = F.create_map(*pairs)
-    x = a.select(key, F.col(attr).alias(f"{attr}_1")).join(
-        b.select(key, F.col(attr).alias(f"{attr}_2")), key, "full_outer")
+    x = a.select(key, F.col(attr).alias(f"{attr}_1"), F.lit(True).alias("__in_a")).join(
+        b.select(key, F.col(attr).alias(f"{attr}_2"), F.lit(True).alias("__in_b")), key, "full_outer")
     r1, r2 = F.try_element_at(rank, F.col(f"{attr}_1")), F.try_element_at(rank, F.col(f"{attr}_2"))
-    change = (F.when(F.col(f"{attr}_1").isNull(), F.lit("added"))
-              .when(F.col(f"{attr}_2").isNull(), F.lit("removed"))
-              .when(r2 > r1, F.lit("size increased"))
-              .when(r2 < r1, F.lit("size decreased")).otherwise(F.lit("no change")))
-    return x.withColumn("change", change)
+    low, high = F.lit(min(attr_rank.values())), F.lit(max(attr_rank.values()))
+    change = (F.when(F.col("__in_a").isNull(), F.lit("added"))
+              .when(F.col("__in_b").isNull(), F.lit("removed"))
+              .when(r2 > F.coalesce(r1, low), F.lit("size increased"))
+              .when(r2 < F.coalesce(r1, high), F.lit("size decreased"))
+              .when(F.col(f"{attr}_1").isNotNull() & F.col(f"{attr}_2").isNull(), F.lit("size removed"))
+              .otherwise(F.lit("no change")))
+    return x.withColumn("change", change).drop("__in_a", "__in_b")
 
 
 def diff_columns_long(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Sequence[str],
@@ -118,30 +125,37 @@ def diff_columns_long(a: DataFrame, b: DataFrame, keys: Sequence[str], cols: Seq
                       for c in cols])
     x = x.select(*keys, "__in_a", "__in_b", F.explode(items).alias("__i")).select(
         *keys, "__in_a", "__in_b", "__i.*")
+    # NULL and '' are one value here (T2)
+    old, new = F.coalesce("old_value", F.lit("")), F.coalesce("new_value", F.lit(""))
     change = (F.when(F.col("__in_a").isNull(), F.lit("Joiner"))
               .when(F.col("__in_b").isNull(), F.lit("Leaver"))
-              .when(F.col("old_value").eqNullSafe(F.col("new_value")), F.lit("No Change"))
-              .when(F.col("old_value").isNull(), F.lit("Added"))
-              .when(F.col("new_value").isNull(), F.lit("Removed"))
+              .when(old == new, F.lit("No Change"))
+              .when(old == "", F.lit("Added"))
+              .when(new == "", F.lit("Removed"))
               .otherwise(F.lit("Changed")))
     return x.withColumn("change", change).drop("__in_a", "__in_b")
 
 
-def year_on_year(y1: DataFrame, y2: DataFrame, scheme: str, member: str) -> DataFrame:
+def year_on_year(y1: DataFrame, y2: DataFrame, scheme: str, member: str, newest: Sequence[str] = (),
+                 carry: Sequence[str] = ()) -> DataFrame:
     """Joiner / Leaver / No change per (scheme, member), and where a leaver went (O-55).
 
-    The full join is null-safe on both keys; ``moved_to`` is the leaver's
-    scheme in year 2 (one row per member there).
+    The full join is null-safe on both keys. ``moved_to`` is the scheme of the leaver's newest
+    row in year 2 (largest ``newest`` columns, then largest scheme: one row, so nothing fans
+    out), and ``moved_<c>`` its attribute ``c`` for each of ``carry``.
     """
     a = y1.select(F.col(scheme).alias("__s1"), F.col(member).alias("__m1"), F.lit(True).alias("__in1"))
     b = y2.select(F.col(scheme).alias("__s2"), F.col(member).alias("__m2"), F.lit(True).alias("__in2"))
     x = a.join(b, F.col("__s1").eqNullSafe(F.col("__s2")) & F.col("__m1").eqNullSafe(F.col("__m2")), "full_outer")
-    x = x.select(F.coalesce("__s1", "__s2").alias(scheme), F.coalesce("__m1", "__m2").alias(member),
+    x = x.select(F.when(F.col("__in1"), F.col("__s1")).otherwise(F.col("__s2")).alias(scheme),
+                 F.when(F.col("__in1"), F.col("__m1")).otherwise(F.col("__m2")).alias(member),
                  F.when(F.col("__in1").isNull(), F.lit("Joiner")).when(F.col("__in2").isNull(), F.lit("Leaver"))
                   .otherwise(F.lit("No change")).alias("status"))
-    dest = y2.select(F.col(member).alias("__m"), F.col(scheme).alias("moved_to"))
-    x = x.join(dest, x[member] == dest["__m"], "left").drop("__m")
-    return x.withColumn("moved_to", F.when(F.col("status") == "Leaver", F.col("moved_to")))
+    order = F.struct(*[F.col(c) for c in newest], F.col(scheme))
+    dest = (y2.groupBy(F.col(member).alias("__m"))
+              .agg(F.max_by(F.struct(F.col(scheme).alias("s"), *[F.col(c) for c in carry]), order).alias("__d")))
+    x = x.join(dest, (x[member] == dest["__m"]) & (x["status"] == "Leaver"), "left")
+    return x.select(scheme, member, "status", F.col("__d.s").alias("moved_to"), *[F.col(f"__d.{c}").alias(f"moved_{c}") for c in carry])
 
 
 def changed_members(old: DataFrame, new: DataFrame, member: str) -> DataFrame:
@@ -171,14 +185,16 @@ def cross_validate(declared: DataFrame, reported: DataFrame, key: str, declared_
     status: declared_only / reported_only / match (|diff| <= tolerance x declared)
     / mismatch.
     """
-    x = declared.select(key, declared_total).join(reported.select(key, reported_total), key, "full_outer")
+    x = (declared.select(key, declared_total, F.lit(True).alias("__in_d"))
+         .join(reported.select(key, reported_total, F.lit(True).alias("__in_r")), key, "full_outer"))
     for name, keys_df in (flags or {}).items():
         k = keys_df.select(F.col(key).alias("__k")).distinct().withColumn(name, F.lit(True))
         x = x.join(k, x[key] == k["__k"], "left").drop("__k").withColumn(name, F.coalesce(name, F.lit(False)))
-    d, r = F.col(declared_total), F.col(reported_total)
-    status = (F.when(r.isNull(), F.lit("declared_only")).when(d.isNull(), F.lit("reported_only"))
+    # presence decides who declared and who reported; a missing total counts as 0
+    d, r = F.coalesce(F.col(declared_total), F.lit(0)), F.coalesce(F.col(reported_total), F.lit(0))
+    status = (F.when(F.col("__in_r").isNull(), F.lit("declared_only")).when(F.col("__in_d").isNull(), F.lit("reported_only"))
               .when(F.abs(d - r) <= F.abs(d) * tolerance, F.lit("match")).otherwise(F.lit("mismatch")))
-    return x.withColumn("status", status)
+    return x.withColumn("status", status).drop("__in_d", "__in_r")
 
 
 def drill_down(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column]], name: str,

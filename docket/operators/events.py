@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docket.session import bounded_broadcast
-
-from docket.functions.scan import KeyedScan, day_bucket
+from docket.functions.scan import KeyedScan, null_safe_join
+from docket.functions.text import ci
 from docket.operators.latest import latest_per_key
 
 
@@ -19,16 +18,16 @@ def _cols(xs):
 
 def asof_attribute(events: DataFrame, anchors: DataFrame, keys: Sequence[str],
                    event_time: str, anchor_time: str, event_cols: Sequence[str],
-                   anchor_cols: Sequence[str], bucket_days: int = 7,
+                   anchor_cols: Sequence[str],
                    strict: bool = True, direction: str = "backward") -> DataFrame:
     """As-of join (O-20): each event gets the latest earlier anchor of its key.
 
     ``strict`` means ``anchor_time < event_time`` (else ``<=``); ``direction``
     ``forward`` gives the earliest later anchor instead. Among anchors at the
     same time the largest (backward) / smallest (forward) ``anchor_cols`` wins.
-    Plan: union both sides and scan in time order per (key, bucket) with a
-    carried-in value from earlier buckets; linear, no range join, and a hot key
-    is spread over its buckets. Output: keys, event_cols, anchor_cols prefixed
+    An anchor or event without a time matches nothing (NULL is not before anything).
+    Plan: union both sides and scan them in time order (``KeyedScan``): no range
+    join, and a hot key is spread over its ranges. Output: keys, event_cols, anchor_cols prefixed
     ``anchor_`` (NULL when there is no anchor).
     """
     if direction not in ("backward", "forward"):
@@ -42,9 +41,9 @@ def asof_attribute(events: DataFrame, anchors: DataFrame, keys: Sequence[str],
     e_type = events.select(e_struct.alias("e")).schema["e"].dataType
     ev = events.select(*keys, F.col(event_time).alias("__t"), F.lit(ev_side).alias("__side"),
                        e_struct.alias("__e"), F.lit(None).cast(a_type).alias("__a"))
-    an = anchors.select(*keys, F.col(anchor_time).alias("__t"), F.lit(an_side).alias("__side"),
+    an = anchors.filter(F.col(anchor_time).isNotNull()).select(*keys, F.col(anchor_time).alias("__t"), F.lit(an_side).alias("__side"),
                         F.lit(None).cast(e_type).alias("__e"), a_struct.alias("__a"))
-    scan = KeyedScan(list(keys), ["__t", "__side", "__a", "__e"], day_bucket("__t", bucket_days))
+    scan = KeyedScan(list(keys), ["__t", "__side", "__a", "__e"])
     x = scan.prepare(ev.unionByName(an))
     is_anchor = F.col("__a").isNotNull()
     if direction == "backward":
@@ -52,6 +51,7 @@ def asof_attribute(events: DataFrame, anchors: DataFrame, keys: Sequence[str],
     else:
         x = scan.first_after(x, is_anchor, F.col("__a"), "__hit")
     x = scan.finish(x).filter(F.col("__e").isNotNull())
+    x = x.withColumn("__hit", F.when(F.col("__t").isNotNull(), F.col("__hit")))
     return x.select(*keys, *[F.col(f"__e.{c}").alias(c) for c in event_cols],
                     *[F.col(f"__hit.{c}").alias(f"anchor_{c}") for c in anchor_cols])
 
@@ -76,7 +76,7 @@ def event_state(events: DataFrame, key: str, time: str, id_col: str, type_col: s
     t, ty = F.col(time), F.col(type_col)
     word = decision
     for raw, shown in DECISION_WORDING.items():
-        word = F.when(decision == raw, F.lit(shown)).otherwise(word)
+        word = F.when(ci(decision) == raw.lower(), F.lit(shown)).otherwise(word)
     is_sub, is_dec, is_res = ty == submit_type, ty == decision_type, ty == resubmit_type
     ordering = F.struct(t, F.col(id_col))
     agg = events.groupBy(key).agg(
@@ -116,8 +116,8 @@ def file_decision_status(files: DataFrame, submission: str, decision: Column, de
                                         F.struct(F.col(decided_at), F.col("__dec")))).alias("__sub_dec"))
     f = f.join(sub, submission, "left")
     eff = F.coalesce(F.col("__dec"), F.col("__sub_dec"))
-    named = F.when((eff == "Accepted") & (year >= rename_from_year), F.lit("Granted")) \
-             .when((eff == "Rejected") & (year >= rename_from_year), F.lit("Refused")).otherwise(eff)
+    named = F.when((ci(eff) == "accepted") & (year >= rename_from_year), F.lit("Granted")) \
+             .when((ci(eff) == "rejected") & (year >= rename_from_year), F.lit("Refused")).otherwise(eff)
     status = (F.when(F.col("__sub_cancel") == 1, F.lit("Cancelled"))
               .when(eff.isNotNull(), named)
               .when(pending, F.lit("Pending"))
@@ -125,7 +125,7 @@ def file_decision_status(files: DataFrame, submission: str, decision: Column, de
     return f.withColumn("status", status).drop("__dec", "__cancel", "__sub_cancel", "__sub_dec")
 
 
-def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 counts: dict[str, Column], lasts: dict[str, tuple[Column, Column]],
                 pending: Column | None = None, newest: Column | None = None) -> DataFrame:
     """Per row, statistics over strictly earlier rows of its key (O-23).
@@ -136,13 +136,13 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket
     their key (``newest`` = the ordering expression compared with its max).
     Replaces correlated TOP 1 / COUNT subqueries with a bucketed keyed scan.
     """
-    scan = KeyedScan(list(keys), list(order), bucket)
+    scan = KeyedScan(list(keys), list(order))
     x = scan.finish(scan.run(scan.prepare(df), counts=counts, lasts=lasts))
     if pending is not None:
         nv = newest if newest is not None else F.struct(*_cols(order))
         x = x.withColumn("__nv", nv)
         mx = x.groupBy(*keys).agg(F.max("__nv").alias("__mx"))
-        x = x.join(mx, list(keys), "left").filter(~pending | (F.col("__nv") == F.col("__mx"))) \
+        x = null_safe_join(x, mx, list(keys)).filter(~pending | F.col("__nv").eqNullSafe(F.col("__mx"))) \
              .drop("__nv", "__mx")
     return x
 
@@ -173,16 +173,24 @@ def audit_history(df: DataFrame, entity: str, time: str, id_col: str, json_col:
                 .withColumn("is_current", F.col("value") == F.col("__cur")).drop("__cur"))
 
 
+def size_deadline(size: Column, year: Column, large_from: int) -> Column:
+    """Deadline by size and year, for any year: small 2 April of the year; large 2 October of
+    the year before from ``large_from`` on, else 2 April."""
+    april = F.make_date(year, F.lit(4), F.lit(2))
+    large = F.when(year >= large_from, F.make_date(year - 1, F.lit(10), F.lit(2))).otherwise(april)
+    return F.when(size == "large", large).when(size == "small", april)
+
+
 def deadline_flags(df: DataFrame, keys: Sequence[str], time: str, size: Column,
-                   calendar: DataFrame) -> DataFrame:
+                   large_from: int) -> DataFrame:
     """Late / on time from the first submission vs the deadline by size and year (O-26).
 
-    ``calendar``: (size, year, deadline) built from a rule, so it is bounded
-    by (#sizes x #years) and safe to broadcast.
+    The deadline is a formula of size and year (``size_deadline``): no calendar
+    table, no range of years.
     """
     x = df.withColumn("size", size).withColumn("year", F.year(time))
     first = x.groupBy(*keys, "size", "year").agg(F.min(time).alias("first_submission"))
-    out = first.join(bounded_broadcast(calendar), ["size", "year"], "left")
+    out = first.withColumn("deadline", size_deadline(F.col("size"), F.col("year"), large_from))
     return out.withColumn("is_late", F.col("first_submission") >= F.col("deadline"))
 
 
@@ -205,7 +213,7 @@ def upload_bundle(files: DataFrame, members: DataFrame, key: str, set_id: str,
 
 def registration_state(events: DataFrame, key: str, time: str, id_col: str, type_col: str, file_col: str,
                        decision: str, is_resub: Column, upload_type: str, application_type: str,
-                       decision_type: str, bucket_days: int = 7) -> DataFrame:
+                       decision_type: str) -> DataFrame:
     """Registration fold with file attribution and resubmissions (O-21, S3).
 
     * newest copy per (key, event id) is kept;
@@ -230,14 +238,14 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
     uploads = x.filter(F.col(type_col) == upload_type)
     others = x.filter(F.col(type_col).isin(application_type, decision_type))
     att = asof_attribute(others, uploads, [key], time, time, [id_col, time, type_col, file_col, decision, "__resub"],
-                         [time, id_col, file_col], bucket_days=bucket_days, strict=True)
+                         [time, id_col, file_col], strict=True)
     ty, t = F.col(type_col), F.col(time)
     app = ty == application_type
     dec = ty == decision_type
     reg_dec = dec & F.col(file_col).isNull()
     res_dec = dec & F.col(file_col).isNotNull()
-    raw = F.trim(F.col(decision))
-    wording = (F.when(raw == "Accepted", F.lit("Granted")).when(raw == "Rejected", F.lit("Refused"))
+    raw = ci(F.trim(F.col(decision)))
+    wording = (F.when(raw == "accepted", F.lit("Granted")).when(raw == "rejected", F.lit("Refused"))
                .when(F.col(decision).isNull(), F.lit("Pending")).otherwise(F.col(decision)))
     res_wording = F.coalesce(F.col(decision), F.lit("Pending"))
     app_rec = F.struct(t.alias("t"), F.col(id_col).alias("id"), F.col(f"anchor_{file_col}").alias("file"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.functions.scan import KeyedScan, day_bucket
+from docket.functions.scan import KeyedScan, null_safe_join
 
 
 def _cols(xs):
@@ -57,7 +57,7 @@ def latest_flag(df: DataFrame, keys: Sequence[str], ts: Column, out: str = "is_l
     """
     df = df.withColumn("__ts", ts)
     mx = df.groupBy(*keys).agg(F.max("__ts").alias("__mx"))
-    return (df.join(mx, list(keys), "left")
+    return (null_safe_join(df, mx, list(keys))
               .withColumn(out, F.coalesce(F.col("__ts") == F.col("__mx"), F.lit(False)))
               .drop("__ts", "__mx"))
 
@@ -82,12 +82,12 @@ def latest_with_fallback(df: DataFrame, keys: Sequence[str], accepted: Column,
 
 
 def collapse_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[str], state: str,
-                     file_col: str, bucket: Column) -> DataFrame:
+                     file_col: str) -> DataFrame:
     """Drop a row when the next row of its key has the same state from a different file (O-18).
 
-    The LEAD runs as a bucketed keyed scan so a hot key is split across tasks.
+    The LEAD runs as a keyed scan so a hot key is split across tasks.
     """
-    scan = KeyedScan(list(keys), list(order), bucket)
+    scan = KeyedScan(list(keys), list(order))
     x = scan.prepare(df)
     x = scan.next_value(x, F.struct(F.col(state).alias("s"), F.col(file_col).alias("f")), "__next")
     drop = (F.col("__next.s").eqNullSafe(F.col(state))) & ~(F.col("__next.f").eqNullSafe(F.col(file_col)))
@@ -109,7 +109,7 @@ ACCEPTED_STATUSES = ["GRANTED", "REFUSED", "CANCELLED", "APPROVED"]
 
 
 def submission_first_latest(df: DataFrame, keys: Sequence[str], time: str, file_col: str, status: str,
-                            resub: Column, payload: Sequence[str] = (), bucket_days: int = 30) -> DataFrame:
+                            resub: Column, payload: Sequence[str] = ()) -> DataFrame:
     """First and latest submission per key under the full status-class rules (O-15, S5).
 
     1. class: raw = upper(trim(status)), missing -> PENDING; QUERIED -> PENDING;
@@ -124,7 +124,7 @@ def submission_first_latest(df: DataFrame, keys: Sequence[str], time: str, file_
        resubmission when the key has no pending/accepted resubmission, last
        pending/accepted resubmission.
     Ties on time are broken by file. One aggregate + join for rule 2, a
-    bucketed keyed scan for rule 3, one aggregation for rules 4-5.
+    keyed scan for rule 3, one aggregation for rules 4-5.
     """
     raw = F.upper(F.trim(F.coalesce(F.col(status), F.lit("PENDING"))))
     cls = (F.when(raw == "QUERIED", F.lit("PENDING")).when(raw.isin(ACCEPTED_STATUSES), F.lit("ACCEPTED"))
@@ -134,9 +134,9 @@ def submission_first_latest(df: DataFrame, keys: Sequence[str], time: str, file_
     is_pa = F.col("__cls").isin("PENDING", "ACCEPTED")
     pa = x.filter(is_pa & ~F.col("__resub"))
     newest = pa.groupBy(*keys).agg(F.max_by("__raw", F.struct(time, file_col)).alias("__newest"))
-    pa = (pa.join(newest, list(keys), "left")
+    pa = (null_safe_join(pa, newest, list(keys))
             .filter((F.col("__raw") != "QUERIED") | (F.col("__newest") == "QUERIED")).drop("__newest"))
-    scan = KeyedScan(list(keys), [time, file_col], day_bucket(time, bucket_days))
+    scan = KeyedScan(list(keys), [time, file_col])
     pa = scan.finish(scan.run(scan.prepare(pa), firsts={
         "__next": (F.lit(True), F.struct(F.col("__raw").alias("raw"), F.col(file_col).alias("f")))}))
     collapse = ((F.col("__raw") == "QUERIED") & (F.col("__next.raw") == "QUERIED")

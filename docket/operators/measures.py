@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docket.functions.scan import KeyedScan
+
 
 def _lit_map(d: Mapping) -> Column:
     return F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
@@ -25,25 +27,20 @@ def extrapolate(df: DataFrame, measure: str, by: str, factors: Mapping[str, floa
 
 
 def json_payload(df: DataFrame, group: Sequence[str], fields: Sequence[str], out: str = "payload",
-                 chunk_size: int = 10000) -> DataFrame:
-    """JSON array of members per group, sorted by ``fields`` (O-40).
-
-    Built with ``to_json`` over a sorted struct array, never by concatenating
-    strings. A group is never collected whole into one task: groups larger
-    than ``chunk_size`` are split into ``n_chunks`` arrays by a hash of the
-    member (each member in exactly one chunk, each chunk sorted), so a hot
-    group costs several bounded tasks. Groups up to ``chunk_size`` members get
-    exactly one chunk (chunk 0), i.e. the plain per-group array.
+                 page_size: int = 1000) -> DataFrame:
+    """JSON arrays of members per group, in pages sorted by ``fields`` (O-40).
+
+    One rule for every size: a member's ordinal in its group, by ``fields``, counted by a
+    ``KeyedScan`` (so a hot group is spread over its ranges); page = ordinal div ``page_size``.
+    The pages of a group, in order, hold its members in order. Built with ``to_json`` over a
+    sorted struct array, never by concatenating strings. Equal members keep their number.
     """
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n"))
-    x = df.join(sizes, list(group), "inner")
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(chunk_size))).cast("int")
+    x = df.select(*group, *fields).withColumn("__id", F.monotonically_increasing_id())
+    scan = KeyedScan(list(group), [*fields, "__id"])
+    x = scan.finish(scan.count_before(scan.prepare(x), F.lit(True), "__n"))
     member = F.struct(*[F.col(c) for c in fields])
-    x = x.withColumn("n_chunks", n_chunks).withColumn(
-        "chunk", F.when(F.col("n_chunks") == 1, F.lit(0))
-                  .otherwise(F.pmod(F.xxhash64(member), F.col("n_chunks"))).cast("int"))
-    return x.groupBy(*group, "chunk", "n_chunks").agg(
-        F.to_json(F.array_sort(F.collect_list(member))).alias(out))
+    return x.groupBy(*group, F.expr(f"__n div {page_size}").alias("page")).agg(
+        F.count(F.lit(1)).alias("n_members"), F.to_json(F.array_sort(F.collect_list(member))).alias(out))
 
 
 def complete_period_weights(facts: DataFrame, entity: str, set_col: str, period_col: str,
@@ -73,14 +70,14 @@ def complete_period_weights(facts: DataFrame, entity: str, set_col: str, period_
 
 def half_year_population(df: DataFrame, entity: str, time: str, accepted: Column,
                          order: Sequence[str], file_col: str) -> DataFrame:
-    """Per entity and year: latest accepted file, half-year presence flags, first
+    """Per entity and year: latest accepted file, half-years with an accepted file, first
     date and obligated days to year end; liable = has an accepted file (O-42).
     One partial aggregation."""
     x = df.withColumn("year", F.year(time))
     agg = x.groupBy(entity, "year").agg(
         F.max_by(F.col(file_col), F.when(accepted, F.struct(*[F.col(c) for c in order]))).alias("latest_file"),
-        F.max(F.month(time) <= 6).alias("has_h1"),
-        F.max(F.month(time) > 6).alias("has_h2"),
+        F.max(accepted & (F.month(time) <= 6)).alias("has_h1"),
+        F.max(accepted & (F.month(time) > 6)).alias("has_h2"),
         F.min(F.col(time).cast("date")).alias("first_date"))
     agg = agg.filter(F.col("latest_file").isNotNull())
     return agg.withColumn("obligated_days",

@@ -182,7 +182,7 @@ x AS (SELECT COALESCE(a.l_suppkey, b.l_suppkey) AS l_suppkey, COALESCE(a.o_custk
              CASE WHEN a.o_custkey IS NULL THEN 'Joiner' WHEN b.o_custkey IS NULL THEN 'Leaver' ELSE 'No change' END AS status
       FROM a FULL JOIN b ON a.l_suppkey IS NOT DISTINCT FROM b.l_suppkey AND a.o_custkey IS NOT DISTINCT FROM b.o_custkey)
 SELECT x.*, CASE WHEN x.status = 'Leaver' THEN b.l_suppkey END AS moved_to
-FROM x LEFT JOIN b ON b.o_custkey = x.o_custkey
+FROM x LEFT JOIN (SELECT o_custkey, max(l_suppkey) AS l_suppkey FROM b GROUP BY o_custkey) b ON b.o_custkey = x.o_custkey
 """)
 def q_year_on_year(spark, sf):
     return D.year_on_year(_top_supplier(spark, sf, 1997), _top_supplier(spark, sf, 1998), "l_suppkey", "o_custkey")

@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from docket.functions.scan import day_bucket
 from docket.operators import events as E
 from docket.plans.registry import register
 from docket.sources import read_table
@@ -26,7 +22,7 @@ def q_asof_attribute(spark, sf):
     purchases = ev.filter(F.col("event_type") == "purchase")
     views = ev.filter(F.col("event_type") == "view")
     return E.asof_attribute(purchases, views, ["user_id"], "ts", "ts", ["event_id", "ts"],
-                            ["ts", "event_id"], bucket_days=7, strict=True)
+                            ["ts", "event_id"], strict=True)
 
 
 @register("asof_attribute_forward", """
@@ -42,7 +38,7 @@ def q_asof_attribute_forward(spark, sf):
     errors = ev.filter(F.col("event_type") == "error")
     signups = ev.filter(F.col("event_type") == "signup")
     return E.asof_attribute(errors, signups, ["user_id"], "ts", "ts", ["event_id", "ts"],
-                            ["ts", "event_id"], bucket_days=3, strict=False, direction="forward")
+                            ["ts", "event_id"], strict=False, direction="forward")
 
 
 @register("event_state", """
@@ -114,7 +110,7 @@ WHERE event_type <> 'view' OR ts = mx
 def q_prior_stats(spark, sf):
     ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value"])
     is_err = F.col("event_type") == "error"
-    out = E.prior_stats(ev, ["user_id"], ["ts", "event_id"], day_bucket("ts", 7),
+    out = E.prior_stats(ev, ["user_id"], ["ts", "event_id"],
                         counts={"n_prior_decisions": is_err,
                                 "n_prior_accepted": is_err & (F.col("value") >= 25)},
                         lasts={"last_rejection_value": (is_err & (F.col("value") < 25), F.col("value"))},
@@ -149,25 +145,13 @@ def q_audit_history(spark, sf):
     return E.audit_history(ev, "user_id", "ts", "event_id", "props", "$.k")
 
 
-def deadline_calendar(spark, first_year: int, last_year: int, large_from: int):
-    """Deadline per size and year from a rule: small 2 Apr of the year; large
-    2 Oct of the year before from ``large_from`` on, else 2 Apr."""
-    rows = []
-    for y in range(first_year, last_year + 1):
-        rows.append(("small", y, dt.date(y, 4, 2)))
-        rows.append(("large", y, dt.date(y - 1, 10, 2) if y >= large_from else dt.date(y, 4, 2)))
-    schema = T.StructType([T.StructField("size", T.StringType()), T.StructField("year", T.IntegerType()),
-                           T.StructField("deadline", T.DateType())])
-    return spark.createDataFrame(rows, schema)
-
-
 def order_size():
     return F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("large")).otherwise(F.lit("small"))
 ORDER_SIZE_SQL = "CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'large' ELSE 'small' END"
 CALENDAR_SQL = """
-SELECT 'small' AS size, y AS year, make_date(y, 4, 2) AS deadline FROM range(1995, 2002) t(y)
+SELECT 'small' AS size, y AS year, make_date(y, 4, 2) AS deadline FROM (SELECT DISTINCT year(o_orderdate)::INTEGER AS y FROM orders) t
 UNION ALL
-SELECT 'large', y, CASE WHEN y >= 1998 THEN make_date(y - 1, 10, 2) ELSE make_date(y, 4, 2) END FROM range(1995, 2002) t(y)
+SELECT 'large', y, CASE WHEN y >= 1998 THEN make_date(y - 1, 10, 2) ELSE make_date(y, 4, 2) END FROM (SELECT DISTINCT year(o_orderdate)::INTEGER AS y FROM orders) t
 """
 
 
@@ -180,7 +164,7 @@ FROM f LEFT JOIN cal ON f.size = cal.size AND f.year = cal.year
 """)
 def q_deadline_flags(spark, sf):
     o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_orderpriority"])
-    out = E.deadline_flags(o, ["o_custkey"], "o_orderdate", order_size(), deadline_calendar(spark, 1995, 2001, 1998))
+    out = E.deadline_flags(o, ["o_custkey"], "o_orderdate", order_size(), 1998)
     return out.select("o_custkey", "size", "year", "first_submission", "deadline", "is_late")
 
 

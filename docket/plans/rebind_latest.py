@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docket.functions.periods import normalise_period, period_dimension
-from docket.functions.scan import day_bucket
+from docket.functions.periods import normalise_period
 from docket.functions.text import scrub_placeholders
 from docket.functions.times import parse_event_time
 from docket.operators import latest as L
@@ -80,8 +79,7 @@ WHERE NOT COALESCE(nt = event_type AND np <> props, false)
 """)
 def q_collapse_repeats(spark, sf):
     ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "props"])
-    out = L.collapse_repeats(ev, ["user_id"], ["ts", "event_id"], "event_type", "props",
-                             day_bucket("ts", 7))
+    out = L.collapse_repeats(ev, ["user_id"], ["ts", "event_id"], "event_type", "props")
     return out.select("event_id", "user_id", "ts", "event_type")
 
 
@@ -137,9 +135,10 @@ c AS (
          END AS period_year
   FROM p),
 d AS (
-  SELECT 'January to June ' || y AS canonical_period, y AS ry, 2 * (y - 1995) + 1 AS ord FROM range(1995, 2002) t(y)
-  UNION ALL
-  SELECT 'July to December ' || y, y, 2 * (y - 1995) + 2 FROM range(1995, 2002) t(y))
+  SELECT DISTINCT canonical_period, CAST(regexp_extract(canonical_period, '([0-9]+)$', 1) AS INTEGER) AS ry,
+         2 * (CAST(regexp_extract(canonical_period, '([0-9]+)$', 1) AS INTEGER) - 1995)
+         + CASE WHEN canonical_period LIKE 'January to June %' THEN 1 ELSE 2 END AS ord
+  FROM c WHERE regexp_full_match(canonical_period, '(January to June|July to December) [0-9]{4}'))
 SELECT c.o_orderkey, c.period_label, c.canonical_period, c.period_year,
        CAST(COALESCE(d.ord, 0) AS INTEGER) AS period_ordinal, CAST(COALESCE(d.ry, 0) AS INTEGER) AS reporting_year,
        c.period_year + CASE WHEN c.o_orderstatus = 'F' THEN 1 ELSE 0 END AS relevant_year
@@ -148,8 +147,7 @@ FROM c LEFT JOIN d ON c.canonical_period = d.canonical_period
 def q_normalise_period(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderdate"])
     o = o.withColumn("period_label", _period_label())
-    dim = period_dimension(spark, 1995, 2001)
-    out = normalise_period(o, "period_label", dim,
+    out = normalise_period(o, "period_label", 1995,
                            shift=F.when(F.col("o_orderstatus") == "F", 1).otherwise(0))
     return out.select("o_orderkey", "period_label", "canonical_period", "period_year", "period_ordinal",
                       "reporting_year", "relevant_year")

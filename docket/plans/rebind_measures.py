@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docket.session import bounded_broadcast
 
 from docket.operators import measures as M
-from docket.plans.rebind_events import CALENDAR_SQL, deadline_calendar
+from docket.operators.events import size_deadline
+from docket.plans.rebind_events import CALENDAR_SQL
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -26,10 +26,18 @@ def q_extrapolate(spark, sf):
     return M.extrapolate(li, "l_quantity", "l_returnflag", FACTORS, "extrapolated_qty").drop("l_quantity")
 
 
-@register("json_payload")
+@register("json_payload", """
+WITH n AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey,
+                  (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) - 1) // 1000 AS page
+           FROM lineitem)
+SELECT l_returnflag, CAST(page AS BIGINT) AS page, count(*) AS n_members,
+       '[' || string_agg('{"l_orderkey":' || l_orderkey || ',"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}', ','
+                         ORDER BY l_orderkey, l_linenumber, l_partkey) || ']' AS members_json
+FROM n GROUP BY l_returnflag, page
+""")
 def q_json_payload(spark, sf):
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"])
-    return M.json_payload(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_quantity"], "members_json")
+    li = read_table(spark, sf, "lineitem", ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey"])
+    return M.json_payload(li, ["l_returnflag"], ["l_orderkey", "l_linenumber", "l_partkey"], "members_json")
 
 
 @register("complete_period_weights", """
@@ -56,7 +64,8 @@ def q_complete_period_weights(spark, sf):
 
 @register("half_year_population", """
 WITH x AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders),
-a AS (SELECT o_custkey, year, bool_or(month(o_orderdate) <= 6) AS has_h1, bool_or(month(o_orderdate) > 6) AS has_h2,
+a AS (SELECT o_custkey, year, bool_or(o_orderstatus = 'F' AND month(o_orderdate) <= 6) AS has_h1,
+             bool_or(o_orderstatus = 'F' AND month(o_orderdate) > 6) AS has_h2,
              CAST(min(o_orderdate) AS DATE) AS first_date FROM x GROUP BY o_custkey, year),
 l AS (SELECT o_custkey, year, o_orderkey AS latest_file FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey, year ORDER BY o_orderdate DESC, o_orderkey DESC) rn
@@ -199,8 +208,7 @@ def q_compliance_report(spark, sf):
         F.count(F.lit(1)).alias("n_orders"),
         F.when(F.max(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")), F.lit("large"))
          .otherwise(F.lit("small")).alias("size"))
-    cal = deadline_calendar(spark, 1995, 2001, 1998)
-    out = a.join(bounded_broadcast(cal), ["size", "year"], "left")
+    out = a.withColumn("deadline", size_deadline(F.col("size"), F.col("year"), 1998))
     return out.withColumn("on_time", F.col("first_date") < F.col("deadline")).select(
         "o_custkey", "year", "first_date", "latest_date", "latest_status", "n_orders", "size", "deadline", "on_time")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docket.functions.scan import KeyedScan, day_bucket
+from docket.functions.scan import KeyedScan
 from docket.operators import serve as V
 from docket.operators.latest import latest_per_key
 from docket.operators.measures import concat_labels
@@ -151,12 +151,12 @@ def q_summary_view(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_returnflag"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
-    scan = KeyedScan(["o_custkey"], ["o_orderdate", "o_orderkey"], day_bucket("o_orderdate", 90))
+    scan = KeyedScan(["o_custkey"], ["o_orderdate", "o_orderkey"])
     p = scan.finish(scan.run(scan.prepare(o), counts={"n_prior_orders": F.lit(True),
                                                       "n_prior_p": F.col("o_orderstatus") == "P"}))
-    flags = concat_labels(li, ["l_orderkey"], "l_returnflag", "flags")
-    n = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    ls = n.join(flags, "l_orderkey")
+    # one pass for both; the set is bounded by the flag's domain
+    ls = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"),
+                                      F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("flags"))
     x = p.join(c, p.o_custkey == c.c_custkey, "left").join(ls, p.o_orderkey == ls.l_orderkey, "left")
     return x.select("o_orderkey", "o_custkey", "c_name", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "flags",
                     "n_prior_orders",

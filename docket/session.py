@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults a cluster job wants; anything already set on the cluster wins.
 DEFAULT_CONF = {
@@ -15,6 +16,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -65,12 +68,9 @@ def local_test_session(partitions: int = 8) -> SparkSession:
     return build_session(master=master, shuffle_partitions=partitions, app="docket-tests")
 
 
-def bounded_broadcast(df, max_rows: int = 100_000):
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (``limit`` before ``count``),
-    so it stays cheap even when handed a big table; beyond the bound the join
-    is left to AQE (runtime size check, shuffle join otherwise).
-    """
-    from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def committed(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written under the shared checkpoint folder and read again: it is computed once,
+    however often it is used, and lost executors cost no lineage."""
+    path = scratch_path(df.sparkSession, "committed", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

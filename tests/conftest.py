@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,7 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from docket.session import build_session
-    s = build_session(master="local[*]", shuffle_partitions=8, app="docket-tests")
+    shared = tempfile.mkdtemp(prefix="docket-tests-")
+    s = build_session(master="local[*]", shuffle_partitions=8, app="docket-tests",
+                      extra={"spark.checkpoint.dir": shared})
     yield s
     s.stop()
 

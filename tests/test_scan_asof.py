@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docket.functions.scan import KeyedScan, day_bucket
+from docket.functions.scan import KeyedScan
 from docket.operators.events import asof_attribute
 
 BASE = dt.datetime(2024, 1, 1)
@@ -45,7 +45,7 @@ def brute_asof(rows, strict, forward):
 def test_asof_matches_brute_force(log, strict, forward):
     rows, df = log
     ev, an = df.filter("kind = 'a'"), df.filter("kind = 'b'")
-    got = asof_attribute(ev, an, ["k"], "ts", "ts", ["id"], ["ts", "id"], bucket_days=1, strict=strict,
+    got = asof_attribute(ev, an, ["k"], "ts", "ts", ["id"], ["ts", "id"], strict=strict,
                          direction="forward" if forward else "backward")
     res = {r.id: r.anchor_id for r in got.collect()}
     assert res == brute_asof(rows, strict, forward)
@@ -53,7 +53,7 @@ def test_asof_matches_brute_force(log, strict, forward):
 
 def test_scan_counts_lasts_and_lead(log):
     rows, df = log
-    scan = KeyedScan(["k"], ["ts", "id"], day_bucket("ts", 2))
+    scan = KeyedScan(["k"], ["ts", "id"])
     x = scan.prepare(df)
     x = scan.count_before(x, F.col("kind") == "b", "nb")
     x = scan.last_before(x, F.col("kind") == "b", F.col("v"), "last_b")
@@ -79,29 +79,45 @@ def test_latest_window_has_partial_group_limit(spark, sf_small):
     assert "WindowGroupLimit" in plan
 
 
-def test_hour_buckets_give_same_answer(log):
-    from docket.functions.scan import time_bucket
-    rows, df = log
-    ev, an = df.filter("kind = 'a'"), df.filter("kind = 'b'")
-    by_day = asof_attribute(ev, an, ["k"], "ts", "ts", ["id"], ["ts", "id"], bucket_days=1)
-    scan = KeyedScan(["k"], ["ts", "id"], time_bucket("ts", 3 * 3600))
-    x = scan.finish(scan.run(scan.prepare(df), lasts={"hit": (F.col("kind") == "b", F.col("id"))}))
-    hours = {r.id: r.hit for r in x.filter("kind = 'a'").collect()}
-    # strict '<' is not what the raw scan gives at equal times, so compare only rows without ties
-    days = {r.id: r.anchor_id for r in by_day.collect()}
-    tied = {i for (i, k, t, kind, _) in rows if any(t == t2 and k == k2 and j != i for (j, k2, t2, _, _) in rows)}
-    assert {i: v for i, v in hours.items() if i not in tied} == {i: v for i, v in days.items() if i not in tied}
+def test_hot_key_and_burst_are_split(spark):
+    """A key with most rows, most of them at one time: ranges stay even and the answer is the plain window's."""
+    df = spark.range(0, 4000).select(F.when(F.col("id") < 3000, 1).otherwise(F.col("id") % 50).alias("k"),
+                                     F.when(F.col("id") < 2500, 7).otherwise(F.col("id") % 100).alias("t"), "id")
+    scan = KeyedScan(["k"], ["t", "id"])
+    x = scan.prepare(df)
+    sizes = [r["count"] for r in x.groupBy(scan.bucket_col).count().collect()]
+    assert max(sizes) <= 2 * 4000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = {r.id: r.n for r in scan.finish(scan.count_before(x, F.col("id") % 3 == 0, "n")).collect()}
+    seen, want = {}, {}
+    for r in sorted(df.collect(), key=lambda r: (r.k, r.t, r.id)):
+        want[r.id] = seen.get(r.k, 0)
+        seen[r.k] = want[r.id] + (r.id % 3 == 0)
+    assert got == want
+
+
+def test_null_keys_and_null_times(spark):
+    rows = [(1, None, 5), (2, None, 6), (3, 1, None), (4, 1, 3), (5, 1, 4), (6, None, None)]
+    df = spark.createDataFrame(rows, "id int, k int, t int")
+    scan = KeyedScan(["k"], ["t", "id"])
+    got = {r.id: (r.n, r.last) for r in scan.finish(scan.run(scan.prepare(df), counts={"n": F.lit(True)}, lasts={"last": (F.lit(True), F.col("id"))})).collect()}
+    assert got == {6: (0, None), 1: (1, 6), 2: (2, 1), 3: (0, None), 4: (1, 3), 5: (2, 4)}
+
+
+def test_asof_ignores_anchors_and_events_without_a_time(spark):
+    anchors = spark.createDataFrame([("a", None, 1), ("a", 10, 2), ("b", None, 3)], "k string, t int, aid int")
+    events = spark.createDataFrame([("a", 5, 1), ("a", 20, 2), ("a", None, 3), ("b", 9, 4)], "k string, t int, eid int")
+    for direction, want in (("backward", {1: None, 2: 2, 3: None, 4: None}), ("forward", {1: 2, 2: None, 3: None, 4: None})):
+        got = asof_attribute(events, anchors, ["k"], "t", "t", ["eid"], ["aid"], direction=direction)
+        assert {r.eid: r.anchor_aid for r in got.collect()} == want
 
 
-def test_json_payload_chunks_hot_group(spark):
+def test_json_payload_pages_hot_group(spark):
     from docket.operators.measures import json_payload
     import json
     df = spark.range(0, 2500).select((F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 7 + 1)).alias("g"),
-                                     F.col("id").alias("m"))
-    out = json_payload(df, ["g"], ["m"], "js", chunk_size=300).collect()
-    hot = [r for r in out if r.g == 0]
-    assert len(hot) == 7 and all(r.n_chunks == 7 for r in hot)
-    members = sorted(x["m"] for r in hot for x in json.loads(r.js))
-    assert members == list(range(2000))
-    assert all(len(json.loads(r.js)) <= 450 for r in hot)
-    assert all(r.n_chunks == 1 and r.chunk == 0 for r in out if r.g != 0)
+                                     (F.col("id") % 1500).alias("m"))  # some members twice
+    out = json_payload(df, ["g"], ["m"], "js", page_size=300).collect()
+    hot = sorted((r for r in out if r.g == 0), key=lambda r: r.page)
+    assert [r.page for r in hot] == list(range(7)) and [r.n_members for r in hot] == [300] * 6 + [200]
+    assert [x["m"] for r in hot for x in json.loads(r.js)] == sorted(k % 1500 for k in range(2000))
+    assert all(r.page == 0 for r in out if r.g != 0)
