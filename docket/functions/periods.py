@@ -58,3 +58,14 @@ def normalise_period(df: DataFrame, col: str, base_year: int, shift: Column | No
     if shift is not None:
         out = out.withColumn("relevant_year", F.col("period_year") + shift)
     return out
+
+
+def year_quarter(col) -> Column:
+    """Quarter of a date as one number, 19983 for the third of 1998."""
+    return (F.year(_c(col)) * 10 + F.quarter(_c(col))).cast("int")
+
+
+def year_quarters(df: DataFrame, col: str) -> list[int]:
+    """All quarters from the first to the last year of a column (two numbers come to the driver)."""
+    first, last = df.agg(F.min(F.year(col)), F.max(F.year(col))).first()
+    return [] if first is None else [y * 10 + q for y in range(first, last + 1) for q in (1, 2, 3, 4)]

@@ -51,12 +51,26 @@ def repeat_submitters(df: DataFrame, key: str, file_col: str, more_than: int = 1
               .filter(F.col("n_files") > more_than))
 
 
-def error_report(branches: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Union of typed error branches, each (error_type, DataFrame of entity_key,
-    period), distinct like the reference's UNION (O-38)."""
-    out = None
-    for name, df in branches:
-        d = df.select(F.lit(name).alias("error_type"), F.col("entity_key").cast("string"),
-                      F.col("period").cast("int"))
-        out = d if out is None else out.unionByName(d)
-    return out.distinct()
+def error_report(rows: DataFrame, direct: Sequence[tuple[str, Column, Column, Column]],
+                 expected: tuple[Column, Column, Column], found: tuple[Column, Column, Column]) -> DataFrame:
+    """Typed errors (error_type, entity_key, period), distinct, in one pass over joined rows (O-38).
+
+    ``direct``: (type, condition, entity, periods): an error for each period of a row that meets
+    it. ``expected`` and ``found``: (condition, entity, periods) on both sides of the period
+    check: an entity's period on the expected side only is ``expected_period_missing``, on the
+    found side only ``unexpected_period``. Each row is exploded into its entries, and one
+    aggregation settles all kinds.
+    """
+    sides = [("expected", *expected), ("found", *found)]
+    entries = []
+    for flag, cond, entity, periods in [*direct, *sides]:
+        space = F.lit("period" if flag in ("expected", "found") else flag)
+        entries.append(F.when(cond, F.struct(space.alias("space"), F.lit(flag).alias("flag"),
+                                             entity.cast("string").alias("entity_key"), periods.alias("periods"))))
+    x = rows.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    x = x.select("space", "flag", "entity_key", F.explode("periods").alias("p")).withColumn("period", F.col("p").cast("int"))
+    has = {f: F.max((F.col("flag") == f).cast("int")) for f in ("expected", "found")}
+    agg = x.groupBy("space", "entity_key", "period").agg(has["expected"].alias("e"), has["found"].alias("f"))
+    kind = (F.when(F.col("space") != "period", F.col("space"))
+            .when(F.col("f") == 0, F.lit("expected_period_missing")).when(F.col("e") == 0, F.lit("unexpected_period")))
+    return agg.select(kind.alias("error_type"), "entity_key", "period").filter(F.col("error_type").isNotNull())

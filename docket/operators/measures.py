@@ -132,18 +132,35 @@ def child_counts(parents: DataFrame, parent_key: str, children: DataFrame, child
     return out.fillna(0, subset=list(counts))
 
 
-def obligation_balance(obligations: DataFrame, credits: DataFrame, keys: Sequence[str],
-                       required: str, accepted: str, awaiting: str) -> DataFrame:
-    """Obligation vs accepted and awaiting credit -> remaining, Met / Not Met (O-46).
+def obligation_balance(df: DataFrame, keys: Sequence[str], required: Column, accepted: Column,
+                       awaiting: Column) -> DataFrame:
+    """Required against accepted and awaiting quantities per key, with Met / Not Met (O-46).
 
-    Both sides must already be aggregated to ``keys`` (one row per key), so the
-    full join cannot fan out.
+    The three columns are NULL on rows that do not count for them: one aggregation of
+    conditional sums instead of a full join of two.
     """
-    x = obligations.join(credits, list(keys), "full_outer")
-    for c in (required, accepted, awaiting):
-        x = x.withColumn(c, F.round(F.coalesce(F.col(c), F.lit(0.0)), 2))
-    x = x.withColumn("remaining", F.round(F.col(required) - F.col(accepted) - F.col(awaiting), 2))
-    return x.withColumn("status", F.when(F.col("remaining") <= 0, F.lit("Met")).otherwise(F.lit("Not Met")))
+    agg = df.groupBy(*keys).agg(*[F.round(F.coalesce(F.sum(c), F.lit(0.0)), 2).alias(n) for n, c in
+                                  (("required", required), ("accepted", accepted), ("awaiting", awaiting))])
+    return _balanced(agg)
+
+
+def newest_balance(df: DataFrame, keys: Sequence[str], order: Sequence[str], is_obligation: Column,
+                   is_credit: Column, amount: Column) -> DataFrame:
+    """Balance of the newest obligation row and the newest credit row per key (O-46).
+
+    Earlier rows of a key are superseded, not added. Both picks are one partial aggregation;
+    ``order`` is total within a key.
+    """
+    at = F.struct(*[F.col(c) for c in order])
+    agg = df.groupBy(*keys).agg(F.max_by(amount, F.when(is_obligation, at)).alias("required"),
+                                F.max_by(amount, F.when(is_credit, at)).alias("accepted"))
+    agg = agg.withColumns({n: F.round(F.coalesce(n, F.lit(0.0)), 2) for n in ("required", "accepted")})
+    return _balanced(agg.withColumn("awaiting", F.lit(0.0))).drop("awaiting")
+
+
+def _balanced(agg: DataFrame) -> DataFrame:
+    out = agg.withColumn("remaining", F.round(F.col("required") - F.col("accepted") - F.col("awaiting"), 2))
+    return out.withColumn("status", F.when(F.col("remaining") <= 0, F.lit("Met")).otherwise(F.lit("Not Met")))
 
 
 def hierarchy_rollup(df: DataFrame, levels: Sequence[tuple[str, str]], measures: Mapping[str, Column]) -> DataFrame:
@@ -196,14 +213,14 @@ def obligation_lines(edges: DataFrame, parent: str, child: str, amounts: DataFra
                    .agg(F.round(F.coalesce(F.sum("__amt"), F.lit(0.0)), 2).alias("obligation"))
     plines = total.select(F.col("__org").alias("parent_id"), F.lit("parent").alias("line_type"),
                           F.col("__org").alias("org_id"), "obligation")
-    clines = edges.select(F.col(parent).alias("parent_id"), F.lit("child").alias("line_type"),
-                          F.col(child).alias("org_id"), F.lit(0.0).alias("obligation"))
-    lines = plines.unionByName(clines)
-    if credits is not None:
+    if credits is not None:  # only parent lines show a credit, so only they are joined
         cr = credits.select(F.col(org).alias("__cp"), F.col(credit).alias("__cr"))
-        lines = lines.join(cr, F.col("parent_id") == F.col("__cp"), "left").drop("__cp")
+        plines = plines.join(cr, F.col("parent_id") == F.col("__cp"), "left").drop("__cp")
     else:
-        lines = lines.withColumn("__cr", F.lit(None).cast("double"))
+        plines = plines.withColumn("__cr", F.lit(None).cast("double"))
+    clines = edges.select(F.col(parent).alias("parent_id"), F.lit("child").alias("line_type"),
+                          F.col(child).alias("org_id"), F.lit(0.0).alias("obligation"), F.lit(None).cast("double").alias("__cr"))
+    lines = plines.unionByName(clines)
     first = F.col("line_type") == "parent"
     lines = lines.withColumn("credit", F.when(first, F.round(F.coalesce("__cr", F.lit(0.0)), 2)).otherwise(F.lit(0.0)))
     return lines.drop("__cr").withColumn(

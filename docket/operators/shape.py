@@ -53,38 +53,44 @@ def row_scope(df: DataFrame, scope_col: str, visible: DataFrame, visible_col: st
     return df.join(v, F.col(scope_col) == F.col("__scope"), "left_semi")
 
 
-def multi_path_lookup(paths: Sequence[tuple[str, DataFrame]], cols: Sequence[str]) -> DataFrame:
-    """Union-distinct of several derivations of one relation, each tagged (O-30)."""
-    out = None
-    for tag, df in paths:
-        d = df.select(*cols).withColumn("path", F.lit(tag))
-        out = d if out is None else out.unionByName(d)
-    return out.distinct()
+def multi_path_lookup(rows: DataFrame, paths: Sequence[tuple[str, Column, Mapping[str, Column]]]) -> DataFrame:
+    """Union-distinct of several derivations of one relation, each tagged (O-30).
+
+    ``paths``: (tag, predicate, columns). Every path is derived from the same joined rows: a row
+    is exploded into an entry per path whose predicate holds, so the facts are read and joined
+    once however many paths there are.
+    """
+    entries = F.array(*[F.when(pred, F.struct(*[c.alias(n) for n, c in cols.items()], F.lit(tag).alias("path")))
+                        for tag, pred, cols in paths])
+    return rows.select(F.inline(F.filter(entries, lambda e: e.isNotNull()))).distinct()
 
 
 def attach_optional_children(parent: DataFrame, key: str,
                              children: Sequence[tuple[DataFrame, str]]) -> DataFrame:
     """parent x childA  U  parent x childB  U  parents with no child (O-31).
 
-    Each child is (DataFrame, its key column); missing columns become NULL via
-    ``unionByName(allowMissingColumns=True)``; childless parents by anti join.
+    Each child is (DataFrame, its key column); missing columns become NULL. The children are
+    unioned first, so one left join attaches them all and leaves childless parents their row.
     """
     out = None
-    rest = parent
     for child, ckey in children:
-        j = parent.join(child, parent[key] == child[ckey], "inner").drop(child[ckey])
-        out = j if out is None else out.unionByName(j, allowMissingColumns=True)
-        rest = rest.join(child.select(F.col(ckey).alias("__ck")), F.col(key) == F.col("__ck"), "left_anti")
-    return out.unionByName(rest, allowMissingColumns=True)
+        c = child.withColumnRenamed(ckey, "__ck")
+        out = c if out is None else out.unionByName(c, allowMissingColumns=True)
+    return parent.join(out, F.col(key) == F.col("__ck"), "left").drop("__ck")
 
 
-def role_views(branches: Sequence[tuple[str, DataFrame]], role_col: str = "role") -> DataFrame:
-    """The same facts seen under several roles: labelled branches, UNION ALL (O-32)."""
-    out = None
-    for label, df in branches:
-        d = df.withColumn(role_col, F.lit(label))
-        out = d if out is None else out.unionByName(d)
-    return out
+def role_views(rows: DataFrame, roles: Sequence[tuple[str, Column, Column]], measures: Mapping[str, Column],
+               role_col: str = "role", entity_col: str = "entity_id") -> DataFrame:
+    """The same facts seen under several roles (O-32).
+
+    ``roles``: (label, predicate, entity). Rows are exploded into an entry per role they play
+    and aggregated once: the facts are read once for all roles, and combined before the shuffle.
+    """
+    entries = F.array(*[F.when(pred, F.struct(F.lit(label).alias("r"), entity.cast("long").alias("e")))
+                        for label, pred, entity in roles])
+    x = rows.withColumn("__e", F.explode(F.filter(entries, lambda e: e.isNotNull())))
+    return x.groupBy(F.col("__e.r").alias(role_col), F.col("__e.e").alias(entity_col)).agg(
+        *[m.alias(n) for n, m in measures.items()])
 
 
 def entity_extract(facts: DataFrame, lookups: Sequence[tuple[DataFrame, Column, str]],

@@ -156,11 +156,23 @@ def q_obligation_balance(spark, sf):
              .agg(F.sum("l_quantity").alias("q")))
     x = pre.join(p, pre.l_partkey == p.p_partkey)
     keys = ["l_suppkey", "p_brand", "year"]
-    ob = x.filter(F.col("l_linestatus") == "O").groupBy(*keys).agg(F.sum("q").alias("required"))
-    cr = x.filter(F.col("l_linestatus") == "F").groupBy(*keys).agg(
-        F.sum(F.when(F.col("l_returnflag") == "A", F.col("q")).otherwise(0.0)).alias("accepted"),
-        F.sum(F.when(F.col("l_returnflag") == "N", F.col("q")).otherwise(0.0)).alias("awaiting"))
-    return M.obligation_balance(ob, cr, keys, "required", "accepted", "awaiting")
+    q = lambda status, flag=None: F.when((F.col("l_linestatus") == status) & (F.lit(flag is None) | (F.col("l_returnflag") == flag)), F.col("q"))
+    return M.obligation_balance(x.filter(F.col("l_linestatus").isin("O", "F")), keys, q("O"), q("F", "A"), q("F", "N"))
+
+
+@register("obligation_newest", """
+WITH x AS (SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year,
+                  row_number() OVER (PARTITION BY o_custkey, year(o_orderdate), o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+           FROM orders),
+a AS (SELECT o_custkey, year, round(COALESCE(max(CASE WHEN o_orderstatus = 'O' AND rn = 1 THEN o_totalprice END), 0.0), 2) AS required,
+             round(COALESCE(max(CASE WHEN o_orderstatus = 'F' AND rn = 1 THEN o_totalprice END), 0.0), 2) AS accepted
+      FROM x GROUP BY o_custkey, year)
+SELECT *, round(required - accepted - 0.0, 2) AS remaining, CASE WHEN round(required - accepted - 0.0, 2) <= 0 THEN 'Met' ELSE 'Not Met' END AS status FROM a
+""")
+def q_obligation_newest(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_custkey", "o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice"])
+    return M.newest_balance(o.withColumn("year", F.year("o_orderdate")), ["o_custkey", "year"], ["o_orderdate", "o_orderkey"],
+                            F.col("o_orderstatus") == "O", F.col("o_orderstatus") == "F", F.col("o_totalprice"))
 
 
 @register("hierarchy_rollup", """

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from docket.operators import shape as S
 from docket.operators.measures import weight_pivots
-from docket.functions.times import in_years
+from docket.functions.periods import year_quarter, year_quarters
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -90,11 +90,14 @@ def q_multi_path_lookup(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey"])
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey"])
     s = read_table(spark, sf, "supplier", ["s_suppkey", "s_nationkey"])
-    lo = li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("c_custkey"), "l_suppkey")
-    home = c.select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    via = lo.join(s, lo.l_suppkey == s.s_suppkey).select("c_custkey", F.col("s_nationkey").alias("n_nationkey"))
-    none = c.join(lo, "c_custkey", "left_anti").select("c_custkey", F.lit(None).cast("int").alias("n_nationkey"))
-    return S.multi_path_lookup([("home", home), ("supplier", via), ("none", none)], ["c_custkey", "n_nationkey"])
+    pairs = (li.join(o, li.l_orderkey == o.o_orderkey).select(F.col("o_custkey").alias("c_custkey"), "l_suppkey").distinct()
+               .withColumn("ordered", F.lit(True)))
+    rows = c.withColumn("known", F.lit(True)).join(pairs, "c_custkey", "full_outer").join(s, F.col("l_suppkey") == s.s_suppkey, "left")
+    key = F.col("c_custkey")
+    return S.multi_path_lookup(rows, [
+        ("home", F.col("known"), {"c_custkey": key, "n_nationkey": F.col("c_nationkey")}),
+        ("supplier", F.col("s_suppkey").isNotNull(), {"c_custkey": key, "n_nationkey": F.col("s_nationkey")}),
+        ("none", F.col("ordered").isNull(), {"c_custkey": key, "n_nationkey": F.lit(None).cast("int")})])
 
 
 @register("attach_optional_children", """
@@ -111,13 +114,9 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND
 def q_attach_optional_children(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag"])
-    r = li.filter(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("r_key"),
-                                                       F.col("l_linenumber").alias("r_linenumber"),
-                                                       F.col("l_quantity").alias("r_quantity"))
-    a = li.filter(F.col("l_returnflag") == "A").select(F.col("l_orderkey").alias("a_key"),
-                                                       F.col("l_linenumber").alias("a_linenumber"),
-                                                       F.col("l_quantity").alias("a_quantity"))
-    return S.attach_optional_children(o, "o_orderkey", [(r, "r_key"), (a, "a_key")])
+    # both kinds of child come from one pass over the lines
+    cols = [F.when(F.col("l_returnflag") == f, F.col(f"l_{c}")).alias(f"{f.lower()}_{c}") for f in "RA" for c in ("linenumber", "quantity")]
+    return S.attach_optional_children(o, "o_orderkey", [(li.filter(F.col("l_returnflag").isin("R", "A")).select("l_orderkey", *cols), "l_orderkey")])
 
 
 @register("role_views", """
@@ -136,16 +135,12 @@ def q_role_views(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_extendedprice", "l_discount"])
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
     c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey"])
-    lo = li.join(o, li.l_orderkey == o.o_orderkey).withColumn(
-        "rev", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    errors = o.filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("__err"))
-
-    def agg(df, entity):
-        return df.groupBy(F.col(entity).cast("long").alias("entity_id")).agg(
-            F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("rev"), 2).alias("revenue"))
-    member = lo.join(errors, lo.l_orderkey == errors["__err"], "left_anti").join(c, F.col("o_custkey") == c.c_custkey)
-    return S.role_views([("Direct", agg(lo, "o_custkey")), ("Operator", agg(lo, "l_suppkey")),
-                         ("Member", agg(member, "c_nationkey"))])
+    lo = li.join(o, li.l_orderkey == o.o_orderkey)
+    rows = lo.join(c, F.col("o_custkey") == c.c_custkey, "left").withColumn("rev", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    member = F.col("c_custkey").isNotNull() & ~F.coalesce(F.col("o_orderstatus") == "P", F.lit(False))
+    return S.role_views(rows, [("Direct", F.lit(True), F.col("o_custkey")), ("Operator", F.lit(True), F.col("l_suppkey")),
+                               ("Member", member, F.col("c_nationkey"))],
+                        {"n_lines": F.count(F.lit(1)), "revenue": F.round(F.sum("rev"), 2)})
 
 
 @register("entity_extract", """
@@ -167,14 +162,16 @@ def q_entity_extract(spark, sf):
 
 
 @register("extract_recent", """
-WITH f AS (SELECT o_custkey AS c_custkey, CAST(quarter(o_orderdate) AS INTEGER) AS quarter, o_orderkey, o_orderdate, o_orderstatus
-           FROM orders WHERE year(o_orderdate) = 1998),
-g AS (SELECT c_custkey, CAST(q AS INTEGER) AS quarter FROM (SELECT DISTINCT c_custkey FROM customer), range(1, 5) t(q)),
+WITH f AS (SELECT o_custkey AS c_custkey, CAST(year(o_orderdate) * 10 + quarter(o_orderdate) AS INTEGER) AS quarter, o_orderkey, o_orderdate, o_orderstatus
+           FROM orders),
+yr AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders),
+pr AS (SELECT y * 10 + q AS p FROM yr, range(lo, hi + 1) a(y), range(1, 5) b(q)),
+g AS (SELECT c_custkey, CAST(p AS INTEGER) AS quarter FROM (SELECT DISTINCT c_custkey FROM customer), pr),
 cnt AS (SELECT c_custkey, quarter, count(*) AS n FROM f GROUP BY ALL),
 grid AS (SELECT g.*, COALESCE(cnt.n, 0) AS n_facts, COALESCE(cnt.n, 0) > 0 AS present FROM g
          LEFT JOIN cnt ON cnt.c_custkey = g.c_custkey AND cnt.quarter = g.quarter),
 grid2 AS (SELECT *, CAST(sum(CAST(present AS INTEGER)) OVER (PARTITION BY c_custkey) AS BIGINT) AS n_present,
-                 sum(CASE WHEN present THEN 1 ELSE 0 END) OVER (PARTITION BY c_custkey) = 4 AS all_present FROM grid),
+                 sum(CASE WHEN present THEN 1 ELSE 0 END) OVER (PARTITION BY c_custkey) = (SELECT count(*) FROM pr) AS all_present FROM grid),
 r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey, quarter ORDER BY o_orderdate, o_orderkey) AS r1,
              row_number() OVER (PARTITION BY c_custkey, quarter ORDER BY o_orderdate DESC, o_orderkey DESC) AS r2 FROM f),
 fl AS (SELECT a.c_custkey, a.quarter, a.o_orderkey AS first_file, b.o_orderkey AS latest_file, b.o_orderstatus AS latest_status
@@ -190,10 +187,9 @@ LEFT JOIN pm ON pm.l_orderkey = fl.latest_file
 def q_extract_recent(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey"])
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus"]) \
-        .filter(in_years("o_orderdate", 1998)) \
-        .select(F.col("o_custkey").alias("c_custkey"), F.quarter("o_orderdate").alias("quarter"),
+        .select(F.col("o_custkey").alias("c_custkey"), year_quarter("o_orderdate").alias("quarter"),
                 "o_orderkey", "o_orderdate", "o_orderstatus")
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_returnflag", "l_quantity"])
     pm = weight_pivots(li, ["l_orderkey"], [("l_returnflag", ["A", "N", "R"])], {"qty": F.col("l_quantity")})
-    return S.extract_recent(c, "c_custkey", o, "quarter", [1, 2, 3, 4], ["o_orderdate", "o_orderkey"],
+    return S.extract_recent(c, "c_custkey", o, "quarter", year_quarters(o, "o_orderdate"), ["o_orderdate", "o_orderkey"],
                             "o_orderkey", "o_orderstatus", pm, "l_orderkey")
