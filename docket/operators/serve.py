@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docket.session import committed
 from docket.functions.text import ci
 
 
@@ -42,19 +43,26 @@ def apply_overrides(spark: SparkSession, df: DataFrame, key: str, status_col: st
           .select(F.posexplode(F.from_json("j", schema)).alias("pos", "o"))
           .select(F.col("o.key").cast(key_type).alias("__ok"), F.col("o.status").alias("__os"), "pos"))
     ov = ov.groupBy("__ok").agg(F.max_by("__os", "pos").alias("__os"))
-    x = df.join(F.broadcast(ov), F.col(key) == F.col("__ok"), "left")  # bounded: the request's overrides
+    x = df.join(ov, F.col(key) == F.col("__ok"), "left")
     return x.withColumn(status_col, F.coalesce(F.col("__os"), F.col(status_col))).drop("__ok", "__os")
 
 
+TOP_ROWS = 2_000  # up to here a page comes from a top-k; deeper ones from even ranges of the order
+
+
 def filter_page(spark: SparkSession, df: DataFrame, key: str, status_col: str,
                 status_rank: Mapping[str, int], order: Sequence[Column], page: int, size: int,
                 filters: Sequence[Column] = (), statuses: Sequence[str] | None = None,
-                overrides_json: str | None = None) -> DataFrame:
+                overrides_json: str | None = None, exact_first: Column | None = None) -> DataFrame:
     """Filter, override, status-ranked stable order, clamped page (O-58).
 
-    The total is one aggregate (a single number to the driver); the page is
-    ``orderBy().offset().limit()`` — a top-k, not a global row_number window.
-    A page past the end is clamped to the last page. Adds ``total_count``.
+    ``exact_first``: rows that meet it (the searched name or reference matched exactly) come
+    before the others; within both, status rank, then ``order``, then ``key``. The total is one
+    aggregate (a single number to the driver). A page near the top is a top-k. A deeper one
+    is found by seeking: the filtered rows are committed in even ranges of the page's order, the
+    rows of each range counted, and only the ranges that the page lies in are sorted, so no task
+    ever holds all rows before it. The rows are the same either way. A page past the end is
+    clamped to the last page. Adds ``total_count``.
     """
     x = df
     for f in filters:
@@ -62,13 +70,27 @@ def filter_page(spark: SparkSession, df: DataFrame, key: str, status_col: str,
     x = apply_overrides(spark, x, key, status_col, overrides_json)
     if statuses is not None:
         x = x.filter(F.col(status_col).isin(list(statuses)))
-    total = x.count()
-    last_page = max(1, math.ceil(total / size))
-    page = min(max(1, page), last_page)
     pairs = [v for kv in status_rank.items() for v in (F.lit(kv[0]), F.lit(kv[1]))]
     rank = F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(status_col)), F.lit(len(status_rank) + 1))
     x = x.withColumn("status_rank", rank.cast("int"))
-    out = x.orderBy(F.col("status_rank"), *order, F.col(key)).offset((page - 1) * size).limit(size)
+    by = [F.col("status_rank"), *order, F.col(key)]
+    if exact_first is not None:
+        by.insert(0, F.when(exact_first, 0).otherwise(1))
+    total = x.count()
+    page = min(max(1, page), max(1, math.ceil(total / size)))
+    skip = (page - 1) * size
+    if skip + size > TOP_ROWS:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranged = committed(x.repartitionByRange(n, *by).withColumn("__part", F.spark_partition_id()), "pages")
+        held = dict(ranged.groupBy("__part").count().collect())  # one row per range
+        wanted, before, first = [], 0, None
+        for part in sorted(held):
+            if before < skip + size and before + held[part] > skip:
+                wanted.append(part)
+                first = before if first is None else first
+            before += held[part]
+        x, skip = ranged.filter(F.col("__part").isin(wanted)).drop("__part"), skip - (first or 0)
+    out = x.orderBy(*by).offset(skip).limit(size)
     return out.withColumn("total_count", F.lit(total).cast("long")).withColumn("page", F.lit(page))
 
 

@@ -199,3 +199,17 @@ def q_filter_page_names(spark, sf):
     return V.filter_page(spark, x, "o_orderkey", "o_orderstatus", {"O": 1, "F": 2, "P": 3},
                          [F.col("o_orderdate").desc()], page=2, size=30,
                          filters=[V.names_filter("c_name", ["#0000001", "#0000002"], mode="any")])
+
+
+@register("filter_page_exact", """
+WITH x AS (SELECT *, CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 4 END AS INTEGER) AS status_rank
+           FROM (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate FROM orders)
+           WHERE contains(lower(rtrim(o_orderpriority)), 'e') OR contains(lower(rtrim(o_orderpriority)), 'low'))
+SELECT *, count(*) OVER () AS total_count, 120 AS page FROM x
+ORDER BY CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1 END, status_rank, o_orderdate DESC, o_orderkey LIMIT 25 OFFSET 2975
+""")
+def q_filter_page_exact(spark, sf):
+    """A deep page with exact matches first."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate"])
+    return V.filter_page(spark, o, "o_orderkey", "o_orderstatus", {"O": 1, "F": 2, "P": 3}, [F.col("o_orderdate").desc()],
+                         page=120, size=25, filters=[V.names_filter("o_orderpriority", ["e", "low"])], exact_first=F.col("o_orderkey") % 7 == 0)

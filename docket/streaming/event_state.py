@@ -18,7 +18,6 @@ converges to the batch answer.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,9 @@ from pyspark.sql import types as T
 from docket.sources.snapshots import SnapshotTable, path_exists
 
 
+THROUGH = "__through"
+
+
 class LatestState:
     """Latest row per key, kept as a compacted snapshot plus change folders."""
 
@@ -44,12 +46,11 @@ class LatestState:
         batch.select(*self.keys, *self.cols).write.mode("overwrite") \
              .parquet(f"{self.changes_path}/batch_id={batch_id}")
 
-    def _compacted_through(self) -> int:
-        v = self.snapshots.current_version()
-        if v is None:
-            return -1
-        meta = self.spark.read.text(f"{self.snapshots.path_of(v)}/_through").first()
-        return json.loads(meta.value)["batch_id"] if meta else -1
+    def _compacted_through(self, snapshot: DataFrame | None) -> int:
+        """Newest change batch that a snapshot holds: a column of the snapshot itself, so that both
+        become visible in one commit."""
+        row = None if snapshot is None else snapshot.select(THROUGH).first()
+        return -1 if row is None else row[0]
 
     def _merge(self, parts: list[DataFrame]) -> DataFrame:
         both = parts[0]
@@ -61,9 +62,9 @@ class LatestState:
     def read(self) -> DataFrame:
         parts = []
         base = self.snapshots.read()
+        through = self._compacted_through(base)
         if base is not None:
             parts.append(base.select(*self.keys, *self.cols))
-        through = self._compacted_through()
         if path_exists(self.spark, self.changes_path):
             ch = self.spark.read.parquet(self.changes_path).filter(F.col("batch_id") > through)
             parts.append(ch.select(*self.keys, *self.cols))
@@ -72,16 +73,31 @@ class LatestState:
         return self._merge(parts)
 
     def compact(self) -> int:
-        """Fold all changes into a new snapshot version; returns the version."""
+        """Fold all changes into a new snapshot version; returns the version.
+
+        One commit makes the rows and the batch they reach visible together: a crash or a reader
+        in between sees the old snapshot and its changes. Change folders that already the
+        snapshot before held are removed, so readers of that one still find the later ones.
+        """
         if not path_exists(self.spark, self.changes_path):
             return self.snapshots.current_version() or 0
+        folded = self._compacted_through(self.snapshots.read())
         ids = self.spark.read.parquet(self.changes_path).agg(F.max("batch_id").alias("m")).first().m
-        state = self.read()
-        v = self.snapshots.commit(state)
-        self.spark.createDataFrame([(json.dumps({"batch_id": int(ids)}),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(f"{self.snapshots.path_of(v)}/_through")
+        if ids is None or ids <= folded:
+            return self.snapshots.current_version() or 0
+        v = self.snapshots.commit(self.read().withColumn(THROUGH, F.lit(int(ids)).cast("long")))
+        self._expire(folded)
         return v
 
+    def _expire(self, through: int) -> None:
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.changes_path)
+        fs = root.getFileSystem(conf)
+        for st in fs.listStatus(root):
+            kind, _, number = st.getPath().getName().partition("=")
+            if kind == "batch_id" and int(number) <= through:
+                fs.delete(st.getPath(), True)
+
 
 def stream_latest_state(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
                         order: Sequence[str], payload: Sequence[str], state_root: str, checkpoint: str,

@@ -94,3 +94,17 @@ def test_upserts_check_columns_and_keys(spark):
         upsert.upsert_common_columns(t.union(t), s, ["k"])
     got, _ = upsert.upsert_common_columns(t, s, ["k"])
     assert sorted(map(tuple, got.collect())) == [(1, "z", "keep"), (2, "b", "keep"), (3, "c", None)]
+
+
+def test_deep_pages_are_those_of_a_full_sort(spark, monkeypatch):
+    from docket.operators import serve
+    df = spark.range(0, 500).select("id", F.when(F.col("id") % 3 == 0, "O").when(F.col("id") % 3 == 1, "F").alias("s"), (F.col("id") % 11).alias("t"))
+    args = ("id", "s", {"O": 1, "F": 2}, [F.col("t").desc()])
+    for page in (1, 4, 30, 50, 99):
+        seen = []
+        for top in (10_000, 0):
+            monkeypatch.setattr(serve, "TOP_ROWS", top)
+            got = serve.filter_page(spark, df, *args, page=page, size=10, exact_first=F.col("id") == 77).collect()
+            seen.append([(r.id, r.page, r.total_count) for r in got])
+        assert seen[0] == seen[1] and len(seen[0]) == 10
+    assert seen[0][0][1] == 50  # clamped

@@ -77,3 +77,18 @@ def test_keep_schema_commit(spark, scratch):
     tbl.commit(spark.createDataFrame([("x", 2, "b")], "extra string, id int, v string"), keep_schema=True)
     df = tbl.read()
     assert df.columns == ["id", "v"] and dict(df.dtypes)["id"] == "bigint" and df.collect()[0].v == "b"
+
+
+def test_compaction_is_one_commit_and_expires_folded_changes(spark, scratch):
+    from docket.streaming.event_state import LatestState
+    state = LatestState(spark, f"{scratch}/c", ["k"], ["t", "v"])
+    batch = lambda *rows: spark.createDataFrame(rows, "k int, t int, v string")
+    for i, row in enumerate([(1, 1, "a"), (2, 1, "b"), (1, 2, "c"), (1, 1, "late")]):
+        state.write_changes(batch(row), i)
+        if i:
+            state.compact()
+    assert sorted(map(tuple, state.read().select("k", "t", "v").collect())) == [(1, 2, "c"), (2, 1, "b")]
+    left = {r.batch_id for r in spark.read.parquet(f"{scratch}/c/changes").select("batch_id").collect()}
+    assert left == {3}  # what the snapshot before already held is gone
+    v = state.snapshots.current_version()
+    assert state.compact() == v  # nothing new
