@@ -12,7 +12,7 @@ from docket.plans.registry import ORACLES, QUERIES
 
 _MODULES = ["rebind_latest", "rebind_events", "rebind_conform", "rebind_shape",
             "rebind_gaps", "rebind_measures", "rebind_diff", "rebind_serve",
-            "rebind_upsert", "rebind_pipeline"]
+            "rebind_upsert", "rebind_pipeline", "rebind_rules"]
 
 
 def _load():
