@@ -52,12 +52,19 @@ def diff_measures(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Map
     return x.select(*cols, klass.alias("change_class"))
 
 
-def diff_breakdowns(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column]],
+def _dim(dim: Column | Sequence[Column]) -> Column:
+    if isinstance(dim, Column):
+        return dim.cast("string")
+    return F.concat_ws(" / ", *[F.coalesce(c.cast("string"), F.lit("")) for c in dim])
+
+
+def diff_breakdowns(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column | Sequence[Column]]],
                     v1: Column, v2: Column, scaffold: DataFrame | None = None,
                     kind: str = "percentage", upper: float = 10.0, lower: float = -10.0) -> DataFrame:
     """Many breakdown reports of a two-version diff in one pass (O-52).
 
-    ``breakdowns``: (name, predicate, dimension expression). Each row is
+    ``breakdowns``: (name, predicate, group column or columns; several are shown
+    joined by `` / ``, NULL as empty). Each row is
     exploded into one (breakdown, dim_value) entry per breakdown whose predicate
     holds — a bounded fan-out — and everything is aggregated once.
     ``scaffold`` (breakdown, dim_value) adds zero rows for combinations with no
@@ -67,7 +74,7 @@ def diff_breakdowns(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Col
     them).
     """
     entries = F.array(*[F.when(pred, F.struct(F.lit(name).alias("breakdown"),
-                                              dim.cast("string").alias("dim_value")))
+                                              _dim(dim).alias("dim_value")))
                         for name, pred, dim in breakdowns])
     x = rows.select(F.explode(F.filter(entries, lambda e: e.isNotNull())).alias("__e"),
                     F.coalesce(v1, F.lit(0.0)).alias("__v1"), F.coalesce(v2, F.lit(0.0)).alias("__v2"))
@@ -213,5 +220,5 @@ def drill_down(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column]]
     pred, dim = found[0]
     out = rows.filter(F.coalesce(pred, F.lit(False)))
     if dim_value is not None:
-        out = out.filter(dim.cast("string") == dim_value)
+        out = out.filter(_dim(dim) == dim_value)
     return out

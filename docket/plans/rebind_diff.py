@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docket.operators import diff as D
 from docket.operators.latest import latest_per_key
 from docket.functions.times import in_years
+from docket.plans.packaging_breakdowns import as_columns, as_sql
 from docket.plans.registry import register
 from docket.sources import read_table
 
@@ -255,3 +256,35 @@ def q_diff_drill(spark, sf):
     breakdowns = [("segment", F.lit(True), F.col("c_mktsegment")),
                   ("urgent_by_segment", F.col("o_orderpriority") == "1-URGENT", F.col("c_mktsegment"))]
     return D.drill_down(rows, breakdowns, "urgent_by_segment", "BUILDING")
+
+
+# Test columns in the roles of the packaging columns, for the breakdowns that come as data.
+_PACK = {
+    "packaging_type": ("l_partkey % 8", ["Self-managed consumer waste", "Self-managed organisation waste", "Total Household packaging",
+                                         "Total Non-Household packaging", "Household drinks containers", "Non-household drinks containers",
+                                         "Reusable packaging", "Public binned"]),
+    "packaging_class": ("l_suppkey % 6", ["Primary packaging", "Public bin", "Shipment packaging", "Online marketplace total", "Secondary packaging", "Tertiary packaging"]),
+    "packaging_material": ("l_linenumber % 4", ["Glass", "Paper", "", "Steel"]),
+    "packaging_activity": ("l_orderkey % 3", ["Brand", "Imported", "Empty"]),
+    "from_nation": ("l_orderkey % 5", ["EN", "NI", "SC", "WS", ""]),
+    "to_nation": ("l_partkey % 3", ["", "EN", "SC"]),
+    "relative_move": ("l_suppkey % 3", ["EN to SC", "", "NI to WS"]),
+    "total_packaging": ("l_linenumber % 2", ["Total packaging", ""]),
+}
+_PACK_SQL = ", ".join(f"list_extract([{', '.join(repr(v) for v in vs)}], CAST({e} AS INTEGER) + 1) AS {n}" for n, (e, vs) in _PACK.items())
+
+
+@register("packaging_breakdowns", f"""
+WITH r AS (SELECT {_PACK_SQL}, CASE WHEN year(l_shipdate) = 1997 THEN l_quantity ELSE 0.0 END AS q1,
+                  CASE WHEN year(l_shipdate) = 1998 THEN l_quantity ELSE 0.0 END AS q2 FROM lineitem),
+e AS ({as_sql("r")}),
+x AS (SELECT breakdown, dim_value, round(sum(q1), 2) AS s1, round(sum(q2), 2) AS s2 FROM e GROUP BY breakdown, dim_value),
+y AS (SELECT *, round(s2 - s1, 2) AS value_change,
+             CASE WHEN s1 = 0 OR s2 = 0 OR s1 = s2 THEN 0.0 ELSE round((s2 - s1) / s1 * 100, 2) END AS pct_change FROM x)
+SELECT *, CASE WHEN pct_change >= 10 THEN 'up' WHEN pct_change <= -10 THEN 'down' ELSE 'flat' END AS arrow FROM y
+""")
+def q_packaging_breakdowns(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"])
+    rows = li.select(*[F.element_at(F.array(*[F.lit(v) for v in vs]), F.expr(e).cast("int") + 1).alias(n) for n, (e, vs) in _PACK.items()],
+                     *[F.when(F.year("l_shipdate") == y, F.col("l_quantity")).otherwise(0.0).alias(q) for q, y in (("q1", 1997), ("q2", 1998))])
+    return D.diff_breakdowns(rows, as_columns(), F.col("q1"), F.col("q2"))

@@ -5,7 +5,7 @@ holding a third of all rows) and compares, per plan, the largest task's share
 of the shuffle records read by the stage that feeds the key-ordered work:
 
 * naive   : window partitioned by user only (running count)
-* scan    : the bucketed KeyedScan (same running count)
+* scan    : the KeyedScan over even ranges (same running count)
 * latest  : latest_per_key (partial WindowGroupLimit before the shuffle)
 
 usage: python tools/skew_check.py [--sf DIR] [--copies N]
@@ -32,7 +32,7 @@ def main():
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from docket.functions.scan import KeyedScan, day_bucket
+    from docket.functions.scan import KeyedScan
     from docket.operators.latest import latest_per_key
     from docket.session import build_session
     from docket.sources import read_table
@@ -44,7 +44,7 @@ def main():
         (F.col("event_id") * a.copies + F.col("copy")).alias("event_id"),
         F.when(F.pmod(F.col("event_id") * a.copies + F.col("copy"), F.lit(3)) == 0, F.lit(0))
          .otherwise(F.col("user_id") + 1).alias("user_id"),
-        (F.col("ts") + F.make_interval(days=F.col("copy").cast("int"))).alias("ts"), "event_type"))
+        "ts", "event_type"))
     jobs = {}
 
     def run(name, df):
@@ -54,7 +54,7 @@ def main():
 
     w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, -1)
     run("naive", big.withColumn("n_before", F.count(F.when(F.col("event_type") == "error", 1)).over(w)))
-    scan = KeyedScan(["user_id"], ["ts", "event_id"], day_bucket("ts", 1))
+    scan = KeyedScan(["user_id"], ["ts", "event_id"])
     run("scan", scan.finish(scan.run(scan.prepare(big), counts={"n_before": F.col("event_type") == "error"})))
     run("latest", latest_per_key(big, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()]))
     spark.stop()
