@@ -29,6 +29,9 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])
 
 
+RANGES_PER_PARTITION = 4
+
+
 @dataclass
 class KeyedScan:
     keys: list[str]
@@ -37,7 +40,8 @@ class KeyedScan:
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """The rows in ranges of (key, order), committed: every later use sees the same ranges."""
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # a few ranges to a partition, so that dealing (key, range) out by hash stays even
+        n = RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ranged = df.repartitionByRange(n, *[F.col(c) for c in [*self.keys, *self.order]])
         return committed(ranged.withColumn(self.bucket_col, F.spark_partition_id()), "scan")
 
