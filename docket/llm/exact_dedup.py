@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docket.llm.common import SPACE, saved
 
-MIN_CHUNK, MAX_CHUNK = 256, 4096  # code points
+MIN_CHUNK, MAX_CHUNK = 128, 4096  # code points
 # A chunk ends after a pair of characters of these classes, in Latin text one place in about
 # 30 to 120; text without such pairs is cut at MAX_CHUNK.
 CUT = "[iouIOU.,0-4а-з一-仿][acmpwACMPW5-9и-н倀-忿]"
@@ -80,8 +80,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     groups = keyed.groupBy("k", "hashes", "ranks").agg(
         F.min(F.struct((-F.col("chars")).alias("c"), F.col("_id").alias("i"))).alias("best"),
         F.count(F.lit(1)).alias("group_size"))
-    # only groups of two and more come back to their documents; a hot group is a skewed join that AQE splits
-    twins = groups.filter("group_size > 1").select("k", "hashes", "ranks", F.col("best.i").alias("keep_id"), "group_size")
+    # only groups of two and more come back to their documents; they are written first, so that a hot
+    # group is a skewed join of two plain shuffles, which AQE splits
+    twins = saved(groups.filter("group_size > 1").select("k", "hashes", "ranks", F.col("best.i").alias("keep_id"), "group_size"), "twins")
     out = keyed.join(twins, ["k", "hashes", "ranks"], "left")
     single = F.col("group_size").isNull()
     return out.select(
