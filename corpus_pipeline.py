@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docket.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity
-from docket.llm.common import load, saved
+from docket.llm.common import load, saved, without
 from docket.llm.queries import learn_from
 
 TOXIC = 0.3
@@ -48,8 +48,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def _without(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    dropped = saved(groups.filter("NOT kept").select("doc_id").distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without(docs, "doc_id", saved(groups.filter("NOT kept").select("doc_id").distinct(), "dropped"))
 
 
 STAGES = [("toxicity", reject_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies),
