@@ -274,3 +274,40 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
         F.col("__resub_app.t").alias("resubmission_time"), F.col("__resub_app.file").alias("resubmission_file"),
         F.col("__dec.t").alias("latest_decision_time"), F.col("__dec.w").alias("latest_decision"),
         "granted_time", status.alias("status"), resub_status.alias("resubmission_status"))
+
+
+def audit_versions(audit: DataFrame, old: str, new: str, fields: dict[str, str]) -> DataFrame:
+    """Every version that an audit log shows of its entities (O-25): the old and the new payload
+    of each row, taken apart by JSON path, distinct. One pass; NULL payloads show nothing."""
+    payload = F.explode(F.filter(F.array(old, new), lambda p: p.isNotNull()))
+    x = audit.select(payload.alias("__p"))
+    return x.select(*[F.get_json_object("__p", path).alias(n) for n, path in fields.items()]).distinct()
+
+
+def latest_actor(audit: DataFrame, entity: str, order: Sequence[str], actor: str, people: DataFrame,
+                 person: str, name_cols: Sequence[str]) -> DataFrame:
+    """Who touched each entity last (O-25): the actor of the newest audit row that has one, with
+    the person's name (parts joined by blanks, missing ones left out; '' when unknown)."""
+    newest = audit.filter(F.col(actor).isNotNull()).groupBy(entity).agg(
+        F.max_by(actor, F.struct(*_cols(order))).alias("actor"))
+    names = people.select(F.col(person).alias("__p"), F.trim(F.concat_ws(" ", *[F.trim(F.col(c)) for c in name_cols])).alias("actor_name"))
+    return newest.join(names, F.col("actor") == F.col("__p"), "left").drop("__p") \
+                 .withColumn("actor_name", F.coalesce("actor_name", F.lit("")))
+
+
+def upload_files(files: DataFrame, keys: Sequence[str], set_id: str, order: Sequence[str], type_col: str,
+                 types: Sequence[str], file_cols: Sequence[str]) -> DataFrame:
+    """Latest set per ``keys`` (organisation, period, scheme) with its file columns by type and the
+    sorted list of its types (O-27).
+
+    A set's newest file of a type gives that type's columns. One aggregation to sets, one to keys;
+    the newest set is that of the newest ``order``, then the largest id.
+    """
+    rank = F.struct(*_cols(order))
+    payload = F.struct(*_cols(file_cols))
+    per_type = [F.max_by(payload, F.when(ci(type_col) == t.lower(), rank)).alias(f"__{t}") for t in types]
+    # the set of types is bounded by the type's domain
+    sets = files.groupBy(*keys, set_id).agg(F.max(rank).alias("__at"), F.array_join(F.array_sort(F.collect_set(type_col)), ",").alias("types"), *per_type)
+    newest = sets.groupBy(*keys).agg(F.max(F.struct("__at", set_id, "types", *[f"__{t}" for t in types])).alias("__s"))
+    return newest.select(*keys, F.col(f"__s.{set_id}").alias(set_id), F.col("__s.types").alias("types"),
+                         *[F.col(f"__s.__{t}.{c}").alias(f"{t.lower()}_{c}") for t in types for c in file_cols])

@@ -15,15 +15,29 @@ def _lit_map(d: Mapping) -> Column:
 
 
 def extrapolate(df: DataFrame, measure: str, by: str, factors: Mapping[str, float], out: str,
-                precision: tuple[int, int] = (16, 2)) -> DataFrame:
+                precision: tuple[int, int] = (16, 2), rounded: bool = False) -> DataFrame:
     """Scale partial-period quantities to a full period (O-36).
 
     ``factors`` is an argument (the reference disagrees with itself, T11);
-    unknown classes keep factor 1. Result is ``decimal(p,s)`` (HALF_UP, T9).
+    unknown classes keep factor 1. Result is ``decimal(p,s)`` (HALF_UP, T9), or
+    a whole number with ``rounded``.
     """
     f = F.coalesce(F.try_element_at(_lit_map(factors), F.col(by)), F.lit(1.0))
     p, s = precision
-    return df.withColumn(out, (F.col(measure) * f).cast(f"decimal({p},{s})"))
+    value = (F.col(measure) * f).cast(f"decimal({p},{s})")
+    return df.withColumn(out, F.round(value, 0).cast("long") if rounded else value)
+
+
+def relative_move(from_code: str, to_code: str, names: Mapping[str, str]) -> Column:
+    """'England to Wales' where both ends are given, else NULL (O-36); an unknown code shows as empty."""
+    text = lambda c: F.coalesce(F.try_element_at(_lit_map(names), F.col(c)), F.lit(""))
+    return F.when(F.col(from_code).isNotNull() & F.col(to_code).isNotNull(), F.concat(text(from_code), F.lit(" to "), text(to_code)))
+
+
+def split_material(material: str, sub_type: str, split: Sequence[str]) -> Column:
+    """Materials of ``split`` are told apart by their sub-type where it is given (O-36)."""
+    given = F.trim(F.coalesce(F.col(sub_type), F.lit("")))
+    return F.when(F.col(material).isin(list(split)) & (given != ""), F.concat_ws(" - ", material, given)).otherwise(F.col(material))
 
 
 def json_payload(df: DataFrame, group: Sequence[str], fields: Sequence[str], out: str = "payload",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docket.functions.periods import year_quarter
 from docket.operators import events as E
 from docket.plans.registry import register
 from docket.sources import read_table
@@ -245,3 +246,44 @@ def q_registration_state(spark, sf):
         ((F.col("event_type") == "purchase") & (k.cast("int") >= 50)).alias("resub"))
     return E.registration_state(ev, "user_id", "ts", "event_id", "event_type", "file_id", "decision", F.col("resub"),
                                 "view", "purchase", "error")
+
+
+@register("audit_versions", """
+WITH p AS (SELECT CASE WHEN event_id % 3 <> 0 THEN '{"user":' || user_id || ',"level":' || (event_id % 4) || '}' END AS o,
+                  CASE WHEN event_id % 5 <> 0 THEN '{"user":' || user_id || ',"level":' || (event_id % 6) || '}' END AS n FROM events)
+SELECT DISTINCT json_extract_string(v, '$.user') AS entity, json_extract_string(v, '$.level') AS level
+FROM (SELECT o AS v FROM p UNION ALL SELECT n FROM p) WHERE v IS NOT NULL
+""")
+def q_audit_versions(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "user_id"])
+    text = lambda m: F.concat(F.lit('{"user":'), F.col("user_id").cast("string"), F.lit(',"level":'), (F.col("event_id") % m).cast("string"), F.lit("}"))
+    log = ev.select(F.when(F.col("event_id") % 3 != 0, text(4)).alias("old"), F.when(F.col("event_id") % 5 != 0, text(6)).alias("new"))
+    return E.audit_versions(log, "old", "new", {"entity": "$.user", "level": "$.level"})
+
+
+@register("latest_actor", """
+WITH a AS (SELECT user_id, CASE WHEN event_type <> 'view' THEN CAST(event_id % 30 AS INTEGER) END AS actor, ts, event_id FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM a WHERE actor IS NOT NULL)
+SELECT r.user_id, r.actor, COALESCE(trim(n.n_name), '') AS actor_name FROM r LEFT JOIN nation n ON n.n_nationkey = r.actor WHERE rn = 1
+""")
+def q_latest_actor(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type"])
+    log = ev.withColumn("actor", F.when(F.col("event_type") != "view", (F.col("event_id") % 30).cast("int")))
+    people = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    return E.latest_actor(log, "user_id", ["ts", "event_id"], "actor", people, "n_nationkey", ["n_name"])
+
+
+@register("upload_files", """
+WITH f AS (SELECT o_custkey, CAST(year(o_orderdate) * 10 + quarter(o_orderdate) AS INTEGER) AS period, l_orderkey, l_returnflag, l_linenumber, l_partkey, o_orderdate
+           FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+s AS (SELECT o_custkey, period, l_orderkey, o_orderdate, max(l_linenumber::BIGINT * 1000000000 + l_partkey) AS n, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS types,
+             arg_max(l_partkey, l_linenumber::BIGINT * 1000000000 + l_partkey) FILTER (l_returnflag = 'A') AS a_l_partkey, arg_max(l_partkey, l_linenumber::BIGINT * 1000000000 + l_partkey) FILTER (l_returnflag = 'N') AS n_l_partkey
+      FROM f GROUP BY o_custkey, period, l_orderkey, o_orderdate),
+r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey, period ORDER BY o_orderdate DESC, n DESC, l_orderkey DESC) AS rn FROM s)
+SELECT o_custkey, period, l_orderkey, types, a_l_partkey, n_l_partkey FROM r WHERE rn = 1
+""")
+def q_upload_files(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_returnflag", "l_partkey"])
+    x = li.join(o, li.l_orderkey == o.o_orderkey).withColumn("period", year_quarter("o_orderdate"))
+    return E.upload_files(x, ["o_custkey", "period"], "l_orderkey", ["o_orderdate", "l_linenumber", "l_partkey"], "l_returnflag", ["A", "N"], ["l_partkey"])

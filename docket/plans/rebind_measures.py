@@ -26,6 +26,22 @@ def q_extrapolate(spark, sf):
     return M.extrapolate(li, "l_quantity", "l_returnflag", FACTORS, "extrapolated_qty").drop("l_quantity")
 
 
+@register("extrapolate_moves", """
+SELECT l_orderkey, l_linenumber, CAST(round(CAST(l_quantity * CASE l_returnflag WHEN 'A' THEN 1.5 WHEN 'N' THEN 2.0 ELSE 1.0 END AS DECIMAL(16, 2)), 0) AS BIGINT) AS whole_qty,
+       CASE WHEN l_returnflag <> 'R' AND l_linestatus IS NOT NULL
+            THEN CASE l_returnflag WHEN 'A' THEN 'Accepted' ELSE '' END || ' to ' || CASE l_linestatus WHEN 'F' THEN 'Finished' ELSE 'Open' END END AS move,
+       CASE WHEN l_returnflag IN ('A', 'R') AND l_linenumber > 2 THEN l_returnflag || ' - ' || l_linenumber ELSE l_returnflag END AS material
+FROM lineitem
+""")
+def q_extrapolate_moves(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"])
+    x = M.extrapolate(li, "l_quantity", "l_returnflag", {"A": 1.5, "N": 2.0}, "whole_qty", rounded=True)
+    x = x.withColumn("from_code", F.when(F.col("l_returnflag") != "R", F.col("l_returnflag")))
+    x = x.withColumn("sub", F.when(F.col("l_linenumber") > 2, F.col("l_linenumber").cast("string")))
+    return x.select("l_orderkey", "l_linenumber", "whole_qty", M.relative_move("from_code", "l_linestatus", {"A": "Accepted", "F": "Finished", "O": "Open"}).alias("move"),
+                    M.split_material("l_returnflag", "sub", ["A", "R"]).alias("material"))
+
+
 @register("json_payload", """
 WITH n AS (SELECT l_returnflag, l_orderkey, l_linenumber, l_partkey,
                   (row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey) - 1) // 1000 AS page

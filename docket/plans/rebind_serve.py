@@ -175,8 +175,11 @@ def q_file_trace(spark, sf):
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
     li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate"])
     s = read_table(spark, sf, "supplier", ["s_suppkey", "s_name"])
-    ls = li.join(s, li.l_suppkey == s.s_suppkey, "left")
-    t = ls.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"), F.max("l_shipdate").alias("last_ship"),
+    # lines per (order, supplier) first, so that names are joined and gathered once each; a file's
+    # list holds its own suppliers only
+    per = li.groupBy("l_orderkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.max("l_shipdate").alias("ship"))
+    ls = per.join(s, per.l_suppkey == s.s_suppkey, "left")
+    t = ls.groupBy("l_orderkey").agg(F.sum("n").alias("n_lines"), F.max("ship").alias("last_ship"),
                                      F.array_join(F.array_sort(F.collect_set("s_name")), ",").alias("suppliers"))
     x = o.join(t, o.o_orderkey == t.l_orderkey, "left")
     return x.select("o_orderkey", "o_custkey", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), "suppliers",

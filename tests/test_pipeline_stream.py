@@ -92,3 +92,18 @@ def test_compaction_is_one_commit_and_expires_folded_changes(spark, scratch):
     assert left == {3}  # what the snapshot before already held is gone
     v = state.snapshots.current_version()
     assert state.compact() == v  # nothing new
+
+
+def test_second_refresh_audits_what_it_did(spark, sf_small):
+    from docket.plans import materialise as P
+    from docket.plans.rebind_pipeline import two_refreshes
+    root, run = two_refreshes(spark, sf_small)
+    rows = {r.step: r.rows for r in P.read_audit(spark, root, run).collect()}
+    o = {r.o_orderkey: r.o_orderstatus for r in read_table(spark, sf_small, "orders").collect()}
+    one = {k: s for k, s in o.items() if k % 7}
+    two = {k: "C" if k % 13 == 0 else s for k, s in o.items() if k % 11}
+    want = {"inserted": len(two.keys() - one.keys()), "deleted": len(one.keys() - two.keys()),
+            "updated": sum(one[k] != two[k] for k in one.keys() & two.keys()), "unchanged": sum(one[k] == two[k] for k in one.keys() & two.keys())}
+    assert {a: rows.get(f"details:{a}", 0) for a in want} == want
+    assert rows["details"] == rows["summaries"] == rows["file_status"] == len(two)
+    assert [s for s in ("purged", "details", "counts", "organisations", "parameters", "file_status", "events", "reference_events", "summaries") if s not in rows] == []
