@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docket.functions.text import ci
+
 from docket.operators.gaps import expected_grid
 
 
@@ -118,3 +120,32 @@ def extract_recent(entities: DataFrame, key: str, facts: DataFrame, period_col:
     x = grid.join(fl, [key, period_col], "left")
     pm = file_measures.withColumnRenamed(file_measure_key, "latest_file")
     return x.join(pm, "latest_file", "left")
+
+
+def role_columns(people: DataFrame, entity: str, role: str, roles: Sequence[str], order: Sequence[str],
+                 fields: Sequence[str]) -> DataFrame:
+    """Per entity the newest person of each role, one column per role and field (O-28).
+
+    ``order`` is total within an entity. One aggregation with a pick per role, so an entity with
+    very many people is combined before the shuffle. Roles compare without case (T1).
+    """
+    rank = F.struct(*[F.col(c) for c in order])
+    record = F.struct(*[F.col(c) for c in fields])
+    picks = [F.max_by(record, F.when(ci(role) == r.lower(), rank)).alias(f"__{r}") for r in roles]
+    return people.groupBy(entity).agg(*picks).select(entity, *[F.col(f"__{r}.{c}").alias(f"{r.lower()}_{c}") for r in roles for c in fields])
+
+
+def flatten_contacts(entities: DataFrame, key: str, contacts: DataFrame, schemes: DataFrame, enrolments: DataFrame,
+                     enrolment_status: str) -> DataFrame:
+    """Entities with their contacts by role, scheme and enrolment counts by state, one wide row each
+    (O-28). Every side has one row per entity before it is joined, so nothing fans out."""
+    states = enrolments.groupBy(key).agg(F.count(F.lit(1)).alias("n_enrolments"),
+                                         F.count(F.when(ci(enrolment_status) == "approved", 1)).alias("n_approved"))
+    out = entities.join(contacts, key, "left").join(schemes, key, "left").join(states, key, "left")
+    return out.fillna(0, ["n_enrolments", "n_approved"])
+
+
+def one_user_per_file(users: DataFrame, file: str, order: Sequence[str], fields: Sequence[str]) -> DataFrame:
+    """The newest user row of each file (O-67): a file with several matching users keeps one."""
+    return users.groupBy(file).agg(F.max_by(F.struct(*[F.col(c) for c in fields]), F.struct(*[F.col(c) for c in order])).alias("__u")) \
+                .select(file, *[F.col(f"__u.{c}").alias(f"user_{c}") for c in fields])

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from docket.functions.scan import KeyedScan
 from docket.operators import serve as V
 from docket.operators.latest import latest_per_key
-from docket.operators.measures import concat_labels
 from docket.plans.registry import register
 from docket.sources import read_table
 

@@ -193,3 +193,36 @@ def q_extract_recent(spark, sf):
     pm = weight_pivots(li, ["l_orderkey"], [("l_returnflag", ["A", "N", "R"])], {"qty": F.col("l_quantity")})
     return S.extract_recent(c, "c_custkey", o, "quarter", year_quarters(o, "o_orderdate"), ["o_orderdate", "o_orderkey"],
                             "o_orderkey", "o_orderstatus", pm, "l_orderkey")
+
+
+@register("flatten_contacts", """
+WITH pe AS (SELECT o_custkey AS c_custkey, CASE o_orderstatus WHEN 'O' THEN 'Primary' WHEN 'F' THEN 'Director' ELSE 'Agent' END AS role, o_orderkey AS person, o_orderdate AS since FROM orders),
+r AS (SELECT *, row_number() OVER (PARTITION BY c_custkey, role ORDER BY since DESC, person DESC) AS rn FROM pe),
+co AS (SELECT c_custkey, max(CASE WHEN role = 'Primary' THEN person END) AS primary_person, max(CASE WHEN role = 'Primary' THEN since END) AS primary_since,
+              max(CASE WHEN role = 'Director' THEN person END) AS director_person, max(CASE WHEN role = 'Director' THEN since END) AS director_since
+       FROM r WHERE rn = 1 GROUP BY c_custkey),
+en AS (SELECT o_custkey AS c_custkey, count(*) AS n_enrolments, count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS n_approved FROM orders GROUP BY o_custkey)
+SELECT c.c_custkey, c.c_name, co.* EXCLUDE (c_custkey), n.n_name AS scheme, COALESCE(en.n_enrolments, 0) AS n_enrolments, COALESCE(en.n_approved, 0) AS n_approved
+FROM customer c LEFT JOIN co ON co.c_custkey = c.c_custkey LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN en ON en.c_custkey = c.c_custkey
+""")
+def q_flatten_contacts(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    status = F.col("o_orderstatus")
+    people = o.select(F.col("o_custkey").alias("c_custkey"), F.when(status == "O", "Primary").when(status == "F", "Director").otherwise("Agent").alias("role"),
+                      F.col("o_orderkey").alias("person"), F.col("o_orderdate").alias("since"))
+    contacts = S.role_columns(people, "c_custkey", "role", ["Primary", "Director"], ["since", "person"], ["person", "since"])
+    schemes = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_name").alias("scheme"))
+    enrolments = o.select(F.col("o_custkey").alias("c_custkey"), F.when(F.col("o_orderpriority") == "1-URGENT", "Approved").otherwise("Pending").alias("state"))
+    return S.flatten_contacts(c.select("c_custkey", "c_name"), "c_custkey", contacts, schemes, enrolments, "state")
+
+
+@register("one_user_per_file", """
+SELECT o_orderkey, max(CASE WHEN rn = 1 THEN l_suppkey END) AS user_l_suppkey, max(CASE WHEN rn = 1 THEN l_shipdate END) AS user_l_shipdate
+FROM (SELECT l_orderkey AS o_orderkey, l_suppkey, l_shipdate, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_suppkey DESC) AS rn FROM lineitem)
+GROUP BY o_orderkey
+""")
+def q_one_user_per_file(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_suppkey", "l_shipdate"]).withColumnRenamed("l_orderkey", "o_orderkey")
+    return S.one_user_per_file(li, "o_orderkey", ["l_shipdate", "l_suppkey"], ["l_suppkey", "l_shipdate"])
