@@ -104,16 +104,39 @@ def test_near_groups_with_null_and_repeated_ids(spark):
 
 
 def test_across_blocks_of_a_large_bucket(spark, monkeypatch):
-    """Members of one bucket that lie in several components, in blocks of two: every near pair is found."""
-    monkeypatch.setattr(minhash_dedup, "BLOCK", 2)
+    """Members of one bucket that lie in several components, in blocks of three: every near pair is found."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 3)
     rng = random.Random(2)
     words = sentence(rng, 200).split()
     rows = [(k, " ".join([*words[:-1], f"x{k}"]) if k < 7 else sentence(rng, 150)) for k in range(12)]
     reps = minhash_dedup.features(frame(spark, rows).select(F.col("doc_id").alias("id"), "text")).select("id", "n", "sig").cache()
     bucket = spark.range(12).select(F.lit(1).cast("long").alias("key"), "id")
-    labels = spark.createDataFrame([(0, 0), (1, 0), (2, 0)], "id long, component long")
+    labels = spark.createDataFrame([(0, 0, 3), (1, 0, 3), (2, 0, 3)], "id long, component long, size long")
     got = {(r.a, r.b) for r in minhash_dedup.across(bucket, labels, reps).collect()}
     assert got == {(a, b) for a in range(7) for b in range(a) if not (a < 3 and b < 3)}
+    large = spark.createDataFrame([(k, 0, 5) for k in range(5)], "id long, component long, size long")
+    docs = frame(spark, rows).select(F.col("doc_id").alias("id"), "text")
+    got = [(r.a, r.b) for r in minhash_dedup.beside_large(bucket, large, reps, docs).collect()]
+    assert {a for a, _ in got} == {5, 6} and all(b < 5 for _, b in got)  # 7 to 11 are like nothing
+    assert {(r.a, r.b) for r in minhash_dedup.across(bucket, large, reps).collect()} == {(6, 5)}
+    small = spark.createDataFrame([(0, 0, 2), (1, 0, 2)], "id long, component long, size long")
+    assert minhash_dedup.beside_large(bucket, small, reps, docs).collect() == []
+
+
+def test_a_chain_beside_large_groups_is_joined(spark, monkeypatch):
+    """Groups of near copies whose edits drift: what a bucket's smallest member does not reach, its blocks do."""
+    monkeypatch.setattr(minhash_dedup, "BLOCK", 4)
+    rng = random.Random(21)
+    rows = []
+    for g in range(6):
+        words = sentence(rng, 120).split()
+        for k in range(18):
+            words = list(words)
+            for _ in range(rng.randrange(1, 4)):
+                words[rng.randrange(len(words))] = f"d{rng.randrange(10_000)}"
+            rows.append((100 * g + (k * 7) % 18, " ".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_groups(frame(spark, rows)).collect()}
+    assert got == minhash_dedup.brute(rows)
 
 
 def test_signatures_estimate_similarity_and_pruning_spares_near_pairs():

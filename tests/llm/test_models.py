@@ -130,13 +130,14 @@ def test_probabilities_of_all_slots_and_words_sum_to_one():
 
 def test_learning_follows_the_gradient():
     rng = np.random.default_rng(1)
-    model = lm_scoring.Model(np.ones(1024), np.ones(1024))
-    context, slot = rng.integers(0, 1 << 63, (64, 4), dtype=np.uint64), rng.integers(0, 1024, 64)
+    slots = lm_scoring.CLASSES * lm_scoring.SLOTS
+    model = lm_scoring.Model(np.ones(slots), np.ones(slots))
+    context, slot = rng.integers(0, 1 << 63, (64, 4), dtype=np.uint64), rng.integers(0, slots, 64)
     before = model.log_slots(context, slot).sum()
     squares = [np.zeros_like(model.class_w), np.zeros_like(model.slot_w)]
     for _ in range(20):
         model.learn(context, slot, squares)
-    assert model.log_slots(context, slot).sum() > before + 100
+    assert model.log_slots(context, slot).sum() > before + 60
 
 
 # toxicity ------------------------------------------------------------------------------------

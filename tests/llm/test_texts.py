@@ -46,7 +46,7 @@ def test_pack_is_an_exact_round_trip(spark):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(max_size=60))
+@given(st.one_of(st.text(max_size=60), st.text(st.characters(max_codepoint=127), max_size=60)))
 def test_encoder_is_the_tokenizer(text):
     encoder = packing.worker_encoder(public_tokenizers.path(packing.VOCABULARY))
     assert encoder.encode(text) == encoder.whole(text)
