@@ -206,9 +206,11 @@ def q_filter_page_names(spark, sf):
 @register("filter_page_exact", """
 WITH x AS (SELECT *, CAST(CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 4 END AS INTEGER) AS status_rank
            FROM (SELECT o_orderkey, o_custkey, o_orderpriority, o_orderstatus, o_orderdate FROM orders)
-           WHERE contains(lower(rtrim(o_orderpriority)), 'e') OR contains(lower(rtrim(o_orderpriority)), 'low'))
-SELECT *, count(*) OVER () AS total_count, 120 AS page FROM x
-ORDER BY CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1 END, status_rank, o_orderdate DESC, o_orderkey LIMIT 25 OFFSET 2975
+           WHERE contains(lower(rtrim(o_orderpriority)), 'e') OR contains(lower(rtrim(o_orderpriority)), 'low')),
+n AS (SELECT *, count(*) OVER () AS total_count,
+             row_number() OVER (ORDER BY CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 1 END, status_rank, o_orderdate DESC, o_orderkey) AS rn FROM x),
+p AS (SELECT *, CAST(least(120, greatest(1, ceil(total_count / 25.0))) AS INTEGER) AS page FROM n)
+SELECT * EXCLUDE (rn) FROM p WHERE rn > (page - 1) * 25 AND rn <= page * 25
 """)
 def q_filter_page_exact(spark, sf):
     """A deep page with exact matches first."""
