@@ -24,13 +24,17 @@ def read_control(spark: SparkSession, path: str) -> DataFrame:
 def split_processed(files: DataFrame, errors: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct files with ``processed`` = not in the error list (O-04).
 
-    NOT EXISTS semantics (anti join), not NOT IN: a NULL in the error list does
-    not empty the result (trap T6).
+    NOT EXISTS semantics, not NOT IN: a NULL in the error list does not empty the result
+    (trap T6), and a file with a NULL key matches no error. One aggregation over both lists
+    instead of an anti and a semi join.
     """
-    f = files.select(*keys).distinct()
-    ok = f.join(errors.select(*keys), list(keys), "left_anti").withColumn("processed", F.lit(True))
-    bad = f.join(errors.select(*keys), list(keys), "left_semi").withColumn("processed", F.lit(False))
-    return ok.unionByName(bad)
+    both = (files.select(*keys, F.lit(True).alias("__file"), F.lit(False).alias("__bad"))
+            .unionByName(errors.select(*keys, F.lit(False).alias("__file"), F.lit(True).alias("__bad"))))
+    x = both.groupBy(*keys).agg(F.max("__file").alias("__file"), F.max("__bad").alias("__bad")).filter("__file")
+    named = F.lit(True)
+    for k in keys:
+        named = named & F.col(k).isNotNull()
+    return x.select(*keys, (~(F.col("__bad") & named)).alias("processed"))
 
 
 def sync_status(df: DataFrame, ts_col: str, probe: Column) -> DataFrame:
