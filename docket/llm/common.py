@@ -34,32 +34,33 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-SLOTS = 1 << 20
+SLOTS = 1 << 22
 
 
 def _slot(c: Column) -> Column:
     return F.pmod(F.xxhash64(c), F.lit(SLOTS).cast("long"))
 
 
-def _slots(ids: DataFrame, col: str) -> DataFrame:
-    """Hash slots of the ids for a broadcast: at most ``SLOTS`` numbers, however many ids there are."""
-    return F.broadcast(ids.select(_slot(F.col(col)).alias("__slot")).distinct())
+def _sieve(df: DataFrame, col: str, ids: DataFrame, id_col: str) -> tuple[DataFrame, Column, DataFrame, Column]:
+    """(slots of the ids for a broadcast, their match with ``df``, the ids, their match). Slots are at
+    most ``SLOTS`` numbers, however many ids there are. The names are new, so that none can clash."""
+    slot, own = f"s{uuid.uuid4().hex}", f"i{uuid.uuid4().hex}"
+    return (F.broadcast(ids.select(_slot(F.col(id_col)).alias(slot)).distinct()), _slot(F.col(col)) == F.col(slot),
+            ids.select(F.col(id_col).alias(own)), F.col(col) == F.col(own))
 
 
 def only(df: DataFrame, col: str, ids: DataFrame, id_col: str | None = None) -> DataFrame:
     """Rows of ``df`` whose ``col`` is among ``ids``: a semi join before which most rows that are
     not are dropped where they stand, by the slots, so that wide rows need no shuffle."""
-    id_col = id_col or col
-    near = df.join(_slots(ids, id_col), _slot(F.col(col)) == F.col("__slot"), "left_semi")
-    return near.join(ids.select(F.col(id_col).alias("__id")), F.col(col) == F.col("__id"), "left_semi")
+    slots, near, ids, same = _sieve(df, col, ids, id_col or col)
+    return df.join(slots, near, "left_semi").join(ids, same, "left_semi")
 
 
 def without(df: DataFrame, col: str, ids: DataFrame) -> DataFrame:
     """Rows of ``df`` whose ``col`` is not among ``ids`` (a null is not): rows of other slots stay
     where they are, only the rest is shuffled for the anti join."""
-    slots, match = _slots(ids, col), _slot(F.col(col)) == F.col("__slot")
-    near = df.join(slots, match, "left_semi").join(ids.select(F.col(col).alias("__id")), F.col(col) == F.col("__id"), "left_anti")
-    return df.join(slots, match, "left_anti").unionByName(near)
+    slots, near, ids, same = _sieve(df, col, ids, col)
+    return df.join(slots, near, "left_anti").unionByName(df.join(slots, near, "left_semi").join(ids, same, "left_anti"))
 
 
 def lower_ascii(c: Column) -> Column:
