@@ -9,7 +9,8 @@ survives is confirmed on the full sets of words.
 Not all pairs of a bucket are made. First every member is compared with its bucket's smallest
 one, which joins a large group of near copies by as many pairs as it has members. Only buckets
 that still hold several components then compare members across components, in blocks of bounded
-size; pairs of one component cannot change the result.
+size; pairs of one component cannot change the result, and of a document's links to one large
+component any single one is enough.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.llm.common import arrow_batches, saved, words
+from docket.llm.common import arrow_batches, only, saved, words
 from docket.llm.components import components
 
 WIDTH = 5                     # words in a shingle
@@ -176,26 +177,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 keep.append(similar(shingles(ta), own))
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
-    joined = (pairs.select("a", "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-              .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb"))
+    side = lambda k: only(texts, "id", pairs, k).select(F.col("id").alias(k), F.col("text").alias(f"t{k}"))
+    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The texts that ``pairs`` need, once each."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    return saved(docs.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    return saved(only(docs, "id", saved(ids, "ids")).dropDuplicates(["id"]), "texts")
 
 
 def across(rows: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components in the buckets ``rows`` (key, id) that hold several, as
-    far as the size test and the sequential test leave them."""
-    named = rows.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
-    open_ = saved(named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("size"))
-                  .filter("c0 <> c1").select("key", "size"), "open")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    """Pairs (a, b) of different small components in the buckets ``rows`` (key, id) that hold
+    several, as far as the size test and the sequential test leave them. Components of more than
+    ``BLOCK`` members are left to ``beside_large``."""
+    named = rows.join(labels, "id", "left").filter(f"size IS NULL OR size <= {BLOCK}").select("key", "id", F.coalesce("component", "id").alias("c"))
+    open_ = saved(named.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("members"))
+                  .filter("c0 <> c1").select("key", "members"), "open")
     own = F.pmod(F.xxhash64("id"), F.col("blocks").cast("long")).cast("int")
-    placed = (named.join(open_, "key").withColumn("blocks", blocks).withColumn("own", own)
+    placed = (named.join(open_, "key").withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int")).withColumn("own", own)
               .select("key", "id", "c", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
               .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "c", "own")
               .join(reps.select("id", "n", "sig"), "id"))
@@ -214,6 +215,66 @@ def across(rows: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
     return placed.groupBy("key", "i", "j").applyInArrow(run, f"a {kind}, b {kind}").distinct()
 
 
+def beside_large(rows: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links (a, b) between components of more than ``BLOCK`` members and the others that
+    share a bucket with them, the smaller side's documents against all members of the larger.
+
+    Both sides are dealt into blocks, and a pair of blocks is one group: signatures are compared
+    there, then the texts of those that survive come together in the same blocks and are
+    confirmed there. What leaves a block is one link for each document at most, which is all that
+    its component needs, so a document beside a large group never becomes as many rows as the
+    group has members.
+    """
+    kind = reps.schema["id"].dataType.simpleString()
+    large = labels.filter(f"size > {BLOCK}")
+    named = rows.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"), F.coalesce("size", F.lit(1)).alias("size"))
+    here = named.filter(f"size > {BLOCK}").select("key", F.col("c").alias("g"), F.col("size").alias("g_size")).distinct()
+    beside = saved(named.join(here, "key").filter("g <> c AND (g_size > size OR g_size = size AND g > c)").select("id", "g", "g_size").distinct(), "beside")
+    if beside.isEmpty():
+        return beside.select(F.col("id").alias("a"), F.col("id").alias("b"))
+    counts = saved(beside.groupBy("g", "g_size").agg(F.count(F.lit(1)).alias("others")).select(
+        "g", F.ceil(F.col("g_size") / BLOCK).cast("int").alias("js"), F.ceil(F.col("others") / BLOCK).cast("int").alias("is")), "beside")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n).cast("long")).cast("int")
+    x = beside.join(counts, "g").select("g", own("is").alias("i"), every("js").alias("j"), "id", F.lit(True).alias("beside"))
+    y = large.join(counts, large["component"] == counts["g"]).select("g", every("is").alias("i"), own("js").alias("j"), "id", F.lit(False).alias("beside"))
+    placed = saved(x.unionByName(y), "blocks")
+    least = least_matches()
+
+    def candidates(key, table):
+        side, n, ids = table["beside"].to_numpy(zero_copy_only=False), table["n"].to_numpy(), table["id"].to_numpy()
+        sig, members = _bytes(table["sig"], HASHES), np.flatnonzero(~side)
+        found, used = [], set()
+        for k in np.flatnonzero(side):
+            fit = members[sized(n[members], n[k])]
+            left, _ = surviving(np.broadcast_to(sig[k], (len(fit), HASHES)), sig[fit], least)
+            if len(left):
+                found.append((ids[k], ids[fit[left]].tolist()))
+                used.update(found[-1][1])
+        found += [(i, None) for i in sorted(used)]
+        return pa.table({"g": pa.array([key[0].as_py()] * len(found), pa.int64()), "i": pa.array([key[1].as_py()] * len(found), pa.int32()),
+                         "j": pa.array([key[2].as_py()] * len(found), pa.int32()), "id": pa.array([f[0] for f in found], pa.int64()),
+                         "partners": pa.array([f[1] for f in found], pa.list_(pa.int64()))})
+
+    def links(key, table):
+        own = dict(zip(table["id"].to_pylist(), table["text"].to_pylist(), strict=True))
+        sets, out = {}, []
+        for i, partners in zip(table["id"].to_pylist(), table["partners"].to_pylist(), strict=True):
+            for p in partners or []:
+                for k in (i, p):
+                    if k not in sets:
+                        sets[k] = shingles(own.get(k))
+                if similar(sets[i], sets[p]):
+                    out.append((i, p))
+                    break
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    found = saved(placed.join(reps.select("id", "n", "sig"), "id").groupBy("g", "i", "j").applyInArrow(
+        candidates, f"g {kind}, i int, j int, id {kind}, partners array<{kind}>"), "candidates")
+    texts = saved(only(docs, "id", found).dropDuplicates(["id"]), "texts")
+    return found.join(texts, "id").groupBy("g", "i", "j").applyInArrow(links, f"a {kind}, b {kind}")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -233,7 +294,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     each = reps.select("id", F.explode("bands").alias("key"))
     shared = saved(each.groupBy("key").agg(F.min("id").alias("center"), F.max("id").alias("last")).filter("center <> last").select("key", "center"), "bands")
-    rows = saved(each.join(shared, "key").distinct(), "buckets")
+    rows = saved(only(each, "key", shared).join(shared, "key"), "buckets")
     pairs = rows.filter("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct()
     stars = saved(judged(pairs, reps), "stars")
     texts = texts_of(stars, own)
@@ -242,13 +303,16 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     ranked = saved(stars.withColumn("best", best), "ranked")
     links = saved(confirmed(ranked.filter("best"), texts), "links")
     labels = components(links)
-    rest = _apart(ranked.filter("NOT best"), labels)
+    rest = saved(_apart(ranked.filter("NOT best"), labels), "rest")
     links = saved(links.unionByName(confirmed(rest, texts)), "links")
+    labels = components(links)
+    sizes = saved(labels.groupBy("component").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    sized_labels = saved(labels.join(sizes, "component"), "components")
+    tried = stars.select("a", "b")
+    more = saved(across(rows.select("key", "id"), sized_labels, reps).join(tried, ["a", "b"], "left_anti"), "across")
+    found = confirmed(more, texts_of(more, own)).unionByName(beside_large(rows.select("key", "id"), sized_labels, reps, own))
+    links = saved(links.unionByName(found), "links")
     labels = saved(components(links), "components")
-    more = saved(across(rows.select("key", "id"), labels, reps).join(stars.select("a", "b"), ["a", "b"], "left_anti"), "across")
-    if not more.isEmpty():
-        links = saved(links.unionByName(confirmed(more, texts_of(more, own))), "links")
-        labels = saved(components(links), "components")
 
     member = feats.join(twins, "digest", "left").select("id", "n", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("rep")).alias("rep"))
     member = member.withColumn("rep", F.coalesce("rep", "id"))

@@ -179,7 +179,8 @@ def brute_vectors(rows):
     return sorted(((i, links[k], least.get(find(k)) if i is not None else None, i is None or i == least.get(find(k))) for k, (i, *_) in enumerate(rows)), key=str)
 
 
-def test_near_vectors_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("k", [1, 3])
+def test_near_vectors_are_those_of_all_pairs(spark, monkeypatch, k):
     rng = np.random.default_rng(4)
     rows, i = [], 0
     for _ in range(20):
@@ -191,6 +192,7 @@ def test_near_vectors_are_those_of_all_pairs(spark):
     rows += [(500, None, v), (501, 0, None), (502, 0, []), (503, 0, [0.0] * 48), (504, 0, [None, *v[1:]]), (505, 0, [float("nan"), *v[1:]]),
              (506, 0, [float("inf"), *v[1:]]), (None, 0, v), (507, 0, v), (508, 1, v), (509, 0, [-x for x in v]), (510, 0, v[:20]), (511, 0, v[:20]),
              (512, 0, [3.0]), (513, 0, [5.0]), (514, 0, [-5.0]), (507, 0, v)]
+    monkeypatch.setattr(embedding_dedup, "rotations", lambda most, dim: k)
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, label int, embedding array<float>, component long").repartition(4)
     got = sorted((tuple(r) for r in embedding_dedup.near_vectors(df).collect()), key=str)
     assert got == brute_vectors([(i, l, v and [None if x is None else float(np.float32(x)) for x in v]) for i, l, v in rows])
@@ -204,8 +206,10 @@ def test_recall_of_pairs_at_the_threshold():
     p = rng.normal(size=a.shape)
     p -= (p * a).sum(axis=1, keepdims=True) * a
     b = 0.93 * a + math.sqrt(1 - 0.93**2) * p / np.linalg.norm(p, axis=1, keepdims=True)
-    x, y = embedding_dedup.buckets(a), embedding_dedup.buckets(b)
-    assert ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2)).mean() >= 0.999
+    for k in embedding_dedup.PLANS:
+        x, y = embedding_dedup.buckets(a[:1000], k), embedding_dedup.buckets(b[:1000], k)
+        assert ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=(1, 2)).mean() >= 0.999
+    assert [embedding_dedup.rotations(n, 64) for n in (0, 128, 129, 16_384, 10**5, 10**8, 10**12)] == [1, 1, 2, 2, 3, 4, 4]
     assert np.allclose(embedding_dedup.hadamard(embedding_dedup.hadamard(a)), a)
 
 
@@ -231,3 +235,18 @@ def test_components(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.id: r.component for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# joins by slots ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("slots", [1 << 22, 8])
+def test_slot_joins_are_semi_and_anti_joins(spark, monkeypatch, slots):
+    from docket.llm import common
+    monkeypatch.setattr(common, "SLOTS", slots)  # 8 slots: nearly every row passes the first sieve
+    df = spark.createDataFrame([(k % 40 if k % 9 else None, k, "x") for k in range(200)], "id long, k long, __id string")
+    ids = spark.createDataFrame([(i,) for i in (*range(0, 40, 3), 99, None)], "id long")
+    assert sorted(common.only(df, "id", ids).select("k").collect()) == sorted(df.join(ids, "id", "left_semi").select("k").collect())
+    got = common.without(df, "id", ids)
+    assert got.columns == df.columns
+    assert sorted(got.select("k").collect()) == sorted(df.join(ids, "id", "left_anti").select("k").collect())
+    assert common.only(df, "id", ids.filter("false")).count() == 0 and common.without(df, "id", ids.filter("false")).count() == 200
