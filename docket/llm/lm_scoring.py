@@ -8,8 +8,9 @@ it), the third shares a slot among its words by smoothed corpus counts, one shar
 words never seen. So the probabilities of all words sum to one, and the model is of fixed size
 while every corpus count stays exact.
 
-The corpus is encoded once into blocks: token numbers with a vocabulary of the block's own.
-Counts meet the blocks by a shuffle of (block, word) rows, not of tokens. Training passes over
+The corpus is encoded once into blocks: token numbers with a vocabulary of the block's own, whose
+words are told apart by their 64-bit hashes. Counts meet the blocks by a shuffle of (block, word)
+rows, not of tokens. Training passes over
 every training token once, in ``ROUNDS`` rounds: each task runs gradient steps over its blocks of
 the round from the common weights, and the tasks' changes are averaged by tokens in Spark.
 """
@@ -22,6 +23,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,9 +31,9 @@ from pyspark.sql import functions as F
 from docket.llm.common import arrow_batches, saved, words
 
 BLOCK = 1_000_000            # tokens in a block, about; a longer document is a block of its own
-CLASSES, SLOTS = 32, 32      # classes, and slots in each
+CLASSES, SLOTS = 16, 16      # classes, and slots in each
 CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14
-ROUNDS, STEP, BATCH = 4, 0.1, 4096
+ROUNDS, STEP, BATCH = 4, 0.1, 16384
 ADD = 0.1                    # added to every count
 PIECES, SALT = 16, 32        # weights are averaged in so many pieces; first so many groups of tasks
 END = b""                    # the end of a text; no word is empty
@@ -39,7 +41,7 @@ END = b""                    # the end of a text; no word is empty
 
 def encode(docs: DataFrame) -> DataFrame:
     """Blocks of ``docs`` (id, text, train): ids, train flags and lengths of the documents, tokens
-    (32-bit numbers), the block's words, their hashes and counts in training texts."""
+    (compressed 32-bit numbers), the hashes of the block's words and their counts in training texts."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,11 +52,11 @@ def encode(docs: DataFrame) -> DataFrame:
             place: dict[bytes, int] = {}
             tokens = np.fromiter((place.setdefault(w, len(place)) for w in chain.from_iterable(texts)), np.int32, int(n.sum()))
             counts = np.bincount(tokens[np.repeat(np.array(train, bool), n)], minlength=len(place))
-            hashes = np.fromiter((xxhash.xxh32_intdigest(w) for w in place), np.uint32, len(place))
+            hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in place), np.uint64, len(place)).view(np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array([(part << 32) + number]), pa.array([ids]), pa.array([train]), pa.array([n.tolist()]), pa.array([tokens.tobytes()]),
-                 pa.array([list(place)], pa.list_(pa.binary())), pa.array([hashes.tobytes()]), pa.array([counts.tolist()], pa.list_(pa.int64()))],
-                ["block", "ids", "train", "n", "tokens", "words", "hashes", "counts"])
+                [pa.array([(part << 32) + number]), pa.array([ids]), pa.array([train]), pa.array([n.tolist()]),
+                 pa.array([zstandard.compress(tokens.tobytes(), 1)]), _list(hashes), _list(counts.astype(np.int64))],
+                ["block", "ids", "train", "n", "tokens", "hashes", "counts"])
 
         ids, train, texts, size = [], [], [], 0
         for b in batches:
@@ -70,12 +72,17 @@ def encode(docs: DataFrame) -> DataFrame:
             yield block(ids, train, texts)
 
     return docs.select("id", "text", "train").mapInArrow(
-        run, f"block bigint, ids array<{kind}>, train array<boolean>, n array<bigint>, tokens binary, words array<binary>, "
-             "hashes binary, counts array<bigint>")
+        run, f"block bigint, ids array<{kind}>, train array<boolean>, n array<bigint>, tokens binary, "
+             "hashes array<bigint>, counts array<bigint>")
+
+
+def _list(x: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x))
 
 
 def slot_of(h: np.ndarray) -> np.ndarray:
-    return (_mix(h.astype(np.uint64)) % np.uint64(CLASSES * SLOTS)).astype(np.int64)
+    """As ``pmod`` of Spark does it with signed hashes."""
+    return h % (CLASSES * SLOTS)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -85,15 +92,21 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def with_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(blocks with the corpus count of each of their words instead of the words, one row per word
-    and block: its count over all blocks and whether this is the word's first block)."""
-    each = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x"))
-    by = Window.partitionBy("word")  # at most one row a block, also for the most frequent word
-    each = each.select("block", "at", F.col("x.words").alias("word"), F.col("x.counts").alias("own"))
-    each = saved(each.select("block", "at", "own", F.sum("own").over(by).alias("c"), (F.col("block") == F.min("block").over(by)).alias("first"),
-                             ), "word-counts")
-    lists = each.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("at", "c"))).alias("x")).select("block", F.col("x.c").alias("c"))
-    return saved(blocks.drop("words", "counts").join(lists, "block"), "blocks"), each
+    """(blocks with the corpus count of each of their words, one row per word and block: slot, count
+    over all blocks, count of its own, whether this is the word's first block)."""
+    each = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("at", "x"))
+    by = Window.partitionBy("h")  # at most one row a block, also for the most frequent word
+    each = each.select("block", "at", F.col("x.hashes").alias("h"), F.col("x.counts").alias("own"))
+    each = saved(each.select("block", "at", "own", F.pmod("h", F.lit(CLASSES * SLOTS).cast("long")).cast("int").alias("slot"),
+                             F.sum("own").over(by).alias("c"), (F.col("block") == F.min("block").over(by)).alias("first")), "word-counts")
+    lists = each.select("block", "at", "c").groupBy("block").applyInArrow(_in_order, "block bigint, c binary")
+    return saved(blocks.drop("counts").join(lists, "block"), "blocks"), each
+
+
+def _in_order(key, table):
+    c = np.zeros(table.num_rows, np.int64)
+    c[table["at"].to_numpy()] = table["c"].to_numpy()
+    return pa.table({"block": table["block"][:1], "c": pa.array([c.tobytes()], pa.binary())})
 
 
 class Block:
@@ -102,15 +115,15 @@ class Block:
     def __init__(self, row: dict):
         self.ids, self.train = row["ids"], np.array(row["train"], bool)
         self.n = np.array(row["n"], np.int64)
-        self.tokens = np.frombuffer(row["tokens"], np.int32)
-        self.c = np.array(row["c"], np.int64)
-        self.h = np.frombuffer(row["hashes"], np.uint32)
+        self.tokens = np.frombuffer(zstandard.decompress(row["tokens"]), np.int32)
+        self.c = np.frombuffer(row["c"], np.int64)
+        self.h = np.array(row["hashes"], np.int64)
         self.slot = slot_of(self.h)[self.tokens]
         self.starts = np.cumsum(self.n) - self.n
 
     def contexts(self) -> np.ndarray:
         """Hashes of the four features, by token."""
-        h = self.h.astype(np.uint64)[self.tokens] + np.uint64(2)
+        h = self.h.view(np.uint64)[self.tokens]
         at = np.arange(len(h)) - np.repeat(self.starts, self.n)
 
         def back(k):
@@ -134,25 +147,31 @@ class Model:
         self.slot_w = np.zeros((SLOT_ROWS, SLOTS), np.float32)
 
     def rows(self, contexts: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return ((contexts % np.uint64(CLASS_ROWS)).astype(np.int64),
-                (_mix(contexts + (cls.astype(np.uint64) + np.uint64(1))[:, None] * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(SLOT_ROWS)).astype(np.int64))
+        """Rows of the weights, as 16-bit numbers: sorting them is then linear."""
+        inner = (contexts ^ ((cls + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        bits = np.uint64(64 - SLOT_ROWS.bit_length() + 1)
+        return (contexts & np.uint64(CLASS_ROWS - 1)).astype(np.uint16), (inner >> bits).astype(np.uint16)
 
     def layers(self, contexts: np.ndarray, slot: np.ndarray):
-        """For each layer: its weights, the rows in use, log-probabilities of all outcomes, the outcome."""
+        """For each layer: its weights, the rows in use, unnormalised probabilities of all outcomes, the
+        outcome, and the log-probability of that."""
         cls, inner = slot // SLOTS, slot % SLOTS
+        at = np.arange(len(slot))
         for w, rows, bias, y in zip((self.class_w, self.slot_w), self.rows(contexts, cls), (self.class_bias, self.slot_bias[cls]), (cls, inner), strict=True):
-            z = bias + w[rows[:, 0]]
+            z = w.take(rows[:, 0], axis=0)
+            z += bias
             for k in range(1, rows.shape[1]):
-                z += w[rows[:, k]]
-            z -= z.max(axis=1, keepdims=True)
-            z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-            yield w, rows, z, y
+                z += w.take(rows[:, k], axis=0)
+            own = z[at, y]
+            np.exp(z, out=z)
+            total = z.sum(axis=1)
+            yield w, rows, z, total, y, own - np.log(total)
 
     def log_slots(self, contexts: np.ndarray, slot: np.ndarray) -> np.ndarray:
         out = np.empty(len(slot))
         for at in range(0, len(slot), BATCH):
             s = slice(at, at + BATCH)
-            out[s] = sum(z[np.arange(len(y)), y] for _, _, z, y in self.layers(contexts[s], slot[s]))
+            out[s] = sum(x[-1] for x in self.layers(contexts[s], slot[s]))
         return out
 
     def log_word(self, c: np.ndarray, slot: np.ndarray) -> np.ndarray:
@@ -162,15 +181,18 @@ class Model:
         """AdaGrad steps over batches of tokens."""
         for at in range(0, len(slot), BATCH):
             s = slice(at, at + BATCH)
-            for (w, rows, z, y), square in zip(self.layers(contexts[s], slot[s]), squares, strict=True):
-                g = np.exp(z)
+            for (w, rows, g, total, y, _), square in zip(self.layers(contexts[s], slot[s]), squares, strict=True):
+                g /= total[:, None]
                 g[np.arange(len(y)), y] -= 1
                 flat = rows.ravel()
                 order = np.argsort(flat, kind="stable")
-                used, first = np.unique(flat[order], return_index=True)
-                g = np.add.reduceat(g[order // rows.shape[1]], first, axis=0)
-                square[used] += g * g
-                w[used] -= STEP * g / np.sqrt(square[used] + 1e-6)
+                ordered = flat[order]
+                first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+                used = ordered[first]
+                g = np.add.reduceat(g.take(order // rows.shape[1], axis=0), first, axis=0)
+                q = square[used] + g * g
+                square[used] = q
+                w[used] -= STEP * g / np.sqrt(q + 1e-6)
 
 
 def train(blocks: DataFrame, model: Model) -> None:
@@ -227,11 +249,12 @@ def score_texts(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("train"))
     kind = own.schema["id"].dataType.simpleString()
     encoded = saved(encode(own), "encoded")
-    arrow_batches(spark, 1)  # one block at a time
+    arrow_batches(spark, 100_000)  # narrow rows
     blocks, each = with_counts(encoded)
+    arrow_batches(spark, 1)  # one block at a time
     got = each.agg(F.sum("own").alias("n"), F.sum((F.col("first") & (F.col("c") > 0)).cast("long")).alias("v")).first()
     n, v = got["n"] or 0, got["v"] or 0
-    model = Model(*_slots(blocks.select("hashes", "c", "block"), each))
+    model = Model(*_slots(each))
     train(blocks, model)
     shared = spark.sparkContext.broadcast(model)
 
@@ -253,25 +276,10 @@ def score_texts(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
                              ).withColumnRenamed("id", id_col)
 
 
-def _slots(blocks: DataFrame, each: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Training tokens and distinct training words by slot. Each block adds those of the words it is the first to hold."""
-    firsts = each.filter("first AND c > 0").groupBy("block").agg(F.collect_list(F.struct("at", "c")).alias("x"))
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, kinds = np.zeros(CLASSES * SLOTS, np.int64), np.zeros(CLASSES * SLOTS, np.int64)
-        for batch in rows:
-            for hashes, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at, c = (np.asarray(x.values.field(k)) for k in (0, 1))
-                slot = slot_of(np.frombuffer(hashes, np.uint32))[at]
-                np.add.at(tokens, slot, c)
-                kinds += np.bincount(slot, minlength=len(kinds))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(kinds)), pa.int32()), pa.array(tokens), pa.array(kinds)], ["slot", "tokens", "kinds"])
-
-    got = (blocks.select("block", "hashes").join(firsts, "block").select("hashes", "x").mapInArrow(run, "slot int, tokens bigint, kinds bigint")
-           .groupBy("slot").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds")).toArrow())
+def _slots(each: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Training tokens and distinct training words by slot; a word counts in its first block."""
+    got = each.filter("first AND c > 0").groupBy("slot").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("words")).toArrow()
     out = np.zeros((2, CLASSES * SLOTS), np.int64)
     if got.num_rows:
-        out[:, got["slot"].to_numpy()] = got["tokens"].to_numpy(), got["kinds"].to_numpy()
+        out[:, got["slot"].to_numpy()] = got["tokens"].to_numpy(), got["words"].to_numpy()
     return out[0], out[1]
-
-
