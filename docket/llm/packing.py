@@ -9,6 +9,7 @@ the only padding is in the last sequence.
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,7 +29,11 @@ from docket.llm.common import arrow_batches, saved
 WINDOW = 2048
 END_ID = 1
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 300_000  # pre-tokens in a generation whose ids a worker remembers
+CACHED_WORDS = 250_000  # pre-tokens in a generation whose ids a worker remembers
+
+
+# The public pattern for texts of ASCII alone, where its letter and number classes are these.
+ASCII_PATTERN = public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[^\sA-Za-z0-9]").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
 
 
 def byte_characters() -> dict[int, str]:
@@ -50,6 +55,7 @@ class Encoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.bytes = self.tokenizer.model, byte_characters()
         self.split = regex.compile(public_tokenizers.PATTERN).findall
+        self.split_ascii = re.compile(ASCII_PATTERN, re.ASCII).findall
         self.special = regex.compile("|".join(regex.escape(t.content) for t in
                                               self.tokenizer.get_added_tokens_decoder().values()) or r"(?!)").search
         self.width = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
@@ -71,7 +77,9 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
-        return self.whole(text) if self.special(text) else b"".join(map(self.__getitem__, self.split(text)))
+        if self.special(text):
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, self.split_ascii(text) if text.isascii() else self.split(text)))
 
 
 @lru_cache(maxsize=1)
