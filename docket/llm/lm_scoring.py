@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from docket.llm.common import arrow_batches, saved, words
 
-BLOCK = 1_000_000            # tokens in a block, about; a longer document is a block of its own
-CLASSES, SLOTS = 16, 16      # classes, and slots in each
+BLOCK = 2_000_000            # tokens in a block, about; a longer document is a block of its own
+CLASSES, SLOTS = 16, 16      # classes, and slots in each: powers of two
 CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14
 ROUNDS, STEP, BATCH = 4, 0.1, 16384
 ADD = 0.1                    # added to every count
@@ -41,7 +41,8 @@ END = b""                    # the end of a text; no word is empty
 
 def encode(docs: DataFrame) -> DataFrame:
     """Blocks of ``docs`` (id, text, train): ids, train flags and lengths of the documents, tokens
-    (compressed 32-bit numbers), the hashes of the block's words and their counts in training texts."""
+    (compressed 32-bit numbers), the hashes of the block's words (and their low halves, which is all
+    that slots and features use) and their counts in training texts."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,8 +56,9 @@ def encode(docs: DataFrame) -> DataFrame:
             hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in place), np.uint64, len(place)).view(np.int64)
             return pa.RecordBatch.from_arrays(
                 [pa.array([(part << 32) + number]), pa.array([ids]), pa.array([train]), pa.array([n.tolist()]),
-                 pa.array([zstandard.compress(tokens.tobytes(), 1)]), _list(hashes), _list(counts.astype(np.int64))],
-                ["block", "ids", "train", "n", "tokens", "hashes", "counts"])
+                 pa.array([zstandard.compress(tokens.tobytes(), 3)]), pa.array([hashes.astype(np.uint32).tobytes()]), _list(hashes),
+                 _list(counts.astype(np.int64))],
+                ["block", "ids", "train", "n", "tokens", "low", "hashes", "counts"])
 
         ids, train, texts, size = [], [], [], 0
         for b in batches:
@@ -73,7 +75,7 @@ def encode(docs: DataFrame) -> DataFrame:
 
     return docs.select("id", "text", "train").mapInArrow(
         run, f"block bigint, ids array<{kind}>, train array<boolean>, n array<bigint>, tokens binary, "
-             "hashes array<bigint>, counts array<bigint>")
+             "low binary, hashes array<bigint>, counts array<bigint>")
 
 
 def _list(x: np.ndarray) -> pa.Array:
@@ -81,8 +83,8 @@ def _list(x: np.ndarray) -> pa.Array:
 
 
 def slot_of(h: np.ndarray) -> np.ndarray:
-    """As ``pmod`` of Spark does it with signed hashes."""
-    return h % (CLASSES * SLOTS)
+    """The hash's last bits: ``pmod`` of the whole, signed hash gives the same."""
+    return (h % (CLASSES * SLOTS)).astype(np.int64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -93,14 +95,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def with_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(blocks with the corpus count of each of their words, one row per word and block: slot, count
-    over all blocks, count of its own, whether this is the word's first block)."""
+    over all blocks, whether this is the word's first block)."""
     each = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("at", "x"))
     by = Window.partitionBy("h")  # at most one row a block, also for the most frequent word
     each = each.select("block", "at", F.col("x.hashes").alias("h"), F.col("x.counts").alias("own"))
-    each = saved(each.select("block", "at", "own", F.pmod("h", F.lit(CLASSES * SLOTS).cast("long")).cast("int").alias("slot"),
+    each = saved(each.select("block", "at", F.pmod("h", F.lit(CLASSES * SLOTS).cast("long")).cast("int").alias("slot"),
                              F.sum("own").over(by).alias("c"), (F.col("block") == F.min("block").over(by)).alias("first")), "word-counts")
     lists = each.select("block", "at", "c").groupBy("block").applyInArrow(_in_order, "block bigint, c binary")
-    return saved(blocks.drop("counts").join(lists, "block"), "blocks"), each
+    return saved(blocks.drop("hashes", "counts").join(lists, "block"), "blocks"), each
 
 
 def _in_order(key, table):
@@ -117,13 +119,13 @@ class Block:
         self.n = np.array(row["n"], np.int64)
         self.tokens = np.frombuffer(zstandard.decompress(row["tokens"]), np.int32)
         self.c = np.frombuffer(row["c"], np.int64)
-        self.h = np.array(row["hashes"], np.int64)
+        self.h = np.frombuffer(row["low"], np.uint32)
         self.slot = slot_of(self.h)[self.tokens]
         self.starts = np.cumsum(self.n) - self.n
 
     def contexts(self) -> np.ndarray:
         """Hashes of the four features, by token."""
-        h = self.h.view(np.uint64)[self.tokens]
+        h = self.h.astype(np.uint64)[self.tokens] + np.uint64(2)
         at = np.arange(len(h)) - np.repeat(self.starts, self.n)
 
         def back(k):
@@ -252,7 +254,7 @@ def score_texts(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     arrow_batches(spark, 100_000)  # narrow rows
     blocks, each = with_counts(encoded)
     arrow_batches(spark, 1)  # one block at a time
-    got = each.agg(F.sum("own").alias("n"), F.sum((F.col("first") & (F.col("c") > 0)).cast("long")).alias("v")).first()
+    got = each.filter("first AND c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = got["n"] or 0, got["v"] or 0
     model = Model(*_slots(each))
     train(blocks, model)
