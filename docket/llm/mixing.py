@@ -173,15 +173,20 @@ def copies(id_: Column, r: Column) -> Column:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, volume: float = VOLUME, label: str = "quality",
-        domains: dict = DOMAINS, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[str]]:
+        domains: dict = DOMAINS, id_col: str = "doc_id", text_col: str = "text", with_rows: bool = True) -> tuple[DataFrame, list[str]]:
     """(id, row, n, p, rate, copies) of every row, and the domains' names in the order of ``p``.
 
+    The posteriors are written once, narrow, for the gradient steps. ``with_rows`` computes them
+    again beside the whole rows, which costs a second pass but no shuffle of the texts; without it
+    there is no ``row`` and the written ones are used.
+
     Null and empty texts have no words: they get a rate like any other and weigh nothing. Rows
     with a null id and repeated rows are mixed like others; column names of ``docs`` cannot
     clash, as its rows come whole in ``row``. An empty table gives no rows.
     """
     model = fit(docs, labels, label, domains, id_col=id_col, text_col=text_col)
     scored = with_posteriors(docs, model, id_col, text_col)
-    steps = fit_rates(saved(scored.select("n", "p"), "mixing"), targets, volume)
-    out = scored.withColumn("rate", rate(F.col("p"), steps))
+    narrow = saved(scored.select("id", "n", "p"), "mixing")
+    steps = fit_rates(narrow, targets, volume)
+    out = (scored if with_rows else narrow).withColumn("rate", rate(F.col("p"), steps))
     return out.withColumn("copies", copies(F.col("id"), F.col("rate"))), list(targets)

@@ -38,7 +38,7 @@ def op4_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_soft_membership_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents", "doc_id", "text")
-    out, names = mixing.mix(docs, load(spark, sf_dir, "labels", "doc_id", "quality"))
+    out, names = mixing.mix(docs, load(spark, sf_dir, "labels", "doc_id", "quality"), with_rows=False)
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_words"),
                       *[F.col("p")[k].alias(f"p_{x}") for k, x in enumerate(names)], "rate", "copies")
 

@@ -243,6 +243,8 @@ def test_mixing(spark):
         assert math.isclose(sum(r.n * r.p[k] * r.rate for r in got), mixing.VOLUME * total * mixing.TARGETS[x], rel_tol=0.01)
     assert all(0 <= r.copies - math.floor(r.rate) <= 1 for r in got)
     assert {r.n for r in got if r.id in (900, 901)} == {0}
+    narrow, _ = mixing.mix(docs, lab, with_rows=False)
+    assert sorted(((r.id, r.n, r.copies) for r in narrow.collect()), key=str) == sorted(((r.id, r.n, r.copies) for r in got), key=str)
     out, _ = mixing.mix(docs.filter("false"), lab)
     assert out.collect() == []
     out, _ = mixing.mix(docs, lab.filter("false"))
