@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from docket.llm.common import arrow_batches, saved, words
 
 BLOCK = 2_000_000            # tokens in a block, about; a longer document is a block of its own
-CLASSES, SLOTS = 16, 16      # classes, and slots in each: powers of two
+CLASSES, SLOTS = 32, 32      # classes, and slots in each: powers of two
 CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14
-ROUNDS, STEP, BATCH = 4, 0.1, 16384
+ROUNDS, STEP, BATCH = 4, 0.1, 4096
 ADD = 0.1                    # added to every count
 PIECES, SALT = 16, 32        # weights are averaged in so many pieces; first so many groups of tasks
 END = b""                    # the end of a text; no word is empty

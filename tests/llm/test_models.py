@@ -140,6 +140,22 @@ def test_learning_follows_the_gradient():
     assert model.log_slots(context, slot).sum() > before + 60
 
 
+def test_size_of_the_softmax_layers_and_of_a_step():
+    h = np.random.default_rng(2).integers(0, 1 << 32, 100_000, dtype=np.uint32)
+    assert len(np.unique(lm_scoring.slot_of(h))) == 1024  # a context narrows a word to a 1024th of the words
+    sizes = []
+
+    class Counting(lm_scoring.Model):
+        def layers(self, contexts, slot):
+            sizes.append(len(slot))
+            return super().layers(contexts, slot)
+
+    n, slots = 10_000, lm_scoring.CLASSES * lm_scoring.SLOTS
+    model = Counting(np.ones(slots), np.ones(slots))
+    model.learn(np.ones((n, 4), np.uint64), lm_scoring.slot_of(h[:n]), [np.zeros_like(model.class_w), np.zeros_like(model.slot_w)])
+    assert sum(sizes) == n and max(sizes) <= 4096
+
+
 # toxicity ------------------------------------------------------------------------------------
 
 def toxic_corpus(n=500):
