@@ -2,18 +2,21 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All but the last
-return the columns of ``docs``. ``doc_id`` names a document: rows that repeat an id are kept or
-dropped together; rows without an id are judged for toxicity, mixed and packed, and no dedup
-drops them. Empty tables give empty results.
+return the columns of ``docs``. The dedup stages judge rows, not ids: rows of one id with different
+texts, and rows without an id, are documents of their own; only rows that repeat both an id and its
+text are kept or dropped together. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docket.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity
-from docket.llm.common import load, saved, without
+from docket.llm.common import load, only, saved, without
 from docket.llm.queries import learn_from
 
 TOXIC = 0.3
@@ -27,12 +30,12 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents equal but for white space, the one that the exact dedup keeps."""
-    return _without(docs, exact_dedup.exact_groups(docs))
+    return _one_of_each(docs, exact_dedup.exact_groups)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that near copies link."""
-    return _without(docs, minhash_dedup.near_groups(docs))
+    return _one_of_each(docs, minhash_dedup.near_groups)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +50,32 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs)
 
 
-def _without(docs: DataFrame, groups: DataFrame) -> DataFrame:
-    return without(docs, "doc_id", saved(groups.filter("NOT kept").select("doc_id").distinct(), "dropped"))
+def _one_of_each(docs: DataFrame, groups: Callable[..., DataFrame]) -> DataFrame:
+    number = f"r{uuid.uuid4().hex}"  # new, so that it cannot clash
+    own = _numbered(docs, number)
+    dropped = saved(groups(own, id_col=number).filter("NOT kept").select(number).distinct(), "dropped")
+    return without(own, number, dropped).drop(number)
+
+
+def _numbered(docs: DataFrame, number: str) -> DataFrame:
+    """``docs`` with a number of each document: its id where no other row has it. Rows that repeat an id
+    or have none get numbers below all ids, one for each row, or for all rows of one id and text."""
+    ids = saved(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "ids")
+    odd = ids.filter("doc_id IS NULL OR n > 1").select("doc_id")
+    if odd.isEmpty():
+        return docs.withColumn(number, F.col("doc_id"))
+    low = F.lit(ids.agg(F.min("doc_id")).first()[0] or 0) - 1
+    at, digest = f"{number}_at", f"{number}_digest"
+    rest = docs.filter("doc_id IS NOT NULL")
+    some = docs.filter("doc_id IS NULL").unionByName(only(rest, "doc_id", odd))
+    some = saved(some.withColumn(at, F.monotonically_increasing_id())
+                 .withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), "numbered")
+    first = some.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("i"), F.col(digest).alias("d")).agg((low - F.min(at)).alias(number))
+    first = saved(first, "numbers")  # a row repeated very often is a skewed join with a written table, which AQE splits
+    named = some.filter("doc_id IS NOT NULL").join(first, (F.col("doc_id") == F.col("i")) & (F.col(digest) == F.col("d"))).drop("i", "d")
+    bare = some.filter("doc_id IS NULL").withColumn(number, low - F.col(at))
+    rest = without(rest, "doc_id", odd).withColumn(number, F.col("doc_id"))
+    return rest.unionByName(named.drop(at, digest)).unionByName(bare.drop(at, digest))
 
 
 STAGES = [("toxicity", reject_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies),

@@ -137,6 +137,18 @@ def test_pipeline_with_nulls_ties_and_nothing(spark, sf_small):
         assert df.count() == want if want is not None else sorted((r.doc_id for r in df.collect()), key=str) == sorted([3, None, None, 6, 6], key=str)
 
 
+def test_dedup_stages_judge_rows(spark, sf_small):
+    near = [f"w{k}" for k in range(60)]
+    rows = [(1, "a b c d e f g h"), (1, "a text of its own beside the copy"), (2, "a b c d e f g  h"), (None, "x y z"), (None, "x y z"), (None, "x y  z"),
+            (3, " ".join(near)), (None, " ".join([*near, "end"])), (4, "u v"), (4, "u v"), (5, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], spark.read.parquet(f"{sf_small}/documents.parquet").schema).repartition(3)
+    for _, stage in corpus_pipeline.STAGES[1:3]:
+        docs = saved(stage(spark, docs, sf_small), "test")
+    got = sorted((str(r.doc_id), r.text or "") for r in docs.collect())
+    assert got == sorted([("2", "a b c d e f g  h"), ("1", "a text of its own beside the copy"), ("None", "x y  z"), ("None", " ".join([*near, "end"])),
+                          ("4", "u v"), ("4", "u v")] + [("5", "")] * 2)
+
+
 def test_entry_registers_all():
     q = __spark_entry__.queries()
     assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {x.split("_")[0] for x in q} and set(__spark_entry__.oracle_sql()) <= set(q)
