@@ -3,7 +3,8 @@
 The expressions form a chain of backoff: a pair of words, its second word, that word's first 7,
 5, 4 and 3 characters. Both classes share the backoff counts, and a class's count of an
 expression is the number of its documents that hold it, which a line that one document repeats
-cannot inflate. With c the class's own count, E what the shared count lets expect of a class of
+cannot inflate; the shorter expressions have such document counts too, in place of Kneser-Ney's
+continuation counts. With c the class's own count, E what the shared count lets expect of a class of
 its size, and ``SHARED`` pseudo-observations that follow the shorter expression, the class's
 probability is the shared one times
 
@@ -193,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, id_col
         return None
     one = [F.sum(F.when(F.col("key") % 2 == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
     got = (texts.filter("counted").select("text", "y").mapInArrow(count, "key bigint, n bigint")
-           .groupBy(F.expr("key div 2").alias("slot")).agg(*one).filter("n0 + n1 > 1").toArrow())  # at most a row a slot
+           .groupBy(F.expr("key div 2").alias("slot")).agg(*one).toArrow())  # at most a row a slot
     counts = np.zeros((2, SLOTS), np.float32)
     for y in (0, 1):
         counts[y, got["slot"].to_numpy()] = got[f"n{y}"].to_numpy()

@@ -214,6 +214,14 @@ def test_toxicity_counts_and_ratios():
         assert math.isclose(got[k], math.log(r[1] / r[0]), abs_tol=1e-4)
 
 
+def test_toxicity_counts_what_one_document_holds(spark):
+    rows, labels = toxic_corpus(60)
+    rows = [(i, f"{t} only{i}") for i, t in rows]
+    model = toxicity.fit(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    own = [model.counts[:, toxicity.chain(f"only{i}".encode())[-1]].sum() for i, _ in rows]
+    assert 10 < sum(x == 1 for x in own) < 50  # half of the documents were counted
+
+
 # mixing --------------------------------------------------------------------------------------
 
 def plain_rates(n, p, targets, volume):
