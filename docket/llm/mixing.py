@@ -4,11 +4,14 @@ A softmax classifier, fitted on the labelled table, gives every document posteri
 domains. Nonnegative rates r minimise the squared relative errors of the domains' expected
 token totals, sum_k ((sum_d n_d p_dk r_d - T_k) / S_k)^2, by projected gradient steps from
 r = 1: each step needs one number per domain, which one distributed aggregation over narrow
-rows gives, and a document's rate follows from its own posteriors and those few numbers.
+rows gives, and a document's rate follows from its own posteriors and those few numbers. Where
+poorly separated posteriors make these steps slow, Newton steps follow, which need a number for
+each pair of domains, until the targets are met or nothing improves; what is missed is logged.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +29,7 @@ SAMPLE = 6_000               # labelled documents used for the classifier, at mo
 WORD_FEATURES = 1 << 13
 SHAPES = CLASSES * CLASSES
 FEATURES = WORD_FEATURES + SHAPES
-STEPS, CLOSE = 40, 1e-4      # gradient steps at most; relative error that ends them
+STEPS, CLOSE = 40, 1e-4      # gradient steps before Newton steps; relative error that ends both
 CACHED_WORDS = 500_000
 # production parameters: domains by the label ``quality``, their shares, tokens asked for per token there is
 DOMAINS = {"good": 1, "poor": 0}
@@ -146,7 +149,9 @@ def fit_rates(table: DataFrame, targets: dict = TARGETS, volume: float = VOLUME)
 
     With S_k the tokens domain k has at rate 1, the step is p_d . g with g_k = (A_k - T_k) / S_k,
     A_k being the expected tokens so far; its matrix has no eigenvalue above 1, so the steps
-    converge. A domain without tokens is left out (no rate can reach its target).
+    converge. A domain without tokens is left out (no rate can reach its target). After ``STEPS`` of
+    them come Newton steps, halved while they do not help; they end when the largest relative error
+    is under ``CLOSE`` or no step lowers the squared error by a hundredth (targets out of reach).
     """
     names = list(targets)
     steps: list[list[float]] = []
@@ -161,8 +166,37 @@ def fit_rates(table: DataFrame, targets: dict = TARGETS, volume: float = VOLUME)
             aim = volume * total * aim / aim.sum()
         g = np.where(start > 0, (now - aim) / np.maximum(start, 1e-9), 0.0)
         if np.abs(g).max() < CLOSE:
-            break
+            return steps
         steps.append(g.tolist())
+    return _newton(table, steps, start, aim)
+
+
+def _newton(table: DataFrame, steps: list[list[float]], start: np.ndarray, aim: np.ndarray) -> list[list[float]]:
+    k = len(aim)
+
+    def state(steps):
+        """Relative errors, and how the totals answer to a step."""
+        p, r = F.col("p"), F.col("r")
+        live = F.when(r > 0, F.col("n")).otherwise(0)
+        got = table.withColumn("r", rate(p, steps)).agg(
+            *[F.sum(F.col("n") * p[i] * r) for i in range(k)], *[F.sum(live * p[i] * p[j]) for i in range(k) for j in range(k)]).first()
+        x = np.array([v or 0.0 for v in got])
+        some = (start > 0) / np.maximum(start, 1e-9)
+        return (x[:k] - aim) * some, x[k:].reshape(k, k) * some[:, None]
+
+    (error, answer), size = state(steps), 1.0
+    while np.abs(error).max() >= CLOSE and size > 1 / 64:
+        move = np.linalg.lstsq(answer, error, rcond=1e-9)[0]
+        if ((error - answer @ move) ** 2).sum() > 0.99 * (error ** 2).sum():
+            break
+        longer = [*steps, (size * move).tolist()]
+        then, other = state(longer)
+        if (then ** 2).sum() < 0.99 * (error ** 2).sum():
+            steps, error, answer, size = longer, then, other, 1.0
+        else:
+            size /= 2
+    if np.abs(error).max() >= CLOSE:
+        logging.getLogger(__name__).warning("rates miss their targets: relative errors %s", error.tolist())
     return steps
 
 

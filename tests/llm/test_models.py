@@ -249,6 +249,21 @@ def test_rates_are_those_of_plain_projected_gradient(spark):
     assert np.allclose(totals, 1.5 * n.sum() * np.array([0.2, 0.5, 0.3]), rtol=0.01)
 
 
+def test_rates_reach_targets_also_with_alike_posteriors(spark, caplog):
+    rng = np.random.default_rng(6)
+    n, p = rng.integers(1, 500, 400), np.clip(rng.normal(0.5, 0.05, 400), 0, 1)
+    table = spark.createDataFrame([(int(a), [float(b), float(1 - b)]) for a, b in zip(n, p, strict=True)], "n long, p array<double>")
+
+    def errors(a):
+        got = table.select("n", "p", mixing.rate(F.col("p"), mixing.fit_rates(table, {"a": a, "b": 1 - a}, 1.0)).alias("r")).collect()
+        assert all(x.r >= 0 for x in got)
+        aim = n.sum() * np.array([a, 1 - a])
+        return np.abs(sum(x.n * x.r * np.array(x.p) for x in got) / aim - 1).max()
+
+    assert errors(0.53) < 2e-4 and not caplog.records
+    assert errors(0.95) > 0.1 and "miss their targets" in caplog.text  # out of reach of any rates
+
+
 def test_mixing(spark):
     rng = random.Random(8)
     rows, labels = [], []
