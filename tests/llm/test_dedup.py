@@ -213,6 +213,20 @@ def test_recall_of_pairs_at_the_threshold():
     assert np.allclose(embedding_dedup.hadamard(embedding_dedup.hadamard(a)), a)
 
 
+@pytest.mark.parametrize("dim", [128, 1024])
+def test_longer_vectors_get_more_tables(dim):
+    rng = np.random.default_rng(dim)
+    a = rng.normal(size=(150, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    p = rng.normal(size=a.shape)
+    p -= (p * a).sum(axis=1, keepdims=True) * a
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * p / np.linalg.norm(p, axis=1, keepdims=True)
+    for k in embedding_dedup.PLANS:
+        x, y = embedding_dedup.buckets(a, k), embedding_dedup.buckets(b, k)
+        found = ((x == y[:, :, :1]) | (y == x[:, :, :1])).any(axis=2)
+        assert (1 - found.mean()) ** found.shape[1] < 3e-5  # tables miss independently
+
+
 # components ----------------------------------------------------------------------------------
 
 def test_components(spark):
