@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, whatever the session's setting."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read again: lineage ends here, and a
     lost executor costs no more than its running tasks."""
@@ -68,6 +77,22 @@ def lower_ascii(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 
 
+def sha(c: Column) -> Column:
+    """sha256 in lower-case hex."""
+    return F.sha2(c.cast("binary"), 256)
+
+
+def field(c: Column) -> Column:
+    """A value with its bytes counted before it, so that neighbouring fields cannot run into each
+    other; ``-`` for a null."""
+    t = c.cast("string")
+    return F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-"))
+
+
+def row_digest(*fields: Column) -> Column:
+    return sha(F.concat(*[field(c) for c in fields]))
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """crc32 of the id's decimal text has this remainder; a null id is hashed as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus == remainder

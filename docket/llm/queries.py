@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docket.llm import embedding_dedup, exact_dedup, lm_scoring, minhash_dedup, mixing, packing, quality, secrets, toxicity, urls
+from docket.llm import (chat, embedding_dedup, exact_dedup, lm_scoring, merkle, minhash_dedup, mixing, packing, quality, repair, secrets,
+                        toxicity, urls)
 from docket.llm.common import held_out, load
 
 
@@ -66,8 +67,24 @@ def op10_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(load(spark, sf_dir, "documents", "doc_id", "text")))
 
 
+def op11_slot_pivot_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify(load(spark, sf_dir, "documents"))
+
+
+def op12_token_level_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_control_text(load(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_chats(rows)).drop("n_tokens")
+
+
+def op13_four_russians_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.digest(repair.repair(repair.damage(rows)), rows)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_cross_polytope, op2_url_language_models, op3_hashed_maxent, op4_kneser_ney_toxicity, op5_soft_membership_mixing,
-    op6_attention_quality, op7_chunk_recipes, op8_bayesian_minhash, op9_concatenate_and_cut, op10_trigram_secrets)}
+    op6_attention_quality, op7_chunk_recipes, op8_bayesian_minhash, op9_concatenate_and_cut, op10_trigram_secrets,
+    op11_slot_pivot_merkle, op12_token_level_chat, op13_four_russians_repair)}
 ORACLES = {"op1_cross_polytope": embedding_dedup.ORACLE_SQL, "op7_chunk_recipes": exact_dedup.ORACLE_SQL,
-           "op8_bayesian_minhash": minhash_dedup.ORACLE_SQL}
+           "op8_bayesian_minhash": minhash_dedup.ORACLE_SQL, "op11_slot_pivot_merkle": merkle.ORACLE_SQL,
+           "op12_token_level_chat": chat.ORACLE_SQL, "op13_four_russians_repair": repair.ORACLE_SQL}
