@@ -55,7 +55,8 @@ def diff_measures(a: DataFrame, b: DataFrame, keys: Sequence[str], measures: Map
 def _dim(dim: Column | Sequence[Column]) -> Column:
     if isinstance(dim, Column):
         return dim.cast("string")
-    return F.concat_ws(" / ", *[F.coalesce(c.cast("string"), F.lit("")) for c in dim])
+    # slashes within a value are marked, so that different values never read alike
+    return F.concat_ws(" / ", *[F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"([\\/])", r"\\$1") for c in dim])
 
 
 def diff_breakdowns(rows: DataFrame, breakdowns: Sequence[tuple[str, Column, Column | Sequence[Column]]],

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from docket.functions.text import ci
 from docket.operators import diff as D
+from docket.operators.breakdown import breakdown_cube, read_drill, write_drill
 from docket.operators.latest import latest_per_key
 from docket.functions.times import in_years
-from docket.plans.packaging_breakdowns import as_columns, as_sql
+from docket.plans.packaging_breakdowns import BREAKDOWNS, DIMS, DRILLS
 from docket.plans.registry import register
+from docket.session import scratch_path
 from docket.sources import read_table
 
 
@@ -258,33 +263,188 @@ def q_diff_drill(spark, sf):
     return D.drill_down(rows, breakdowns, "urgent_by_segment", "BUILDING")
 
 
-# Test columns in the roles of the packaging columns, for the breakdowns that come as data.
+# Test columns in the roles of the packaging columns. Spellings differ in case here and there (T1).
 _PACK = {
-    "packaging_type": ("l_partkey % 8", ["Self-managed consumer waste", "Self-managed organisation waste", "Total Household packaging",
-                                         "Total Non-Household packaging", "Household drinks containers", "Non-household drinks containers",
-                                         "Reusable packaging", "Public binned"]),
-    "packaging_class": ("l_suppkey % 6", ["Primary packaging", "Public bin", "Shipment packaging", "Online marketplace total", "Secondary packaging", "Tertiary packaging"]),
-    "packaging_material": ("l_linenumber % 4", ["Glass", "Paper", "", "Steel"]),
-    "packaging_activity": ("l_orderkey % 3", ["Brand", "Imported", "Empty"]),
+    "packaging_type": ("l_partkey % 9", ["Self-managed consumer waste", "Self-managed organisation waste", "Total Household packaging",
+                                         "Total Non-Household packaging", "Household drinks containers", "Non-Household drinks containers",
+                                         "Reusable packaging", "Public Binned", "total household packaging"]),
+    "packaging_class": ("l_suppkey % 7", ["Primary packaging", "Public Bin", "Shipment packaging", "Online marketplace total", "Secondary packaging",
+                                          "Tertiary packaging", "primary packaging"]),
+    "packaging_material": ("l_linenumber % 5", ["Glass", "Paper", "", "Steel", "GLASS"]),
+    "packaging_activity": ("l_orderkey % 5", ["Brand Owner", "Packer / Filler", "Imported", "Sold as empty", "Hired or loaned"]),
     "from_nation": ("l_orderkey % 5", ["EN", "NI", "SC", "WS", ""]),
-    "to_nation": ("l_partkey % 3", ["", "EN", "SC"]),
+    "to_nation": ("l_partkey % 4", ["", "EN", "SC", ""]),
     "relative_move": ("l_suppkey % 3", ["EN to SC", "", "NI to WS"]),
-    "total_packaging": ("l_linenumber % 2", ["Total packaging", ""]),
 }
 _PACK_SQL = ", ".join(f"list_extract([{', '.join(repr(v) for v in vs)}], CAST({e} AS INTEGER) + 1) AS {n}" for n, (e, vs) in _PACK.items())
+_PACK_ROWS = f"""
+SELECT l_orderkey, l_linenumber, l_suppkey AS org_id, CASE WHEN l_linenumber % 2 = 0 THEN 'S' || l_returnflag END AS subsidiary_id, {_PACK_SQL},
+       CASE WHEN year(l_shipdate) = 1997 THEN l_quantity ELSE 0.0 END AS q1, CASE WHEN year(l_shipdate) = 1998 THEN l_quantity END AS q2 FROM lineitem
+"""
 
 
-@register("packaging_breakdowns", f"""
-WITH r AS (SELECT {_PACK_SQL}, CASE WHEN year(l_shipdate) = 1997 THEN l_quantity ELSE 0.0 END AS q1,
-                  CASE WHEN year(l_shipdate) = 1998 THEN l_quantity ELSE 0.0 END AS q2 FROM lineitem),
-e AS ({as_sql("r")}),
-x AS (SELECT breakdown, dim_value, round(sum(q1), 2) AS s1, round(sum(q2), 2) AS s2 FROM e GROUP BY breakdown, dim_value),
-y AS (SELECT *, round(s2 - s1, 2) AS value_change,
-             CASE WHEN s1 = 0 OR s2 = 0 OR s1 = s2 THEN 0.0 ELSE round((s2 - s1) / s1 * 100, 2) END AS pct_change FROM x)
-SELECT *, CASE WHEN pct_change >= 10 THEN 'up' WHEN pct_change <= -10 THEN 'down' ELSE 'flat' END AS arrow FROM y
-""")
+def _pack_rows(spark, sf):
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_returnflag"])
+    year = F.year("l_shipdate")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("org_id"),
+                     F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("S"), "l_returnflag")).alias("subsidiary_id"),
+                     *[F.element_at(F.array(*[F.lit(v) for v in vs]), F.expr(e).cast("int") + 1).alias(n) for n, (e, vs) in _PACK.items()],
+                     F.when(year == 1997, F.col("l_quantity")).otherwise(0.0).alias("q1"), F.when(year == 1998, F.col("l_quantity")).alias("q2"))
+
+
+# Written out from the specification of each breakdown, not from the rules that the query uses.
+_CUBE_SQL = f"""
+WITH raw AS ({_PACK_ROWS}),
+r AS (SELECT org_id AS o, subsidiary_id AS s, lower(packaging_type) AS t, lower(packaging_class) AS c, lower(packaging_material) AS m, lower(packaging_activity) AS a,
+             lower(from_nation) AS fn, lower(to_nation) AS tn, lower(relative_move) AS rm, sum(q1) AS q1, sum(coalesce(q2, 0)) AS q2 FROM raw GROUP BY ALL),
+e(f, o, s, m, fn, rm, c, a, q1, q2) AS (
+  SELECT 'smcw_pm_fn', o, s, m, fn, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'self-managed consumer waste' AND fn <> '' AND tn = ''
+  UNION ALL SELECT 'smcw_pm_rm', o, s, m, NULL, rm, NULL, NULL, q1, q2 FROM r WHERE t = 'self-managed consumer waste' AND rm <> '' AND m <> ''
+  UNION ALL SELECT 'smow_pm_fn', o, s, m, fn, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'self-managed organisation waste' AND fn <> '' AND tn = '' AND m <> ''
+  UNION ALL SELECT 'smow_pm_rm', o, s, m, NULL, rm, NULL, NULL, q1, q2 FROM r WHERE t = 'self-managed organisation waste' AND tn <> '' AND m <> ''
+  UNION ALL SELECT 'all_pm_hh_pc', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'total household packaging' AND m <> ''
+    AND c IN ('primary packaging', 'public bin', 'shipment packaging', 'online marketplace total')
+  UNION ALL SELECT 'all_pm_non_hh_pc', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'total non-household packaging' AND m <> ''
+    AND c IN ('online marketplace total', 'primary packaging', 'secondary packaging', 'shipment packaging', 'tertiary packaging')
+  UNION ALL SELECT 'all_pm_hh_drinks', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_non_hh_drinks', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'non-household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_drinks', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t LIKE '%household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_reusable', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'reusable packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_TReusable', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'reusable packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_TP', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t NOT LIKE 'self-managed%' AND m <> ''
+  UNION ALL SELECT 'all_pm_Thh', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'total household packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_Tnhh', o, s, m, NULL, NULL, NULL, NULL, q1, q2 FROM r WHERE t = 'total non-household packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_hh_pa', o, s, m, NULL, NULL, c, a, q1, q2 FROM r WHERE t = 'total household packaging' AND m <> ''
+    AND c IN ('primary packaging', 'shipment packaging')
+  UNION ALL SELECT 'all_pm_pb_pa', o, s, m, NULL, NULL, c, a, q1, q2 FROM r WHERE t = 'public binned' AND c = 'public bin' AND m <> ''
+  UNION ALL SELECT 'all_public_binned', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'public binned' AND c = 'public bin' AND m <> ''
+  UNION ALL SELECT 'all_pm_tnh_pa', o, s, m, NULL, NULL, c, a, q1, q2 FROM r WHERE t = 'total non-household packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_HH_drinks', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t = 'household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_nHH_drinks', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t = 'non-household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_all_drinks', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t LIKE '%household drinks containers' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_reusable', o, s, m, NULL, NULL, c, a, q1, q2 FROM r WHERE t = 'reusable packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_total_reusable', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t = 'reusable packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_tp', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t NOT LIKE 'self-managed%' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_total_hh', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t = 'total household packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_pa_total_nonhh', o, s, m, NULL, NULL, NULL, a, q1, q2 FROM r WHERE t = 'total non-household packaging' AND m <> ''
+  UNION ALL SELECT 'all_pm_online', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'total household packaging' AND c = 'online marketplace total' AND m <> ''
+  UNION ALL SELECT 'all_pm_online_non', o, s, m, NULL, NULL, c, NULL, q1, q2 FROM r WHERE t = 'total non-household packaging' AND c = 'online marketplace total' AND m <> ''
+),
+ms AS (SELECT DISTINCT m FROM r WHERE m <> ''), fns AS (SELECT DISTINCT fn FROM r WHERE fn <> ''), rms AS (SELECT DISTINCT rm FROM r WHERE rm <> ''),
+cs AS (SELECT DISTINCT c FROM r WHERE c <> ''), acts AS (SELECT DISTINCT a FROM r WHERE a <> ''),
+z(f, m, fn, rm, c, a) AS (
+  SELECT f, m, fn, NULL, NULL, NULL FROM ms, fns, (VALUES ('smcw_pm_fn'), ('smow_pm_fn')) v(f)
+  UNION ALL SELECT f, m, NULL, rm, NULL, NULL FROM ms, rms, (VALUES ('smcw_pm_rm'), ('smow_pm_rm')) v(f)
+  UNION ALL SELECT f, m, NULL, NULL, NULL, NULL FROM ms, (VALUES ('all_pm_hh_drinks'), ('all_pm_non_hh_drinks'), ('all_pm_drinks'), ('all_pm_TReusable'),
+    ('all_pm_TP'), ('all_pm_Thh'), ('all_pm_Tnhh')) v(f)
+  UNION ALL SELECT f, m, NULL, NULL, NULL, a FROM ms, acts, (VALUES ('all_pm_pa_HH_drinks'), ('all_pm_pa_nHH_drinks'), ('all_pm_pa_all_drinks'), ('all_pm_pa_tp'),
+    ('all_pm_pa_total_hh'), ('all_pm_pa_total_nonhh'), ('all_pm_pa_total_reusable')) v(f)
+  UNION ALL SELECT 'all_pm_reusable', m, NULL, NULL, c, NULL FROM ms, cs
+  UNION ALL SELECT 'all_pm_hh_pc', m, NULL, NULL, c, NULL FROM ms, cs WHERE c IN ('primary packaging', 'public bin', 'shipment packaging', 'online marketplace total')
+  UNION ALL SELECT 'all_pm_non_hh_pc', m, NULL, NULL, c, NULL FROM ms, cs WHERE c <> 'public bin'
+  UNION ALL SELECT f, m, NULL, NULL, c, NULL FROM ms, cs, (VALUES ('all_pm_online'), ('all_pm_online_non')) v(f) WHERE c = 'online marketplace total'
+  UNION ALL SELECT 'all_public_binned', m, NULL, NULL, c, NULL FROM ms, cs WHERE c = 'public bin'
+  UNION ALL SELECT 'all_pm_pb_pa', m, NULL, NULL, c, a FROM ms, cs, acts WHERE c = 'public bin'
+  UNION ALL SELECT 'all_pm_hh_pa', m, NULL, NULL, c, a FROM ms, cs, acts WHERE c IN ('primary packaging', 'shipment packaging')
+  UNION ALL SELECT f, m, NULL, NULL, c, a FROM ms, cs, acts, (VALUES ('all_pm_tnh_pa'), ('all_pm_pa_reusable')) v(f)
+),
+x AS (
+  SELECT 'member' AS level, f, o, s, m, fn, rm, c, a, round(sum(q1), 2) AS s1, round(sum(q2), 2) AS s2 FROM e GROUP BY ALL
+  UNION ALL SELECT 'scaffold', f, NULL, NULL, m, fn, rm, c, a, 0, 0 FROM z
+  UNION ALL SELECT 'total', f, NULL, NULL, m, fn, rm, c, a, round(sum(q1), 2), round(sum(q2), 2)
+    FROM (SELECT f, m, fn, rm, c, a, q1, q2 FROM e UNION ALL SELECT *, 0, 0 FROM z) GROUP BY ALL
+),
+d AS (SELECT lower(v) AS k, min(v) AS v FROM (SELECT unnest([packaging_material, packaging_activity, packaging_class, from_nation, relative_move]) AS v FROM raw) GROUP BY 1),
+y AS (
+  SELECT level, f AS breakdown, o AS org_id, s AS subsidiary_id, dm.v AS packaging_material, df.v AS from_nation, dr.v AS relative_move, dc.v AS packaging_class,
+         da.v AS packaging_activity, s1, s2
+  FROM x LEFT JOIN d dm ON dm.k = m LEFT JOIN d df ON df.k = fn LEFT JOIN d dr ON dr.k = rm LEFT JOIN d dc ON dc.k = c LEFT JOIN d da ON da.k = a
+)
+"""
+
+
+def _arrow_sql(kind: str) -> str:
+    change = "round((s2 - s1) / s1 * 100, 2)" if kind == "percentage" else "round(s2 - s1, 2)"
+    zero = "s1 = 0 OR s2 = 0" if kind == "percentage" else "level = 'total' AND (s1 = 0 OR s2 = 0)"
+    return f"""SELECT *, CASE WHEN change >= 10 THEN 'up' WHEN change <= -10 THEN 'down' ELSE 'flat' END AS arrow
+               FROM (SELECT *, CASE WHEN {zero} THEN 0.0 ELSE {change} END AS change FROM y)"""
+
+
+def _pack_cube(spark, sf, kind):
+    return breakdown_cube(_pack_rows(spark, sf), BREAKDOWNS, ["org_id", "subsidiary_id"], DIMS, F.col("q1"), F.col("q2"), kind)
+
+
+@register("packaging_breakdowns", _CUBE_SQL + _arrow_sql("percentage"))
 def q_packaging_breakdowns(spark, sf):
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"])
-    rows = li.select(*[F.element_at(F.array(*[F.lit(v) for v in vs]), F.expr(e).cast("int") + 1).alias(n) for n, (e, vs) in _PACK.items()],
-                     *[F.when(F.year("l_shipdate") == y, F.col("l_quantity")).otherwise(0.0).alias(q) for q, y in (("q1", 1997), ("q2", 1998))])
-    return D.diff_breakdowns(rows, as_columns(), F.col("q1"), F.col("q2"))
+    return _pack_cube(spark, sf, "percentage")
+
+
+@register("packaging_totals", _CUBE_SQL + f"SELECT * EXCLUDE (level, org_id, subsidiary_id) FROM ({_arrow_sql('value')}) WHERE level = 'total'")
+def q_packaging_totals(spark, sf):
+    return _pack_cube(spark, sf, "value").filter("level = 'total'").drop("level", "org_id", "subsidiary_id")
+
+
+# Each drill's condition as the specification has it; an activity's eleven measures differ in that activity alone.
+_DRILL_SQL = f"""
+WITH raw AS ({_PACK_ROWS}),
+r AS (SELECT *, lower(packaging_type) AS t, lower(packaging_activity) AS act, lower(packaging_material) AS m, lower(packaging_class) AS c,
+             lower(from_nation) AS fn, lower(relative_move) AS rm FROM raw WHERE packaging_material <> ''),
+acts(suffix, act) AS (VALUES ('', 'brand owner'), ('_pack', 'packer / filler'), ('_Imported', 'imported'), ('_sold', 'sold as empty'), ('_hired', 'hired or loaned')),
+x AS (
+  SELECT 'relative_move' AS drill, m, rm AS v, q1, q2 FROM r WHERE t = 'self-managed consumer waste'
+  UNION ALL SELECT 'from_nation', m, fn, q1, q2 FROM r WHERE t = 'self-managed consumer waste'
+  UNION ALL SELECT 'from_org', m, fn, q1, q2 FROM r WHERE t = 'self-managed organisation waste'
+  UNION ALL SELECT 'relative_move_org', m, rm, q1, q2 FROM r WHERE t = 'self-managed organisation waste'
+  UNION ALL SELECT unnest(['hp_all', 'all_pm_online']), m, c, q1, q2 FROM r WHERE t = 'total household packaging'
+  UNION ALL SELECT unnest(['nhp_all', 'all_pm_tnh_pa_online', 'all_pm_online_non']), m, c, q1, q2 FROM r WHERE t = 'total non-household packaging'
+  UNION ALL SELECT 'hdc_all', m, NULL, q1, q2 FROM r WHERE t = 'household drinks containers'
+  UNION ALL SELECT 'nhdc_all', m, NULL, q1, q2 FROM r WHERE t = 'non-household drinks containers'
+  UNION ALL SELECT 'drinks_all', m, NULL, q1, q2 FROM r WHERE t LIKE '%household drinks containers'
+  UNION ALL SELECT 'rp_all', m, c, q1, q2 FROM r WHERE t = 'reusable packaging'
+  UNION ALL SELECT 'rp_all_total', m, NULL, q1, q2 FROM r WHERE t = 'reusable packaging'
+  UNION ALL SELECT 'tp_all', m, NULL, q1, q2 FROM r WHERE t NOT LIKE 'self-managed%'
+  UNION ALL SELECT 'hp_all_total', m, NULL, q1, q2 FROM r WHERE t = 'total household packaging'
+  UNION ALL SELECT 'nhp_all_total', m, NULL, q1, q2 FROM r WHERE t = 'total non-household packaging'
+  UNION ALL SELECT 'all_public_binned', m, c, q1, q2 FROM r WHERE t = 'public binned'
+  UNION ALL SELECT 'all_pm_hh_pa' || suffix, m, c, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'total household packaging'
+  UNION ALL SELECT 'all_pm_pb_pa' || suffix, m, c, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'public binned'
+  UNION ALL SELECT 'all_pm_tnh_pa' || suffix, m, c, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'total non-household packaging'
+  UNION ALL SELECT 'all_pm_pa_HH_drinks' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'household drinks containers'
+  UNION ALL SELECT 'all_pm_pa_nHH_drinks' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'non-household drinks containers'
+  UNION ALL SELECT 'all_pm_pa_all_drinks' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t LIKE '%household drinks containers'
+  UNION ALL SELECT 'all_pm_pa_reusable' || suffix, m, c, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'reusable packaging'
+  UNION ALL SELECT 'all_pm_pa_tp' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t NOT LIKE 'self-managed%'
+  UNION ALL SELECT 'all_pm_pa_total_hh' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'total household packaging'
+  UNION ALL SELECT 'all_pm_pa_total_nonhh' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'total non-household packaging'
+  UNION ALL SELECT 'all_pm_pa_total_reusable' || suffix, m, NULL, q1, q2 FROM r JOIN acts USING (act) WHERE t = 'reusable packaging'
+)
+SELECT drill, m AS material, v AS value, count(*) AS n, round(sum(q1), 2) AS s1, round(sum(coalesce(q2, 0)), 2) AS s2 FROM x GROUP BY ALL
+"""
+
+
+def _drill_index(spark, sf):
+    path = scratch_path(spark, "drill", uuid.uuid4().hex)
+    write_drill(_pack_rows(spark, sf), DRILLS, path)
+    return path
+
+
+@register("packaging_drills", _DRILL_SQL)
+def q_packaging_drills(spark, sf):
+    """Every drill, by its material and the value it asks for, from the index of rows by rule."""
+    asked = F.lit(None).cast("string")
+    for d in (r for r in DRILLS if len(r.by) > 1):
+        asked = F.when(F.col("rule") == d.name, ci(d.by[1])).otherwise(asked)
+    rows = spark.read.parquet(_drill_index(spark, sf)).withColumn("value", asked)
+    return rows.groupBy(F.col("rule").alias("drill"), ci("packaging_material").alias("material"), "value").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("q1"), 2).alias("s1"), F.round(F.sum(F.coalesce("q2", F.lit(0.0))), 2).alias("s2"))
+
+
+@register("packaging_drill_rows", f"""
+SELECT l_orderkey, l_linenumber, org_id, subsidiary_id, packaging_class, q1, q2 FROM ({_PACK_ROWS})
+WHERE lower(packaging_type) = 'total household packaging' AND lower(packaging_material) = 'glass' AND lower(packaging_class) = 'primary packaging'
+  AND lower(packaging_activity) = 'packer / filler'
+""")
+def q_packaging_drill_rows(spark, sf):
+    """The rows behind one cell, from one folder of the index."""
+    rows = read_drill(spark, _drill_index(spark, sf), "all_pm_hh_pa_pack", packaging_material="Glass", packaging_class="Primary packaging")
+    return rows.select("l_orderkey", "l_linenumber", "org_id", "subsidiary_id", "packaging_class", "q1", "q2")
