@@ -2,9 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
 DataFrame that is written as Parquet and read again as the next one's ``docs``. All but the last
-return the columns of ``docs``. The dedup stages judge rows, not ids: rows of one id with different
-texts, and rows without an id, are documents of their own; only rows that repeat both an id and its
-text are kept or dropped together. Empty tables give empty results.
+return the columns of ``docs``. The dedup stages judge rows, not ids: rows that repeat an id, and rows
+without one, are documents of their own, so one row of each group stays. Empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from docket.llm import exact_dedup, minhash_dedup, mixing, packing, toxicity
 from docket.llm.common import load, only, saved, without
@@ -58,24 +59,20 @@ def _one_of_each(docs: DataFrame, groups: Callable[..., DataFrame]) -> DataFrame
 
 
 def _numbered(docs: DataFrame, number: str) -> DataFrame:
-    """``docs`` with a number of each document: its id where no other row has it. Rows that repeat an id
-    or have none get numbers below all ids, one for each row, or for all rows of one id and text."""
-    ids = saved(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "ids")
-    odd = ids.filter("doc_id IS NULL OR n > 1").select("doc_id")
+    """``docs`` with a number of each row: its id where no other row has it. Rows that repeat an id or have
+    none get numbers of their own below all ids. Ids that are not whole numbers give way to numbers for all."""
+    at, times = f"{number}_at", f"{number}_times"  # of the number's own name, so that they cannot clash either
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return saved(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    ids = saved(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias(times)), "ids")
+    odd = ids.filter(F.col("doc_id").isNull() | (F.col(times) > 1)).select("doc_id")
     if odd.isEmpty():
-        return docs.withColumn(number, F.col("doc_id"))
-    low = F.lit(ids.agg(F.min("doc_id")).first()[0] or 0) - 1
-    at, digest = f"{number}_at", f"{number}_digest"
+        return docs.withColumn(number, F.col("doc_id").cast("long"))
+    low = F.lit(ids.agg(F.min("doc_id")).first()[0] or 0).cast("long") - 1
     rest = docs.filter("doc_id IS NOT NULL")
     some = docs.filter("doc_id IS NULL").unionByName(only(rest, "doc_id", odd))
-    some = saved(some.withColumn(at, F.monotonically_increasing_id())
-                 .withColumn(digest, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)), "numbered")
-    first = some.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("i"), F.col(digest).alias("d")).agg((low - F.min(at)).alias(number))
-    first = saved(first, "numbers")  # a row repeated very often is a skewed join with a written table, which AQE splits
-    named = some.filter("doc_id IS NOT NULL").join(first, (F.col("doc_id") == F.col("i")) & (F.col(digest) == F.col("d"))).drop("i", "d")
-    bare = some.filter("doc_id IS NULL").withColumn(number, low - F.col(at))
-    rest = without(rest, "doc_id", odd).withColumn(number, F.col("doc_id"))
-    return rest.unionByName(named.drop(at, digest)).unionByName(bare.drop(at, digest))
+    some = saved(some.withColumn(at, F.monotonically_increasing_id()), "numbered").withColumn(number, low - F.col(at)).drop(at)
+    return without(rest, "doc_id", odd).withColumn(number, F.col("doc_id").cast("long")).unionByName(some)
 
 
 STAGES = [("toxicity", reject_toxic), ("exact dedup", drop_copies), ("near dedup", drop_near_copies),
