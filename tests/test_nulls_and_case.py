@@ -108,3 +108,19 @@ def test_deep_pages_are_those_of_a_full_sort(spark, monkeypatch):
             seen.append([(r.id, r.page, r.total_count) for r in got])
         assert seen[0] == seen[1] and len(seen[0]) == 10
     assert seen[0][0][1] == 50  # clamped
+
+
+def test_codes_that_differ_in_case_are_one(spark):
+    from docket.operators.conform import decode_codes, decode_codes_table
+    codes = [("HH", "size", "Household"), ("hh ", "size", "A household"), ("L", "size", "Large"), ("L", "size", "Large"), (None, "size", "none")]
+    df = spark.createDataFrame([(1, "Hh"), (2, "l"), (3, None), (4, "x")], "id int, s string")
+    want = [(1, "A household"), (2, "Large"), (3, None), (4, None)]
+    table = spark.createDataFrame(codes, "code string, type string, text string")
+    for out in (decode_codes(df, codes, {"s": "size"}), decode_codes_table(df, table, {"s": "size"})):
+        assert sorted((r.id, r.s_text) for r in out.collect()) == want
+
+
+def test_rows_under_a_repeated_null_key_are_purged(spark):
+    from docket.operators.conform import purge_ambiguous
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (None, "b"), (None, "b"), (4, "b2")], "id int, key string")
+    assert sorted(r.id for r in purge_ambiguous(df, ["key"], "id").collect()) == [3, 4]
