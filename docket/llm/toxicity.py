@@ -1,20 +1,20 @@
-"""Toxicity by two class-conditional Kneser-Ney models of words and word pairs.
-
-The expressions form a chain of backoff: a pair of words, its second word, that word's first 7,
-5, 4 and 3 characters. Both classes share the backoff counts, and a class's count of an
-expression is the number of its documents that hold it, which a line that one document repeats
-cannot inflate; the shorter expressions have such document counts too, in place of Kneser-Ney's
-continuation counts. With c the class's own count, E what the shared count lets expect of a class of
-its size, and ``SHARED`` pseudo-observations that follow the shorter expression, the class's
-probability is the shared one times
-
-    ratio = (max(c - DISCOUNT, 0) + SHARED * ratio of the shorter expression) / (E + SHARED)
-
-so that a rare expression says what its backoff says and no more, and the shared factor cancels
-when the classes are compared. What is compared is the difference of the two log-likelihoods per
-word, over the whole text and over its most toxic short stretches (a single insult in a long
-text is lost in the text's mean). A logistic curve, fitted on labelled texts that were not
-counted, turns these into a score from 0 to 1.
+"""Toxicity by two class-conditional Kneser-Ney models of words.
+
+A word backs off to its first 7, 5, 4 and 3 characters. The count of an expression in a class is
+Kneser-Ney's continuation count: of how many distinct words it is the successor there, which a line
+that is repeated cannot inflate. With N that count, T the sum over all expressions of an order, and g
+the next shorter expression of f, a class c has
+
+    P_c(f) = max(N_c(f) - D_c, 0) / T_c + BACKOFF * P_c(g) * S(f | g)
+
+S, the share of f among the expressions that g begins, comes from the counts of both classes
+together, and what it discounts is left to expressions never seen, so the probabilities sum to one.
+The discount D_c of each order is the number that frees the mass ``BACKOFF`` in the class: the
+larger class is discounted more, and a word that neither knows speaks for neither. Divided by the
+shared probability (the product of S along the chain), P_c is a ratio, in which S cancels when the
+classes are compared. Compared are the two log-likelihoods per word, over the whole text and over
+its most toxic stretches (a single insult in a long text is lost in the text's mean). A logistic
+curve, fitted on labelled texts that were not counted, turns these into a score from 0 to 1.
 """
 
 from __future__ import annotations
@@ -31,72 +31,78 @@ from pyspark.sql import functions as F
 from docket.llm.common import arrow_batches, saved, words
 
 SAMPLE = 20_000        # labelled documents used for the fit, at most; half count, half calibrate
-SLOTS = 1 << 22        # fixed table: the model's size does not depend on the data
-DISCOUNT = 0.75
-SHARED = 10.0
+DISCOUNT = 0.75        # of the shared counts
+BACKOFF = 0.6          # mass of a class that every order leaves to the next shorter one
 PREFIXES = (3, 4, 5, 7)
 STRETCHES = (1, 4, 16)  # words in the short stretches
 CACHED_WORDS = 300_000
 MARKS = string.punctuation.encode()
+COUNTED = ["y", "key", "chain", "before"]
+CHAIN = pa.list_(pa.int64())
 
 
 def chain(word: bytes) -> list[int]:
-    """Slots of a word's prefixes, shortest first, and of the word, without the marks around it."""
+    """The word's expressions of all orders, shortest first, without the marks around it, as hashes. A
+    prefix as long as the word is the word."""
     w = word.strip(MARKS) or word
-    text = w.decode("utf-8", "surrogatepass")
-    return [xxhash.xxh64_intdigest(text[:k].encode("utf-8", "surrogatepass") + b"*") % SLOTS for k in PREFIXES if len(text) > k] + [
-        xxhash.xxh64_intdigest(w) % SLOTS]
+    text, own = w.decode("utf-8", "surrogatepass"), xxhash.xxh64_intdigest(w)
+    return [xxhash.xxh64_intdigest(text[:k].encode("utf-8", "surrogatepass") + b"*") if len(text) > k else own for k in PREFIXES] + [own]
 
 
-def pair_slot(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    x = (first.astype(np.uint64) << np.uint64(24)) ^ second.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> np.uint64(27))) % np.uint64(SLOTS)).astype(np.int64)
-
-
-def before(x: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """What stands before each word; -1 at the begin of a text."""
-    out = np.concatenate([[-1], x[:-1]]) if len(x) else x
-    out[(np.cumsum(n) - n)[n > 0]] = -1
-    return out
+def discount(counts: np.ndarray, mass: float) -> float:
+    """The number that, taken off every count as far as it goes, frees this share of their sum."""
+    low, high = 0.0, float(counts.max())
+    for _ in range(60):
+        mid = (low + high) / 2
+        low, high = (mid, high) if np.minimum(counts, mid).sum() < mass * counts.sum() else (low, mid)
+    return high
 
 
 class Model:
-    """Documents of class 0 (ordinary) and 1 (toxic) by slot; ``share`` of each class."""
+    """By order, the hashes of the expressions (sorted) and what their own counts add to the ratio of
+    class 0 (ordinary) and 1 (toxic). Both classes have an expression."""
 
-    def __init__(self, counts: np.ndarray, share: np.ndarray):
-        self.counts, self.share = counts, share
+    def __init__(self, chains: np.ndarray, keys: np.ndarray, counts: np.ndarray):
+        """From the chains of all words (a row each) and the continuation counts of ``keys`` (sorted; a row a class)."""
+        self.orders: list[tuple[np.ndarray, np.ndarray]] = []
         self.weights = np.zeros(2 + len(STRETCHES))
-
-    def ratio(self, slot, shorter: np.ndarray) -> np.ndarray:
-        own = self.counts[:, slot]
-        share = self.share.reshape((2,) + (1,) * (own.ndim - 1))
-        return (np.maximum(own - DISCOUNT, 0) + SHARED * shorter) / (share * own.sum(axis=0) + SHARED)
+        shorter, shared = np.zeros(1, np.uint64), np.ones(1)
+        for k in range(chains.shape[1]):
+            own, first = np.unique(chains[:, k], return_index=True)
+            begin = np.searchsorted(shorter, chains[first, k - 1]) if k else np.zeros(len(own), np.int64)
+            n = counts[:, np.searchsorted(keys, own)].astype(float)
+            both = n.sum(axis=0)
+            shared = shared[begin] * (both - DISCOUNT) / np.bincount(begin, both, len(shorter))[begin]
+            off = np.array([discount(x, BACKOFF) for x in n])
+            gain = np.maximum(n - off[:, None], 0) / n.sum(axis=1, keepdims=True) / shared
+            self.orders.append((own, gain.astype(np.float32)))
+            shorter = own
+
+    def ratios(self, chains: np.ndarray) -> np.ndarray:
+        """P_c of each word (a row of ``chains``) divided by the shared probability; a row a class."""
+        out = np.ones((2, len(chains)))
+        for k, (keys, gain) in enumerate(self.orders):
+            at = np.minimum(np.searchsorted(keys, chains[:, k]), len(keys) - 1)
+            out = np.where(keys[at] == chains[:, k], gain[:, at], 0) + BACKOFF * out
+        return out
 
 
 class Scorer(dict):
-    """A worker's view of a model: remembers the ratios of so many words."""
+    """A worker's view of a model: remembers the log-ratios of so many words."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.slot = np.zeros(CACHED_WORDS, np.int64)
-        self.ratios = np.zeros((2, CACHED_WORDS), np.float32)
+        self.known = np.zeros(CACHED_WORDS, np.float32)
 
     def learn(self, new: list[bytes]) -> None:
-        slots, first = np.full((len(PREFIXES) + 1, len(new)), -1, np.int64), len(self)
-        for k, w in enumerate(new):
-            got = chain(w)
-            slots[-1, k] = got.pop()
-            slots[:len(got), k] = got
-            self[w] = first + k
-        ratio = np.ones((2, len(new)))
-        for level in slots:
-            ratio = np.where(level >= 0, self.model.ratio(level, ratio), ratio)
-        self.slot[first:first + len(new)], self.ratios[:, first:first + len(new)] = slots[-1], ratio
+        r = self.model.ratios(np.array([chain(w) for w in new], np.uint64).reshape(len(new), len(PREFIXES) + 1))
+        first = len(self)
+        self.known[first:first + len(new)] = np.log(r[1]) - np.log(r[0])
+        self.update(zip(new, range(first, first + len(new)), strict=True))
 
     def log_ratio(self, each: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-        """Toxic minus ordinary log-probability of each word after the one before it; words by text."""
+        """Toxic minus ordinary log-probability of each word; words by text."""
         n = np.array([len(w) for w in each], np.int64)
         there = set().union(*each)
         new = there.difference(self)
@@ -104,10 +110,7 @@ class Scorer(dict):
             self.clear()
             new = there
         self.learn(sorted(new))
-        i = np.fromiter((self[w] for ws in each for w in ws), np.int64, int(n.sum()))
-        slot = self.slot[i]
-        r = self.model.ratio(pair_slot(before(slot, n), slot), self.ratios[:, i])
-        return np.log(r[1]) - np.log(r[0]), n
+        return self.known[np.fromiter((self[w] for ws in each for w in ws), np.int64, int(n.sum()))], n
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """By text: 1, the whole text's ratio per word, that of the most toxic stretch of each
@@ -166,7 +169,7 @@ def labelled_sample(labels: DataFrame, label: str, usable, size: int = SAMPLE) -
 
 def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model | None:
     """Model from at most ``sample`` labelled documents; ``usable`` says which ids of ``labels``
-    may be learnt from. None when a class has no document."""
+    may be learnt from. None when a class has no word."""
     spark = docs.sparkSession
     arrow_batches(spark)
     picked = F.broadcast(labelled_sample(labels, "toxic", usable, sample))  # at most ``sample`` pairs of numbers
@@ -175,30 +178,38 @@ def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, id_col
                   .select("text", "y", half.alias("counted")), "toxic-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Distinct (class, expression, word before it) of a batch, and with class -1 the chains of its words."""
         for b in batches:
-            known: dict[bytes, list[int]] = {}
-            each = []
+            known: dict[bytes, int] = {}
+            chains, seen = [], [set(), set()]
             for t, y in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ws = words(t)
                 for w in set(ws).difference(known):
-                    known[w] = chain(w)
-                x = np.array([known[w][-1] for w in ws], np.int64)
-                if len(x):
-                    held = [s for w in set(ws) for s in known[w]]
-                    each.append(np.unique(np.concatenate([held, pair_slot(before(x, np.array([len(x)])), x)])) * 2 + y)
-            key, n = np.unique(np.concatenate(each), return_counts=True) if each else (np.zeros(0, np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n.astype(np.int64))], ["key", "n"])
-
-    size = {r["y"]: r["n"] for r in texts.filter("counted").groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if {0, 1} - size.keys():
+                    known[w] = len(chains)
+                    chains.append(chain(w))
+                x = [known[w] for w in ws]
+                seen[y].update(zip([-1, *x], x))
+            got = np.array([*chains, [0] * (len(PREFIXES) + 1)], np.uint64)
+            word = np.unique(got[:-1], axis=0).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(word), -1, np.int32)), pa.array(word[:, -1]), pa.array(word.tolist(), CHAIN), pa.nulls(len(word), pa.int64())], COUNTED)
+            for y, pairs in enumerate(seen):
+                at = np.array(sorted(pairs), np.int64).reshape(-1, 2)
+                before = got[at[:, 0], -1].view(np.int64)
+                for k in range(len(PREFIXES) + 1):  # an expression of several orders counts once
+                    mine = np.ones(len(at), bool) if k == len(PREFIXES) else got[at[:, 1], k] != got[at[:, 1], -1]
+                    key = np.unique(np.stack([got[at[mine, 1], k].view(np.int64), before[mine]], axis=1), axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), y, np.int32)), pa.array(key[:, 0]), pa.nulls(len(key), CHAIN), pa.array(key[:, 1])], COUNTED)
+
+    each = saved(texts.filter("counted").select("text", "y").mapInArrow(count, "y int, key bigint, chain array<bigint>, before bigint"), "toxic-counts")
+    one = [F.sum(F.when(F.col("y") == y, 1).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
+    got = each.filter("y >= 0").select("y", "key", "before").distinct().groupBy("key").agg(*one).toArrow()  # expressions of the sample
+    chains = each.filter("y < 0").groupBy("key").agg(F.first("chain").alias("chain")).select("chain").toArrow()["chain"].combine_chunks()
+    counts = np.stack([got[f"n{y}"].to_numpy() for y in (0, 1)])
+    if not counts.any(axis=1).all():
         return None
-    one = [F.sum(F.when(F.col("key") % 2 == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)]
-    got = (texts.filter("counted").select("text", "y").mapInArrow(count, "key bigint, n bigint")
-           .groupBy(F.expr("key div 2").alias("slot")).agg(*one).toArrow())  # at most a row a slot
-    counts = np.zeros((2, SLOTS), np.float32)
-    for y in (0, 1):
-        counts[y, got["slot"].to_numpy()] = got[f"n{y}"].to_numpy()
-    model = Model(counts, np.array([size[0], size[1]]) / (size[0] + size[1]))
+    keys = got["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    model = Model(np.asarray(chains.flatten()).view(np.uint64).reshape(len(chains), -1), keys[order], counts[:, order])
     shared = spark.sparkContext.broadcast(model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,7 +237,7 @@ def with_score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", tex
     own = docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
     if model is None:
         return own.select("id", "row", F.lit(0.0).alias("score"))
-    shared = spark.sparkContext.broadcast(model)  # fixed slots: 32 MB
+    shared = spark.sparkContext.broadcast(model)  # the sample's expressions: 16 bytes each and order
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value)

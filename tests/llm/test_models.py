@@ -189,37 +189,65 @@ def test_toxicity(spark):
     assert toxicity.with_score(docs.filter("false"), nothing).collect() == []
 
 
-def test_toxicity_counts_and_ratios():
-    """The chained ratios of the vectorised scorer are those of the formula, also past its memory."""
-    rng = np.random.default_rng(3)
-    counts = np.zeros((2, toxicity.SLOTS), np.float32)
-    ws = [f"word{k}".encode() for k in range(40)]
-    for w in ws:
-        for s in toxicity.chain(w):
-            counts[:, s] = rng.integers(0, 30, 2)
-    model = toxicity.Model(counts, np.array([0.8, 0.2]))
-
-    def ratio(slot, shorter):
-        own = counts[:, slot].astype(float)
-        return (np.maximum(own - 0.75, 0) + 10 * shorter) / (model.share * own.sum() + 10)
-
+def plain_kneser_ney(rows, labels, counted):
+    """P_c(word) / shared probability by the formula, with dictionaries; and what all P_c sum to, the
+    share of expressions never seen included."""
+    truth, orders = dict(labels), len(toxicity.PREFIXES) + 1
+    strip = lambda w: w.strip(toxicity.MARKS) or w
+    form = lambda w, k: w if k == orders - 1 or len(w.decode()) <= toxicity.PREFIXES[k] else (w.decode()[:toxicity.PREFIXES[k]] + "*").encode()
+    seen = set()
+    for i, t in rows:
+        ws = [strip(w) for w in words(t)] if i in counted else []
+        seen |= {(truth[i], v, w) for v, w in zip([b""] + ws, ws)}
+    vocabulary = {w for *_, w in seen}
+    ratio, shared, rest = {b"": [1.0, 1.0]}, {b"": 1.0}, [0.0, 0.0]
+    for k in range(orders):
+        n = [Counter(f for f, _ in {(form(w, k), v) for y, v, w in seen if y == c}) for c in (0, 1)]
+        parent = {form(w, k): form(w, k - 1) if k else b"" for w in vocabulary}
+        off = []
+        for c in (0, 1):
+            levels = sorted(n[c].values())
+            want, taken, d = toxicity.BACKOFF * sum(levels), 0.0, 0.0
+            for at, x in enumerate(levels):  # taken(d) grows by the number of counts above d
+                if taken + (x - d) * (len(levels) - at) >= want:
+                    d += (want - taken) / (len(levels) - at)
+                    break
+                taken, d = taken + (x - d) * (len(levels) - at), x
+            off.append(d)
+        under = Counter()
+        for f, g in parent.items():
+            under[g] += n[0][f] + n[1][f]
+        new, now = {}, {}
+        for f, g in parent.items():
+            now[f] = shared[g] * (n[0][f] + n[1][f] - toxicity.DISCOUNT) / under[g]
+            new[f] = [max(n[c][f] - off[c], 0) / sum(n[c].values()) / now[f] + toxicity.BACKOFF * ratio[g][c] for c in (0, 1)]
+        children = Counter(parent.values())
+        rest = [toxicity.BACKOFF * (rest[c] + sum(ratio[g][c] * shared[g] * toxicity.DISCOUNT * m / under[g] for g, m in children.items())) for c in (0, 1)]
+        ratio, shared = new, now
+    return ratio, [sum(ratio[w][c] * shared[w] for w in ratio) + rest[c] for c in (0, 1)]
+
+
+def test_toxicity_models_are_the_plain_ones(spark, monkeypatch):
+    rows, labels = toxic_corpus(80)
+    rows = [(i, f"{t} only{i} {t[:9]}") for i, t in rows]
+    docs = docs_of(spark, rows)
+    counted = {r.i for r in spark.range(80).selectExpr("id AS i").filter(F.pmod(F.xxhash64("i", F.lit("half")), F.lit(2)) == 0).collect()}
+    ratio, total = plain_kneser_ney(rows, labels, counted)
+    assert all(math.isclose(t, 1, abs_tol=1e-9) for t in total)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    ws = sorted(ratio)
+    got = model.ratios(np.array([toxicity.chain(w) for w in ws], np.uint64))
+    assert np.allclose(got.T, [ratio[w] for w in ws], rtol=1e-5)
+    # the scorer gives the same, also past its memory and for words never seen (backoff all the way)
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 50)
+    each = [ws[:30], [], ws[20:45], [b"zzzzzzzz"]]
     scorer = toxicity.Scorer(model)
-    got, n = scorer.log_ratio([ws[:30], [], ws[20:]])
-    assert n.tolist() == [30, 0, 20]
-    for k, w in enumerate(ws[:30] + ws[20:]):
-        r = np.ones(2)
-        for s in toxicity.chain(w):
-            r = ratio(s, r)
-        r = ratio(0, r) if False else (10 * r) / 10  # no pair was counted
-        assert math.isclose(got[k], math.log(r[1] / r[0]), abs_tol=1e-4)
-
-
-def test_toxicity_counts_what_one_document_holds(spark):
-    rows, labels = toxic_corpus(60)
-    rows = [(i, f"{t} only{i}") for i, t in rows]
-    model = toxicity.fit(docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
-    own = [model.counts[:, toxicity.chain(f"only{i}".encode())[-1]].sum() for i, _ in rows]
-    assert 10 < sum(x == 1 for x in own) < 50  # half of the documents were counted
+    parts = [scorer.log_ratio([e])[0] for e in each]
+    for e, part in zip(each[:3], parts, strict=False):
+        assert np.allclose(part, [math.log(ratio[w][1] / ratio[w][0]) for w in e], atol=1e-4)
+    assert parts[3] == 0
+    x = np.concatenate(parts[::2])
+    assert np.allclose(scorer.features([" ".join(w.decode() for w in each[0])])[0, 1], parts[0].mean(), atol=1e-5) and len(x) == 55
 
 
 # mixing --------------------------------------------------------------------------------------
