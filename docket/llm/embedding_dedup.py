@@ -93,19 +93,21 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
                  label_col: str = "label") -> DataFrame:
     """One row per row of ``vectors``: id, n_links, component_id, kept.
 
-    Only vectors of one label and length are compared. Rows with a null id or label, and vectors
-    that are null, empty, zero or hold a null or non-finite number, link with nothing and are
-    their own component. A repeated row is another vector of the same id. Other columns are not
-    read; an empty table gives no rows.
+    Only vectors of one label and length are compared. Rows with a null label, and vectors that are
+    null, empty, zero or hold a null or non-finite number, link with nothing and are their own
+    component. A row with a null id is a vector like others: it counts among its neighbours' links
+    and has the least id of its component (null where all are). A repeated row is another vector of
+    the same id. Other columns are not read; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     arrow_batches(spark, 4096)
     own = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("v"))
-    fine = (F.col("id").isNotNull() & F.col("label").isNotNull() & (F.size("v") > 0) & F.exists("v", lambda x: x != 0)
+    fine = (F.col("label").isNotNull() & (F.size("v") > 0) & F.exists("v", lambda x: x != 0)
             & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))))
     own = own.withColumn("v", F.when(fine, F.col("v")))
-    classes = saved(own.filter("v IS NOT NULL").groupBy("label", "v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size")), "vectors")
-    kind = classes.schema["id"].dataType.simpleString()
+    # classes have numbers of their own, as ids may be null
+    found = own.filter("v IS NOT NULL").groupBy("label", "v").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("size"))
+    classes, kind = saved(found.withColumn("id", F.monotonically_increasing_id()), "vectors"), "bigint"
     most = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +141,13 @@ def near_vectors(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str =
                   .mapInArrow(close, f"a {kind}, b {kind}, size_a bigint, size_b bigint"), "links")
     others = links.select(F.col("a").alias("rep"), F.col("size_b").alias("n")).unionByName(links.select(F.col("b").alias("rep"), F.col("size_a").alias("n")))
     others = others.groupBy("rep").agg(F.sum("n").alias("others"))
-    found = saved(components(links.select("a", "b")).select(F.col("id").alias("rep"), "component").join(others, "rep", "full"), "found")
-    twins = classes.filter("size > 1").select("label", "v", F.col("id").alias("rep"), "size")
-    out = own.join(twins, ["label", "v"], "left").select("id", F.when(F.col("v").isNotNull(), F.coalesce("rep", "id")).alias("rep"), "size")
-    out = out.join(found, "rep", "left")
-    component = F.coalesce("component", "rep", "id")
+    joined = saved(components(links.select("a", "b")).join(classes.select("id", "least"), "id"), "components")
+    ends = joined.groupBy("component").agg(F.min("least").alias("end"))
+    linked = joined.join(ends, "component").join(others, joined["id"] == others["rep"]).select("id", "end", "others")
+    hit = classes.join(linked, "id", "left").filter("size > 1 OR others IS NOT NULL")
+    hit = hit.select("label", "v", "size", "others", F.coalesce("end", "least").alias("end"), F.lit(True).alias("hit"))
+    out = own.join(hit, ["label", "v"], "left")
+    component = F.when(F.col("hit"), F.col("end")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), (F.coalesce("size", F.lit(1)) - 1 + F.coalesce("others", F.lit(0))).cast("long").alias("n_links"),
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 

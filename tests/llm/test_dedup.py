@@ -158,7 +158,7 @@ def test_signatures_estimate_similarity_and_pruning_spares_near_pairs():
 # embeddings ----------------------------------------------------------------------------------
 
 def brute_vectors(rows):
-    fine = [(k, i, l, np.array(v, float)) for k, (i, l, v) in enumerate(rows) if i is not None and l is not None and v and None not in v
+    fine = [(k, l, np.array(v, float)) for k, (_, l, v) in enumerate(rows) if l is not None and v and None not in v
             and np.isfinite(v).all() and any(v)]
     root, links = {k: k for k in range(len(rows))}, dict.fromkeys(range(len(rows)), 0)
 
@@ -167,8 +167,8 @@ def brute_vectors(rows):
             k = root[k]
         return k
 
-    for x, (k, _, lab, v) in enumerate(fine):
-        for m, _, other, w in fine[x + 1:]:
+    for x, (k, lab, v) in enumerate(fine):
+        for m, other, w in fine[x + 1:]:
             if lab == other and len(v) == len(w) and v @ w / math.sqrt((v @ v) * (w @ w)) >= 0.93:
                 links[k], links[m] = links[k] + 1, links[m] + 1
                 root[find(k)] = find(m)
@@ -176,7 +176,7 @@ def brute_vectors(rows):
     for k, (i, *_) in enumerate(rows):
         if i is not None:
             least[find(k)] = min(i, least.get(find(k), i))
-    return sorted(((i, links[k], least.get(find(k)) if i is not None else None, i is None or i == least.get(find(k))) for k, (i, *_) in enumerate(rows)), key=str)
+    return sorted(((i, links[k], least.get(find(k)), i == least.get(find(k))) for k, (i, *_) in enumerate(rows)), key=str)
 
 
 @pytest.mark.parametrize("k", [1, 3])
@@ -191,7 +191,8 @@ def test_near_vectors_are_those_of_all_pairs(spark, monkeypatch, k):
     v = rows[0][2]
     rows += [(500, None, v), (501, 0, None), (502, 0, []), (503, 0, [0.0] * 48), (504, 0, [None, *v[1:]]), (505, 0, [float("nan"), *v[1:]]),
              (506, 0, [float("inf"), *v[1:]]), (None, 0, v), (507, 0, v), (508, 1, v), (509, 0, [-x for x in v]), (510, 0, v[:20]), (511, 0, v[:20]),
-             (512, 0, [3.0]), (513, 0, [5.0]), (514, 0, [-5.0]), (507, 0, v)]
+             (512, 0, [3.0]), (513, 0, [5.0]), (514, 0, [-5.0]), (507, 0, v),
+             (None, 0, [0.5, 0.1]), (None, 0, [0.5, 0.1]), (None, 0, [1.0, 0.21]), (None, 1, [0.5, 0.1]), (None, None, v), (None, 0, None), (520, 1, [1.0, 0.21])]
     monkeypatch.setattr(embedding_dedup, "rotations", lambda most, dim: k)
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, label int, embedding array<float>, component long").repartition(4)
     got = sorted((tuple(r) for r in embedding_dedup.near_vectors(df).collect()), key=str)
