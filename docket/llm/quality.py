@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docket.llm.common import SPACE, arrow_batches
+from docket.llm.common import SPACE, arrow_batches, saved
 from docket.llm.toxicity import labelled_sample
 
-SAMPLE = 6_000         # labelled documents used for the fit, at most
-SAMPLE_PASSAGES = 48   # passages of each of them, at most, evenly spaced; scoring takes all passages
-PASSAGE = 64           # words
+SAMPLE = 6_000             # labelled documents used for the fit, at most, each with all its passages
+SAMPLE_PASSAGES = 100_000  # passages of all of them together, at most: 100 MB on the driver
+PASSAGE = 64               # words
 HIDDEN, GATES = 32, 16
 CLASSES = 16
 FEATURES = CLASSES * CLASSES + 4
@@ -126,24 +126,39 @@ class Model:
         return self.forward(x, np.cumsum(n) - n)[5], n
 
 
+def beyond(sizes: list[int], most: int) -> list[int]:
+    """Places of the sizes that, taken in turn, do not fit into ``most`` beside those before them that do."""
+    total, out = 0, []
+    for k, n in enumerate(sizes):
+        if total + n > most:
+            out.append(k)
+        else:
+            total += n
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable, sample: int = SAMPLE, seed: int = 7, id_col: str = "doc_id",
         text_col: str = "text") -> Model | None:
-    """Model from at most ``sample`` labelled documents, ``SAMPLE_PASSAGES`` passages of each at
-    most, which bounds what the driver trains on; ``usable`` says which ids of ``labels`` may be
-    learnt from. None without two classes."""
+    """Model from at most ``sample`` labelled documents with all their passages; ``usable`` says which
+    ids of ``labels`` may be learnt from. A document that would take the passages of the sample, in
+    the order of the ids' hashes, beyond ``SAMPLE_PASSAGES`` is left out whole, which bounds what the
+    driver trains on. Rows that repeat an id are learnt from each. None without two classes."""
     arrow_batches(docs.sparkSession)
     picked = F.broadcast(labelled_sample(labels, "quality", usable, sample))  # at most ``sample`` pairs of numbers
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id").select("id", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for t in b.column(1).to_pylist():
-                x = encode(t)
-                out.append(x[np.linspace(0, len(x) - 1, min(len(x), SAMPLE_PASSAGES)).astype(int)].astype("<f2").tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out, pa.binary())], ["id", "y", "x"])
-
-    got = texts.mapInArrow(run, "id bigint, y int, x binary").toArrow().sort_by("id")
+            x = [encode(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([len(k) for k in x], pa.int64()),
+                                              pa.array([k.astype("<f2").tobytes() for k in x], pa.binary())], ["id", "y", "n", "x"])
+
+    kind = texts.schema["id"].dataType.simpleString()
+    encoded = saved(texts.mapInArrow(run, f"id {kind}, y int, n bigint, x binary").withColumn("place", F.xxhash64("id")), "passages")
+    sizes = encoded.groupBy("place").agg(F.sum("n").alias("n")).toArrow().sort_by("place")  # at most ``sample`` rows
+    over = beyond(sizes["n"].to_pylist(), SAMPLE_PASSAGES)
+    left_out = [sizes["place"][k].as_py() for k in over]
+    got = encoded.filter(~F.col("place").isin(left_out)).select("id", "y", "x").toArrow().sort_by("id")
     y = got["y"].to_numpy().astype(float)
     if len(set(y)) < 2:
         return None

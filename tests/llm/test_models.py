@@ -314,6 +314,8 @@ def test_mixing(spark):
     assert sorted(((r.id, r.n, r.copies) for r in narrow.collect()), key=str) == sorted(((r.id, r.n, r.copies) for r in got), key=str)
     out, _ = mixing.mix(docs.filter("false"), lab)
     assert out.collect() == []
+    named = docs.withColumn("doc_id", F.format_string("%05d", "doc_id")), lab.withColumn("doc_id", F.format_string("%05d", "doc_id"))
+    assert mixing.mix(*named)[0].count() == len(rows)
     out, _ = mixing.mix(docs, lab.filter("false"))
     assert {tuple(r.p) for r in out.collect()} == {(0.5, 0.5)}
 
@@ -341,6 +343,8 @@ def test_quality(spark):
     held = [r for r in got if r.doc_id in truth and zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert sum((r.score >= 0.7) == bool(truth[r.doc_id]) for r in held) >= 0.95 * len(held)
     assert quality.fit(docs, lab.filter("quality = 1"), ~back) is None
+    named = docs.withColumn("doc_id", F.format_string("%05d", "doc_id")), lab.withColumn("doc_id", F.format_string("%05d", "doc_id"))
+    assert quality.score(named[0], quality.fit(*named, F.lit(True))).count() == len(rows)
     assert {r.score for r in quality.score(docs, None).collect()} == {1.0}
     assert quality.score(docs.filter("false"), None).collect() == []
 
@@ -366,6 +370,22 @@ def test_attention_gradient_is_the_numeric_one():
         assert math.isclose(g[name][at], (up - down) / 2e-5, rel_tol=1e-3, abs_tol=1e-7), name
 
 
+def test_sample_takes_whole_documents():
+    assert quality.beyond([4, 3, 9, 2, 1, 1], 10) == [2, 5] and quality.beyond([], 1) == []
+
+
+def test_fit_reads_all_passages(spark, monkeypatch):
+    """The passages that the model is trained on are all that the labelled documents have."""
+    rows = [(i, f"w{i} " * n) for i, n in enumerate([10, 64, 65, 20_000, 0, 700, 300])]
+    docs, lab = docs_of(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(7)], "doc_id long, quality int")
+    bags = []
+    monkeypatch.setattr(quality.Model, "train", lambda self, b, y, rng: bags.append([len(x) for x in b]))
+    quality.fit(docs, lab, F.lit(True))
+    monkeypatch.setattr(quality, "SAMPLE_PASSAGES", 100)
+    quality.fit(docs, lab, F.lit(True))
+    assert bags == [[1, 1, 2, 313, 1, 11, 5], [1, 1, 2, 1, 11, 5]]
+
+
 def test_passages():
     assert quality.encode(None).shape == quality.encode(" \n").shape == (1, quality.FEATURES)
     assert len(quality.encode("a " * 129)) == 3 and len(quality.encode("é😀")) == 1
