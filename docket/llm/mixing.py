@@ -105,7 +105,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", domains: dic
                 [b.column(0), b.column(2), pa.array([x[0].astype("<u2").tobytes() for x in f], pa.binary()),
                  pa.array([x[1].astype("<f4").tobytes() for x in f], pa.binary())], ["id", "y", "idx", "val"])
 
-    got = texts.mapInArrow(run, "id bigint, y int, idx binary, val binary").toArrow().sort_by("id")
+    kind = texts.schema["id"].dataType.simpleString()
+    got = texts.mapInArrow(run, f"id {kind}, y int, idx binary, val binary").toArrow().sort_by("id")
     out = Classifier(len(domains))
     if got.num_rows:
         each = [np.frombuffer(x, "<u2").astype(np.int64) for x in got["idx"].to_pylist()]
