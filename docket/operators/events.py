@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docket.functions.scan import KeyedScan, null_safe_join
 from docket.functions.text import ci
 from docket.operators.latest import latest_per_key
+from docket.operators.rules import is_late
 
 
 def _cols(xs):
@@ -213,7 +214,8 @@ def upload_bundle(files: DataFrame, members: DataFrame, key: str, set_id: str,
 
 def registration_state(events: DataFrame, key: str, time: str, id_col: str, type_col: str, file_col: str,
                        decision: str, is_resub: Column, upload_type: str, application_type: str,
-                       decision_type: str) -> DataFrame:
+                       decision_type: str, user: str | None = None, comment: str | None = None,
+                       cutoffs: DataFrame | None = None) -> DataFrame:
     """Registration fold with file attribution and resubmissions (O-21, S3).
 
     * newest copy per (key, event id) is kept;
@@ -228,17 +230,25 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
       decision, else that decision, else the newest Granted, else Pending;
     * resubmission status: NULL without a resubmission, else the newest
       decision on the latest resubmission's file, else Pending.
+
+    With ``user`` and ``comment`` (columns of the log) come the coalesced items: the current file and the
+    producer's user are the resubmission's, else the initial application's; the regulator's user and comment
+    are those of the decision on the resubmitted file, else of the latest decision; the two comments of the
+    producer stand apart. A part that is NULL falls to the next one, each item by itself.
+    With ``cutoffs`` (key, ``cutoff``; a row per key) come the late items: the first application, and the
+    resubmission, at or after the cutoff; false without a cutoff or a time.
+
     One dedupe aggregate, one as-of scan, one fold aggregate and one (key, file)
     aggregate joined back.
     """
-    cols = [time, type_col, file_col, decision, "__resub"]
+    said = [c for c in (user, comment) if c]
+    cols = [time, type_col, file_col, decision, "__resub", *said]
     x = events.withColumn("__resub", F.coalesce(is_resub, F.lit(False)))
     x = (x.groupBy(key, id_col).agg(F.max(F.struct(*[F.col(c) for c in cols])).alias("__r"))
           .select(key, id_col, *[F.col(f"__r.{c}").alias(c) for c in cols]))
     uploads = x.filter(F.col(type_col) == upload_type)
     others = x.filter(F.col(type_col).isin(application_type, decision_type))
-    att = asof_attribute(others, uploads, [key], time, time, [id_col, time, type_col, file_col, decision, "__resub"],
-                         [time, id_col, file_col], strict=True)
+    att = asof_attribute(others, uploads, [key], time, time, [id_col, *cols], [time, id_col, file_col], strict=True)
     ty, t = F.col(type_col), F.col(time)
     app = ty == application_type
     dec = ty == decision_type
@@ -248,17 +258,18 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
     wording = (F.when(raw == "accepted", F.lit("Granted")).when(raw == "rejected", F.lit("Refused"))
                .when(F.col(decision).isNull(), F.lit("Pending")).otherwise(F.col(decision)))
     res_wording = F.coalesce(F.col(decision), F.lit("Pending"))
-    app_rec = F.struct(t.alias("t"), F.col(id_col).alias("id"), F.col(f"anchor_{file_col}").alias("file"))
+    at = [t.alias("t"), F.col(id_col).alias("id")]
+    app_rec = F.struct(*at, F.col(f"anchor_{file_col}").alias("file"), *said)
     agg = att.groupBy(key).agg(
         F.min(F.when(app & ~F.col("__resub"), app_rec)).alias("__first"),
         F.max(F.when(app & ~F.col("__resub"), app_rec)).alias("__initial"),
         F.max(F.when(app & F.col("__resub"), app_rec)).alias("__resub_app"),
-        F.max(F.when(reg_dec, F.struct(t.alias("t"), F.col(id_col).alias("id"), wording.alias("w")))).alias("__dec"),
+        F.max(F.when(reg_dec, F.struct(*at, wording.alias("w"), *said))).alias("__dec"),
         F.max(F.when(reg_dec & (wording == "Granted"), t)).alias("granted_time"),
         F.max(F.when(app, t)).alias("__last_app_t"))
     # resubmission decisions carry their own file: no as-of needed, so read them from the deduped log
     rdec = (x.filter(res_dec).groupBy(F.col(key).alias("__rkey"), F.col(file_col).alias("__rfile"))
-               .agg(F.max(F.struct(t.alias("t"), F.col(id_col).alias("id"), res_wording.alias("w"))).alias("__rd")))
+               .agg(F.max(F.struct(*at, res_wording.alias("w"), *said)).alias("__rd")))
     out = agg.join(rdec, (F.col(key) == F.col("__rkey")) & (F.col("__resub_app.file") == F.col("__rfile")), "left")
     status = (F.when(F.col("__last_app_t") > F.col("__dec.t"), F.lit("Pending"))
               .when(F.col("__dec").isNotNull(), F.col("__dec.w"))
@@ -266,6 +277,17 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
               .otherwise(F.lit("Pending")))
     resub_status = (F.when(F.col("__resub_app").isNull(), F.lit(None).cast("string"))
                     .when(F.col("__rd").isNotNull(), F.col("__rd.w")).otherwise(F.lit("Pending")))
+    items = [F.coalesce("__resub_app.file", "__initial.file").alias("current_file")] if said else []
+    if user:
+        items += [F.coalesce(f"__resub_app.{user}", f"__initial.{user}").alias("producer_user"),
+                  F.coalesce(f"__rd.{user}", f"__dec.{user}").alias("regulator_user")]
+    if comment:
+        items += [F.col(f"__initial.{comment}").alias("application_comment"), F.col(f"__resub_app.{comment}").alias("resubmission_comment"),
+                  F.coalesce(f"__rd.{comment}", f"__dec.{comment}").alias("regulator_comment")]
+    if cutoffs is not None:
+        out = null_safe_join(out, cutoffs.select(key, F.col("cutoff").alias("__cutoff")), [key])
+        items += [is_late(F.col("__first.t"), F.col("__cutoff")).alias("late"),
+                  is_late(F.col("__resub_app.t"), F.col("__cutoff")).alias("resubmission_late")]
     return out.select(
         key,
         F.col("__first.t").alias("first_application_time"), F.col("__first.file").alias("first_application_file"),
@@ -273,7 +295,7 @@ def registration_state(events: DataFrame, key: str, time: str, id_col: str, type
         F.col("__initial.file").alias("initial_application_file"),
         F.col("__resub_app.t").alias("resubmission_time"), F.col("__resub_app.file").alias("resubmission_file"),
         F.col("__dec.t").alias("latest_decision_time"), F.col("__dec.w").alias("latest_decision"),
-        "granted_time", status.alias("status"), resub_status.alias("resubmission_status"))
+        "granted_time", status.alias("status"), resub_status.alias("resubmission_status"), *items)
 
 
 def audit_versions(audit: DataFrame, old: str, new: str, fields: dict[str, str]) -> DataFrame:

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from docket.functions.periods import year_quarter
 from docket.operators import events as E
-from docket.plans.registry import register
+from docket.operators.rules import journey_cutoff
+from docket.plans.registry import ORACLES, register
 from docket.sources import read_table
 
 
@@ -235,17 +236,67 @@ LEFT JOIN ra ON ra.user_id = k.user_id LEFT JOIN ld ON ld.user_id = k.user_id LE
 LEFT JOIN la ON la.user_id = k.user_id LEFT JOIN rd ON rd.user_id = k.user_id AND rd.file_id = ra.afile
 """)
 def q_registration_state(spark, sf):
-    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value", "props"])
+    ev = registration_log(read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value", "props"]))
+    return registration_fold(ev)
+
+
+def registration_log(ev):
+    """Events as a registration log: each row by itself, so that a stream can be prepared alike."""
     k = F.get_json_object("props", "$.k")
-    ev = ev.select(
+    return ev.select(
         "user_id", "event_id", "ts", "event_type",
         F.when((F.col("event_type") == "view") | ((F.col("event_type") == "error") & (F.col("value") > 40)), k)
          .alias("file_id"),
         F.when((F.col("event_type") == "error") & (F.col("value") >= 5),
                F.when(F.col("value") >= 25, F.lit("Accepted")).otherwise(F.lit("Rejected"))).alias("decision"),
-        ((F.col("event_type") == "purchase") & (k.cast("int") >= 50)).alias("resub"))
+        F.coalesce((F.col("event_type") == "purchase") & (k.cast("int") >= 50), F.lit(False)).alias("resub"))
+
+
+def registration_fold(ev, **more):
     return E.registration_state(ev, "user_id", "ts", "event_id", "event_type", "file_id", "decision", F.col("resub"),
-                                "view", "purchase", "error")
+                                "view", "purchase", "error", **more)
+
+
+_YEAR_SQL = "2023 + user_id % 4"
+
+
+@register("registration_details", f"""
+WITH state AS ({ORACLES["registration_state"]}),
+e AS (
+  SELECT user_id, event_id, ts, event_type,
+         CASE WHEN event_type = 'view' OR (event_type = 'error' AND value > 40) THEN json_extract_string(props, '$.k') END AS file_id,
+         COALESCE(event_type = 'purchase' AND CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50, false) AS resub,
+         CASE WHEN event_id % 3 <> 0 THEN 'u' || (event_id % 11) END AS who, CASE WHEN event_id % 2 = 0 THEN 'note ' || event_id END AS note
+  FROM events),
+ia AS (SELECT * FROM e WHERE event_type = 'purchase' AND NOT resub QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+ra AS (SELECT * FROM e WHERE event_type = 'purchase' AND resub QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+ld AS (SELECT * FROM e WHERE event_type = 'error' AND file_id IS NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+rd AS (SELECT e.* FROM e JOIN state s ON s.user_id = e.user_id AND e.file_id = s.resubmission_file WHERE event_type = 'error'
+       QUALIFY row_number() OVER (PARTITION BY e.user_id ORDER BY ts DESC, event_id DESC) = 1),
+c AS (SELECT user_id, CASE WHEN user_id % 5 = 0 THEN 'DirectLargeProducer' WHEN user_id % 5 = 1 THEN 'CsoSmallProducer' END AS journey,
+             CASE user_id % 3 WHEN 0 THEN 'L' WHEN 1 THEN 'S' END AS size, user_id % 2 = 0 AS scheme,
+             make_date({_YEAR_SQL}, 4, 2) AS small, CASE WHEN {_YEAR_SQL} >= 2024 THEN make_date({_YEAR_SQL} - 1, 10, 2) ELSE make_date({_YEAR_SQL}, 4, 2) END AS large
+      FROM state),
+k AS (SELECT user_id, CASE WHEN journey = 'DirectLargeProducer' THEN large WHEN journey = 'CsoSmallProducer' THEN small
+                           WHEN size = 'L' THEN large WHEN size = 'S' THEN small WHEN scheme THEN large END AS cutoff FROM c)
+SELECT s.*, COALESCE(s.resubmission_file, s.initial_application_file) AS current_file,
+       COALESCE(ra.who, ia.who) AS producer_user, COALESCE(rd.who, ld.who) AS regulator_user,
+       ia.note AS application_comment, ra.note AS resubmission_comment, COALESCE(rd.note, ld.note) AS regulator_comment,
+       COALESCE(s.first_application_time >= k.cutoff, false) AS late, COALESCE(s.resubmission_time >= k.cutoff, false) AS resubmission_late
+FROM state s LEFT JOIN k ON k.user_id = s.user_id LEFT JOIN ia ON ia.user_id = s.user_id LEFT JOIN ra ON ra.user_id = s.user_id
+LEFT JOIN ld ON ld.user_id = s.user_id LEFT JOIN rd ON rd.user_id = s.user_id
+""")
+def q_registration_details(spark, sf):
+    ev = read_table(spark, sf, "events", ["event_id", "user_id", "ts", "event_type", "value", "props"])
+    i, u = F.col("event_id"), F.col("user_id")
+    log = registration_log(ev).withColumn("who", F.when(i % 3 != 0, F.concat(F.lit("u"), (i % 11).cast("string")))) \
+                              .withColumn("note", F.when(i % 2 == 0, F.concat(F.lit("note "), i.cast("string"))))
+    year = (2023 + u % 4).cast("int")
+    journey = F.when(u % 5 == 0, "DirectLargeProducer").when(u % 5 == 1, "CsoSmallProducer")
+    size = F.when(u % 3 == 0, "L").when(u % 3 == 1, "S")
+    cutoff = journey_cutoff(journey, size, u % 2 == 0, E.size_deadline(F.lit("large"), year, 2024), E.size_deadline(F.lit("small"), year, 2024))
+    cutoffs = ev.select("user_id").distinct().select("user_id", cutoff.alias("cutoff"))
+    return registration_fold(log, user="who", comment="note", cutoffs=cutoffs)
 
 
 @register("audit_versions", """
