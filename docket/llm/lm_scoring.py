@@ -12,11 +12,13 @@ The corpus is encoded once into blocks: token numbers with a vocabulary of the b
 words are told apart by their 64-bit hashes. Counts meet the blocks by a shuffle of (block, word)
 rows, not of tokens. Training passes over
 every training token once, in ``ROUNDS`` rounds: each task runs gradient steps over its blocks of
-the round from the common weights, and the tasks' changes are averaged by tokens in Spark.
+the round from the common weights, and the tasks' changes are averaged by tokens in Spark. Steps are
+AdaGrad's with one sum of squares for each feature row, which goes from round to round with the weights.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -28,7 +30,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.llm.common import arrow_batches, saved, words
+from docket.llm.common import saved, slices, words
+from docket.session import scratch_path
 
 BLOCK = 2_000_000            # tokens in a block, about; a longer document is a block of its own
 CLASSES, SLOTS = 32, 32      # classes, and slots in each: powers of two
@@ -36,6 +39,8 @@ CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14
 ROUNDS, STEP, BATCH = 4, 0.1, 4096
 ADD = 0.1                    # added to every count
 PIECES, SALT = 16, 32        # weights are averaged in so many pieces; first so many groups of tasks
+ALONE = 8                    # gradients of a row in a batch that are added one by one; the rest in one go
+ROW_GROUP = 4 << 20          # bytes of a row group of the blocks: about a block, so that tasks get even shares
 END = b""                    # the end of a text; no word is empty
 
 
@@ -61,7 +66,7 @@ def encode(docs: DataFrame) -> DataFrame:
                 ["block", "ids", "train", "n", "tokens", "low", "hashes", "counts"])
 
         ids, train, texts, size = [], [], [], 0
-        for b in batches:
+        for b in slices(batches):
             for i, t, y in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 ids.append(i)
                 train.append(y)
@@ -95,14 +100,22 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def with_counts(blocks: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(blocks with the corpus count of each of their words, one row per word and block: slot, count
-    over all blocks, whether this is the word's first block)."""
+    over all blocks, whether this is the word's first block). Blocks lie in a folder for each round."""
+    kind = blocks.schema["ids"].dataType.elementType.simpleString()
     each = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "counts")).alias("at", "x"))
     by = Window.partitionBy("h")  # at most one row a block, also for the most frequent word
     each = each.select("block", "at", F.col("x.hashes").alias("h"), F.col("x.counts").alias("own"))
     each = saved(each.select("block", "at", F.pmod("h", F.lit(CLASSES * SLOTS).cast("long")).cast("int").alias("slot"),
                              F.sum("own").over(by).alias("c"), (F.col("block") == F.min("block").over(by)).alias("first")), "word-counts")
     lists = each.select("block", "at", "c").groupBy("block").applyInArrow(_in_order, "block bigint, c binary")
-    return saved(blocks.drop("hashes", "counts").join(lists, "block"), "blocks"), each
+    rounds = F.pmod(F.xxhash64("block"), F.lit(ROUNDS)).cast("int").alias("round")
+    path = scratch_path(blocks.sparkSession, "llm", f"blocks-{uuid.uuid4().hex}")
+    (blocks.drop("hashes", "counts").join(lists, "block").select("*", rounds).write.partitionBy("round")
+     .option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path))
+    return blocks.sparkSession.read.schema(f"{_BLOCK_COLUMNS % kind}, round int").parquet(path), each
+
+
+_BLOCK_COLUMNS = "block bigint, ids array<%s>, train array<boolean>, n array<bigint>, tokens binary, low binary, c binary"
 
 
 def _in_order(key, table):
@@ -147,6 +160,11 @@ class Model:
         self.slot_bias = np.log(mass / mass.sum(axis=1, keepdims=True)).astype(np.float32)
         self.class_w = np.zeros((CLASS_ROWS, CLASSES), np.float32)
         self.slot_w = np.zeros((SLOT_ROWS, SLOTS), np.float32)
+        self.class_q, self.slot_q = np.zeros(CLASS_ROWS, np.float32), np.zeros(SLOT_ROWS, np.float32)
+
+    def learnt(self) -> list[np.ndarray]:
+        """What training changes: weights, and the sums of squares of their rows."""
+        return [self.class_w, self.slot_w, self.class_q, self.slot_q]
 
     def rows(self, contexts: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of the weights, as 16-bit numbers: sorting them is then linear."""
@@ -179,22 +197,44 @@ class Model:
     def log_word(self, c: np.ndarray, slot: np.ndarray) -> np.ndarray:
         return np.log((c + ADD) / (self.tokens[slot] + ADD * (self.words[slot] + 1)))
 
-    def learn(self, contexts: np.ndarray, slot: np.ndarray, squares: list[np.ndarray]) -> None:
-        """AdaGrad steps over batches of tokens."""
+    def learn(self, contexts: np.ndarray, slot: np.ndarray) -> None:
+        """AdaGrad steps over batches of tokens: a row's step is over the root of the sum of its gradients'
+        mean squares."""
         for at in range(0, len(slot), BATCH):
             s = slice(at, at + BATCH)
-            for (w, rows, g, total, y, _), square in zip(self.layers(contexts[s], slot[s]), squares, strict=True):
+            for (w, rows, g, total, y, _), square in zip(self.layers(contexts[s], slot[s]), (self.class_q, self.slot_q), strict=True):
                 g /= total[:, None]
                 g[np.arange(len(y)), y] -= 1
-                flat = rows.ravel()
-                order = np.argsort(flat, kind="stable")
-                ordered = flat[order]
-                first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-                used = ordered[first]
-                g = np.add.reduceat(g.take(order // rows.shape[1], axis=0), first, axis=0)
-                q = square[used] + g * g
+                used, g = by_row(g, rows)
+                q = square[used] + np.einsum("ij,ij->i", g, g) / g.shape[1]
                 square[used] = q
-                w[used] -= STEP * g / np.sqrt(q + 1e-6)
+                g *= (STEP / np.sqrt(q + 1e-6))[:, None]
+                w[used] -= g
+
+
+def by_row(g: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows in use, and the sums of the gradients ``g`` (by token) over the tokens that use them. Most rows are used
+    once or twice, so first, second, .. uses are added for all rows at once and only what is left of frequent
+    rows is summed row by row."""
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    ordered = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    uses = np.diff(first, append=len(ordered))
+    most = np.argsort(-uses, kind="stable")
+    first, uses, token = first[most], uses[most], order // rows.shape[1]
+    out = g.take(token[first], axis=0)
+    more = np.searchsorted(-uses, -np.arange(1, ALONE + 1))  # rows with more than 1, 2, .. uses come first
+    for k in range(1, ALONE):
+        m = more[k - 1]
+        out[:m] += g.take(token[first[:m] + k], axis=0)
+    m = more[ALONE - 1]
+    if m:
+        left = uses[:m] - ALONE
+        start = np.cumsum(left) - left
+        at = np.arange(left.sum()) + np.repeat(first[:m] + ALONE - start, left)
+        out[:m] += np.add.reduceat(g.take(token[at], axis=0), start, axis=0)
+    return ordered[first], out
 
 
 def train(blocks: DataFrame, model: Model) -> None:
@@ -205,30 +245,29 @@ def train(blocks: DataFrame, model: Model) -> None:
 
         def run(rows: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             start = shared.value
-            own = Model(start.tokens, start.words)
-            own.class_w, own.slot_w = start.class_w.copy(), start.slot_w.copy()
-            squares, n = [np.zeros_like(own.class_w), np.zeros_like(own.slot_w)], 0
-            for batch in rows:
-                for row in batch.to_pylist():
-                    b = Block(row)
-                    mine = np.repeat(b.train, b.n)
-                    own.learn(b.contexts()[mine], b.slot[mine], squares)
-                    n += int(mine.sum())
+            own, n = Model(start.tokens, start.words), 0
+            for mine, common in zip(own.learnt(), start.learnt(), strict=True):
+                mine[:] = common
+            for batch in slices(rows, 1):
+                b = Block(batch.to_pylist()[0])
+                some = np.repeat(b.train, b.n)
+                own.learn(b.contexts()[some], b.slot[some])
+                n += int(some.sum())
             if n:
-                change = np.concatenate([(own.class_w - start.class_w).ravel(), (own.slot_w - start.slot_w).ravel()]) * n
+                change = np.concatenate([(x - y).ravel() for x, y in zip(own.learnt(), start.learnt(), strict=True)]) * n
                 salt = TaskContext.get().partitionId() % SALT
                 pieces = np.array_split(change.astype(np.float32), PIECES)
                 yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([salt] * PIECES, pa.int32()), pa.array([float(n)] * PIECES),
                                                   pa.array([p.tobytes() for p in pieces], pa.binary())], ["piece", "salt", "n", "change"])
 
         schema = "piece int, salt int, n double, change binary"
-        changes = blocks.filter(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == r).mapInArrow(run, schema)
+        changes = blocks.filter(F.col("round") == r).mapInArrow(run, schema)
         total = changes.groupBy("piece", "salt").applyInArrow(_added, schema)
         total = total.withColumn("salt", F.lit(0)).groupBy("piece", "salt").applyInArrow(_added, schema).toArrow().sort_by("piece")
         if total.num_rows:
             change = np.concatenate([np.frombuffer(x, np.float32) for x in total["change"].to_pylist()]) / total["n"][0].as_py()
-            model.class_w += change[:model.class_w.size].reshape(model.class_w.shape)
-            model.slot_w += change[model.class_w.size:].reshape(model.slot_w.shape)
+            for x, part in zip(model.learnt(), np.split(change, np.cumsum([x.size for x in model.learnt()])[:-1]), strict=True):
+                x += part.reshape(x.shape)
         shared.unpersist()
 
 
@@ -247,13 +286,10 @@ def score_texts(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
     be learnt from, counts are zero and every word has the smoothed probability of an unseen one.
     """
     spark = docs.sparkSession
-    arrow_batches(spark)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train_on, F.lit(False)).alias("train"))
     kind = own.schema["id"].dataType.simpleString()
     encoded = saved(encode(own), "encoded")
-    arrow_batches(spark, 100_000)  # narrow rows
     blocks, each = with_counts(encoded)
-    arrow_batches(spark, 1)  # one block at a time
     got = each.filter("first AND c > 0").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = got["n"] or 0, got["v"] or 0
     model = Model(*_slots(each))
@@ -262,17 +298,16 @@ def score_texts(docs: DataFrame, train_on: Column, id_col: str = "doc_id", text_
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in rows:
-            for row in batch.to_pylist():
-                b = Block(row)
-                c = b.c[b.tokens]
-                base = np.log10((c + ADD) / (n + ADD * (v + 1)))
-                score = (model.log_slots(b.contexts(), b.slot) + model.log_word(c, b.slot)) / np.log(10)
-                total = lambda x: np.add.reduceat(x, b.starts)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(b.ids, batch.schema.field("ids").type.value_type), pa.array(b.n), pa.array(total((c > 0).astype(np.int64))),
-                     pa.array(np.full(len(b.n), n, np.int64)), pa.array(total(base)), pa.array(total(score))],
-                    ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for batch in slices(rows, 1):
+            b = Block(batch.to_pylist()[0])
+            c = b.c[b.tokens]
+            base = np.log10((c + ADD) / (n + ADD * (v + 1)))
+            score = (model.log_slots(b.contexts(), b.slot) + model.log_word(c, b.slot)) / np.log(10)
+            total = lambda x: np.add.reduceat(x, b.starts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(b.ids, batch.schema.field("ids").type.value_type), pa.array(b.n), pa.array(total((c > 0).astype(np.int64))),
+                 pa.array(np.full(len(b.n), n, np.int64)), pa.array(total(base)), pa.array(total(score))],
+                ["id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return blocks.mapInArrow(run, f"id {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
                              ).withColumnRenamed("id", id_col)

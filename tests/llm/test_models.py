@@ -134,9 +134,8 @@ def test_learning_follows_the_gradient():
     model = lm_scoring.Model(np.ones(slots), np.ones(slots))
     context, slot = rng.integers(0, 1 << 63, (64, 4), dtype=np.uint64), rng.integers(0, slots, 64)
     before = model.log_slots(context, slot).sum()
-    squares = [np.zeros_like(model.class_w), np.zeros_like(model.slot_w)]
     for _ in range(20):
-        model.learn(context, slot, squares)
+        model.learn(context, slot)
     assert model.log_slots(context, slot).sum() > before + 60
 
 
@@ -152,10 +151,63 @@ def test_size_of_the_softmax_layers_and_of_a_step():
 
     n, slots = 10_000, lm_scoring.CLASSES * lm_scoring.SLOTS
     model = Counting(np.ones(slots), np.ones(slots))
-    model.learn(np.ones((n, 4), np.uint64), lm_scoring.slot_of(h[:n]), [np.zeros_like(model.class_w), np.zeros_like(model.slot_w)])
+    model.learn(np.ones((n, 4), np.uint64), lm_scoring.slot_of(h[:n]))
     assert sum(sizes) == n and max(sizes) <= 4096
 
 
+def plain_layers(model, context, slot):
+    """For each layer the rows, outcome and probabilities of one token, by plain loops."""
+    cls, inner, mask = slot // 32, slot % 32, (1 << 64) - 1
+    for w, bias, y, row in (
+            (model.class_w, model.class_bias, cls, lambda h: h % len(model.class_w)),
+            (model.slot_w, model.slot_bias[cls], inner,
+             lambda h: ((h ^ (cls + 1) * 0x9E3779B97F4A7C15 & mask) * 0xC2B2AE3D27D4EB4F & mask) >> 50)):
+        rows = [row(int(h)) for h in context]
+        z = [float(bias[o]) + sum(float(w[r][o]) for r in rows) for o in range(32)]
+        total = sum(math.exp(x) for x in z)
+        yield rows, y, [math.exp(x) / total for x in z]
+
+
+def test_scores_and_steps_are_the_plain_ones():
+    rng = np.random.default_rng(4)
+    slots = lm_scoring.CLASSES * lm_scoring.SLOTS
+    model = lm_scoring.Model(rng.integers(0, 99, slots), rng.integers(1, 9, slots))
+    context = rng.integers(0, 1 << 63, (40, 4), dtype=np.uint64)
+    context[::2, 0] = context[0, 0]  # a frequent word: more uses than are added one by one
+    context[5] = context[7]
+    slot = rng.integers(0, slots, 40)
+    for x in model.learnt():
+        x[:] = rng.random(x.shape) / 4
+    plain = [list(plain_layers(model, c, int(s))) for c, s in zip(context, slot, strict=True)]
+    assert np.allclose(model.log_slots(context, slot), [sum(math.log(p[y]) for _, y, p in x) for x in plain], rtol=1e-4)
+    want = [x.astype(float) for x in model.learnt()]
+    for k in (0, 1):
+        g = np.zeros_like(want[k])
+        for x in plain:
+            rows, y, p = x[k]
+            for r in rows:
+                g[r] += np.array(p) - (np.arange(32) == y)
+        used = np.flatnonzero(np.abs(g).sum(axis=1))
+        want[2 + k][used] += (g[used] ** 2).mean(axis=1)
+        want[k][used] -= lm_scoring.STEP * g[used] / np.sqrt(want[2 + k][used] + 1e-6)[:, None]
+    model.learn(context, slot)
+    assert all(np.allclose(a, b, rtol=1e-3, atol=1e-5) for a, b in zip(model.learnt(), want, strict=True))
+
+
+def test_scoring_leaves_the_session_as_it_is(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    rows = [(i, f"w{i % 3} w{i % 5} x") for i in range(40)]
+    got = lm_scoring.score_texts(docs_of(spark, rows), F.col("doc_id") > 5)
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "7")
+    try:
+        small = sorted((r.doc_id, r.score) for r in got.collect())
+    finally:
+        spark.conf.set(key, before)
+    assert small == sorted((r.doc_id, r.score) for r in got.collect())
+
+
 # toxicity ------------------------------------------------------------------------------------
 
 def toxic_corpus(n=500):
