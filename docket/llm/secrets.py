@@ -1,10 +1,11 @@
 """Secret scan: a trigram inverted index per segment of texts answers Boolean trigram queries
 derived from the rules' regexes; only the candidates they leave are verified by regex.
 
-A segment is one Arrow batch of documents, so the index is built, queried and verified where
-the texts are: nothing is shuffled, and memory is bounded by the batch. Only trigrams that some
-rule asks for get a postings list. A rule whose regex has no mandatory trigram (``hex``) reads
-every text.
+A segment is at most 512 documents of one Arrow batch, so the index is built, queried and verified where
+the texts are: nothing is shuffled, and memory is bounded by the batch. One pass over a segment's bytes
+extracts all its trigrams (three bytes of UTF-8, A-Z lower-cased) and posts those that some rule asks for,
+however many rules there are. Postings live as long as their segment and are not stored. A rule whose regex
+has no mandatory trigram (``hex``) reads every text.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docket.llm.common import arrow_batches
+from docket.llm.common import slices
 
 MAX_STRINGS = 64  # alternatives kept apart while a query is derived; beyond it the query is looser
+WINDOW = 1 << 20  # bytes whose trigrams are extracted at a time
 
 
 @dataclass(frozen=True)
@@ -86,13 +88,17 @@ class _Run:
         self.query.append(query if options is None else _join("or", (_of_string(s) for s in sorted(options))))
 
 
+def _lower(code: int) -> str:
+    return chr(code).lower() if code < 128 else chr(code)
+
+
 def _options(node) -> tuple[set[str] | None, object]:
-    """All lower-cased strings a parse node matches if they are few, else None, and its query."""
+    """All strings a parse node matches, A-Z lower-cased, if they are few, else None, and its query."""
     op, arg = node
     if op is sre.LITERAL:
-        return {chr(arg).lower()}, True
+        return {_lower(arg)}, True
     if op is sre.IN and all(o is sre.LITERAL for o, _ in arg):
-        return {chr(a).lower() for _, a in arg}, True
+        return {_lower(a) for _, a in arg}, True
     if op is sre.SUBPATTERN:
         return _sequence(arg[3])
     if op is sre.BRANCH:
@@ -135,13 +141,38 @@ def trigrams(query: object) -> set[str]:
     return {query} if isinstance(query, str) else set().union(*map(trigrams, query[1]))
 
 
+def _code(gram: str) -> int:
+    """The trigram's first three bytes (all of them, unless it holds characters beyond ASCII)."""
+    return int.from_bytes(gram.encode("utf-8", "surrogatepass")[:3], "big")
+
+
+def gram_numbers(wanted: list[str]) -> np.ndarray:
+    """By three bytes: 0, or 1 + the place of their code among the codes wanted."""
+    out = np.zeros(1 << 24, np.uint16)
+    codes = sorted({_code(g) for g in wanted})
+    out[codes] = np.arange(1, len(codes) + 1)
+    return out
+
+
 class Segment:
     """Postings of the wanted trigrams over a list of texts."""
 
-    def __init__(self, texts: list[str], wanted: list[str]):
-        low = [t.lower() for t in texts]
+    def __init__(self, texts: list[str], wanted: list[str], numbers: np.ndarray | None = None):
+        numbers = gram_numbers(wanted) if numbers is None else numbers
+        low = [t.encode("utf-8", "surrogatepass").lower() for t in texts]  # bytes: A-Z only
+        ends = np.cumsum([len(t) for t in low], dtype=np.int64)
+        x, pairs = np.frombuffer(b"".join(low), np.uint8), [np.zeros(0, np.int64)]
+        for at in range(0, len(x) - 2, WINDOW):
+            y = x[at:at + WINDOW + 2].astype(np.uint32)
+            number = numbers[y[:-2] << 16 | y[1:-1] << 8 | y[2:]]
+            place = np.flatnonzero(number)
+            text = np.searchsorted(ends, at + place, side="right")
+            within = at + place + 3 <= ends[text]  # not across two texts
+            pairs.append(np.unique(number[place[within]].astype(np.int64) * len(texts) + text[within]))
         self.every = np.arange(len(texts))
-        self.postings = {g: np.array([i for i, t in enumerate(low) if g in t], dtype=np.int64) for g in wanted}
+        found = np.unique(np.concatenate(pairs))
+        number, text = np.divmod(found, max(1, len(texts)))
+        self.postings = {g: text[slice(*np.searchsorted(number, [k, k + 1]))] for g in wanted for k in [int(numbers[_code(g)])]}
 
     def search(self, query: object) -> np.ndarray:
         if query is True:
@@ -168,15 +199,15 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
     Null and empty texts have no spans, a null id is kept, repeated rows are each scanned, other
     columns are not read, and an empty table gives no rows. Texts are scanned whole.
     """
-    arrow_batches(docs.sparkSession)
     names = [r.kind for r in rules]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = [(k, r, _hex(r) or r.compiled(), trigram_query(r.pattern)) for k, r in enumerate(rules)]
         wanted = sorted(set().union(*(trigrams(q) for *_, q in own)))
-        for b in batches:
+        numbers = gram_numbers(wanted)
+        for b in slices(batches):
             texts = [t or "" for t in b.column(1).to_pylist()]
-            segment = Segment(texts, wanted)
+            segment = Segment(texts, wanted, numbers)
             spans: list[list] = [[] for _ in texts]
             for k, rule, compiled, query in own:
                 for i in segment.search(query):

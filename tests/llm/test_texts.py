@@ -1,10 +1,12 @@
 """Packing, secret scan, the pipeline, the entry."""
 
+import random
 import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -108,6 +110,26 @@ def test_queries_of_the_rules():
     assert segment.search(("and", ("aki", "kia"))).tolist() == [0, 2] and segment.search(("or", ("aki", "kia"))).tolist() == [0, 1, 2]
 
 
+@pytest.mark.parametrize("window", [1 << 20, 5])
+def test_postings_are_those_of_substring_tests(monkeypatch, window):
+    monkeypatch.setattr(secrets, "WINDOW", window)
+    rng = random.Random(4)
+    wanted = ["aki", "kia", "a\u00e9b", "://", "\x00ab", "=\u6f22x"]
+    texts = ["".join(rng.choice("aAkKiI\u00e9b:/\x00=\u6f22x ") for _ in range(rng.randrange(0, 60))) for _ in range(300)] + ["", "ak", "ia", "AKI"]
+    segment = secrets.Segment(texts, wanted)
+    low = [t.encode().lower() for t in texts]
+    for g in wanted:  # a trigram beyond ASCII is looked up by its first bytes, which may find more texts
+        assert segment.search(g).tolist() == [i for i, t in enumerate(low) if g.encode()[:3] in t], g
+    assert secrets.Segment([], wanted).search("aki").tolist() == []
+
+
+def test_letters_beyond_ascii_keep_their_case(spark):
+    rules = (secrets.Rule("own", "\u00c9T\u00c9[0-9]+", ignore_case=True),)
+    df = spark.createDataFrame([(1, "x \u00c9t\u00c912 \u00e9t\u00e93"), (2, "\u00e9t\u00e9")], "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.spans] for r in secrets.scan_secrets(df, rules).collect()}
+    assert got == {1: [(2, 7)], 2: []}
+
+
 # pipeline ------------------------------------------------------------------------------------
 
 def test_pipeline_stages(spark, sf_small):
