@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docket.llm.common import arrow_batches, only, saved, words
+from docket.llm.common import only, saved, slices, without, words
 from docket.llm.components import components
 
 WIDTH = 5                     # words in a shingle
@@ -59,16 +59,32 @@ class WordHashes(dict):
 
 def shingle_hashes(text: str | None, hashes: WordHashes) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles; of the whole sequence when it is shorter."""
-    ws = words(text)
+    return _hashed(words(text), hashes)[0]
+
+
+def _hashed(ws: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles' sorted hashes, and where each first stands."""
     if not ws:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     x = np.fromiter(map(hashes.__getitem__, ws), np.uint64, len(ws))
     width = min(WIDTH, len(x))
     h = np.full(len(x) - width + 1, width, np.uint64)
     for k in range(width):
         h = h * _P + x[k:len(x) - width + 1 + k]
         h ^= h >> np.uint64(29)
-    return np.unique(_mix(h))
+    return np.unique(_mix(h), return_index=True)
+
+
+def set_digest(ws: list[bytes], first: np.ndarray) -> bytes:
+    """SHA-256 of the distinct shingles' words, in the order of their hashes: equal for equal sets only."""
+    text, out = b" ".join(ws), hashlib.sha256()
+    size = np.fromiter(map(len, ws), np.int64, len(ws))
+    end = np.cumsum(size + 1) - 1
+    for at in range(0, len(first), 10_000):
+        some = first[at:at + 10_000]
+        last = end[some + min(WIDTH, len(ws)) - 1]
+        out.update(b"\n".join([text[a:b] for a, b in zip((end - size)[some].tolist(), last.tolist(), strict=True)]) + b"\n")
+    return out.digest()
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -134,12 +150,17 @@ def features(docs: DataFrame) -> DataFrame:
     """``docs`` (id, text): n_shingles, digest of the set, band keys, signature bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for b in batches:
-            sets = [shingle_hashes(t, hashes) for t in b.column(1).to_pylist()]
+        for b in slices(batches):
+            sets, digests = [], []
+            for t in b.column(1).to_pylist():
+                ws = words(t)
+                found, first = _hashed(ws, hashes)
+                sets.append(found)
+                digests.append(set_digest(ws, first))
             sigs = np.array([signature(s) for s in sets]).reshape(-1, HASHES)
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                pa.array(digests, pa.binary()),
                 pa.FixedSizeListArray.from_arrays(pa.array(bands(sigs).ravel()), BANDS).cast(pa.list_(pa.int64())),
                 pa.array([(s & 255).astype(np.uint8).tobytes() for s in sigs], pa.binary())], ["id", "n", "digest", "bands", "sig"])
 
@@ -169,7 +190,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, own = None, set()  # rows come sorted by b: its set is made once
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for b, ta, tb in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True):
                 if b != last:
@@ -280,15 +301,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Linked are documents whose sets of 5-word shingles have a similarity of at least 0.75; a text
     of fewer words is one shingle. Null and empty texts, texts of white space, and rows with a
-    null id have no links. Rows repeated with one id are one document (with different texts under
-    one id, either may be compared). Ids are whole numbers. Other columns are not read, texts are
-    read whole, and an empty table gives no rows.
+    null id have no links. Rows repeated with one id are one document; of texts under one id that have
+    different sets the least (by UTF-8 bytes; null last) counts, for all its rows. Ids are whole numbers. Other
+    columns are not read, texts are read whole, and an empty table gives no rows.
     """
-    arrow_batches(docs.sparkSession)
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     feats = saved(features(own), "features")
+    mark = F.xxhash64("digest")
+    odd = saved(feats.filter("id IS NOT NULL").groupBy("id").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi")).filter("lo <> hi").select("id"), "odd")
+    if not odd.isEmpty():
+        least = saved(only(own, "id", odd).groupBy("id").agg(F.min("text").alias("text")), "least")
+        own = without(own, "id", odd).unionByName(least)
+        again = only(feats.select("id"), "id", odd).join(features(least), "id")
+        feats = saved(without(feats, "id", odd).unionByName(again), "features")
     linkable = feats.filter("id IS NOT NULL AND n > 0")
-    # equal sets: one representative; a hot set is a skewed join with a written table, which AQE splits
+    # equal sets, by SHA-256 of all their shingles: one representative; a hot set is a skewed join with a written table, which AQE splits
     twins = saved(linkable.groupBy("digest").agg(F.min("id").alias("rep"), F.max("id").alias("last")).filter("rep <> last").select("digest", "rep"), "twins")
     reps = saved(linkable.join(twins, "digest", "left").filter("rep IS NULL OR rep = id").select("id", "n", "bands", "sig"), "representatives")
 

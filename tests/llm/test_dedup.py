@@ -103,6 +103,27 @@ def test_near_groups_with_null_and_repeated_ids(spark):
     assert minhash_dedup.near_groups(frame(spark, [])).collect() == []
 
 
+def test_near_groups_with_two_texts_under_an_id(spark):
+    a, b = "a b c d e f g h", "q r s t u v"
+    got = minhash_dedup.near_groups(frame(spark, [(1, b), (1, a), (1, None), (1, a), (2, b), (3, a), (4, None), (4, ""), (5, "A b c d e f g h"), (5, a)])).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [  # the least text of 1 is a
+        *[(1, 4, 1)] * 4, (2, 2, 2), (3, 4, 1), (4, 0, 4), (4, 0, 4), (5, 4, 1), (5, 4, 1)]
+
+
+def test_set_digest_tells_sets_apart():
+    hashes = minhash_dedup.WordHashes()
+
+    def digest(text):
+        ws = minhash_dedup.words(text)
+        return minhash_dedup.set_digest(ws, minhash_dedup._hashed(ws, hashes)[1])
+
+    rng = random.Random(1)
+    texts = [sentence(rng, n, 3) for n in range(12) for _ in range(30)] + ["a b c d e a b c d e a b c d e", "b c d e a b c d e a b", "ab c", "a bc", "x " * 30_000]
+    digests = {t: digest(t) for t in texts}
+    for t in texts:
+        assert all((digests[t] == digests[u]) == (minhash_dedup.shingles(t) == minhash_dedup.shingles(u)) for u in texts)
+
+
 def test_across_blocks_of_a_large_bucket(spark, monkeypatch):
     """Members of one bucket that lie in several components, in blocks of three: every near pair is found."""
     monkeypatch.setattr(minhash_dedup, "BLOCK", 3)
