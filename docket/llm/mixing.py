@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docket.llm.common import arrow_batches, saved, words
+from docket.llm.common import saved, slices, words
 from docket.llm.quality import BYTE_CLASS, CLASSES
 from docket.llm.toxicity import labelled_sample
 
@@ -93,13 +93,12 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", domains: dic
         id_col: str = "doc_id", text_col: str = "text") -> Classifier:
     """Classifier from at most ``sample`` labelled documents. Without labelled documents every
     posterior is uniform."""
-    arrow_batches(docs.sparkSession)
     picked = F.broadcast(labelled_sample(labels, label, F.col(label).isin(list(domains.values())), sample))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(picked, "id").select("id", "text", "y")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
-        for b in batches:
+        for b in slices(batches):
             f = [features(t, buckets) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(2), pa.array([x[0].astype("<u2").tobytes() for x in f], pa.binary()),
@@ -117,22 +116,22 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", domains: dic
 
 
 def with_posteriors(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, row, n, p): the whole row in a struct, its words, its posteriors."""
+    """(id, row, n, p, draw): the whole row in a struct, its words, its posteriors, a hash of id and text."""
     spark = docs.sparkSession
-    arrow_batches(spark)
     shared = spark.sparkContext.broadcast(classifier)  # FEATURES x domains numbers
-    own = docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"))
+    own = docs.select(F.col(id_col).alias("id"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
+                      F.xxhash64(id_col, text_col).alias("draw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = Buckets()
-        for b in batches:
+        for b in slices(batches):
             f = [features(t, buckets) for t in b.column(2).to_pylist()]
             p = shared.value.posteriors(np.concatenate([x[0] for x in f] or [np.zeros(0, np.int64)]),
                                         np.concatenate([x[1] for x in f] or [np.zeros(0)]), np.array([len(x[0]) for x in f], np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[2] for x in f], pa.int64()),
-                                              pa.array(p.tolist(), pa.list_(pa.float64()))], ["id", "row", "n", "p"])
+                                              pa.array(p.tolist(), pa.list_(pa.float64())), b.column(3)], ["id", "row", "n", "p", "draw"])
 
-    schema = own.select("id", "row").schema.add("n", "long").add("p", T.ArrayType(T.DoubleType()))
+    schema = own.select("id", "row").schema.add("n", "long").add("p", T.ArrayType(T.DoubleType())).add("draw", "long")
     return own.mapInArrow(run, schema)
 
 
@@ -201,9 +200,9 @@ def _newton(table: DataFrame, steps: list[list[float]], start: np.ndarray, aim:
     return steps
 
 
-def copies(id_: Column, r: Column) -> Column:
-    """The rate as a whole number of copies whose mean is the rate; the fraction is drawn by the id's hash."""
-    u = F.pmod(F.xxhash64(id_, F.lit("copies")), F.lit(1 << 30).cast("long")) / float(1 << 30)
+def copies(draw: Column, r: Column) -> Column:
+    """The rate as a whole number of copies whose mean is the rate; the fraction is drawn by the hash of ``draw``."""
+    u = F.pmod(F.xxhash64(draw, F.lit("copies")), F.lit(1 << 30).cast("long")) / float(1 << 30)
     return (F.floor(r) + (u < r - F.floor(r)).cast("long")).cast("long")
 
 
@@ -216,12 +215,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict = TARGETS, volume: flo
     there is no ``row`` and the written ones are used.
 
     Null and empty texts have no words: they get a rate like any other and weigh nothing. Rows
-    with a null id and repeated rows are mixed like others; column names of ``docs`` cannot
+    with a null id and repeated rows are mixed like others, each drawn by its id and text, so that only rows equal
+    in both are drawn alike; column names of ``docs`` cannot
     clash, as its rows come whole in ``row``. An empty table gives no rows.
     """
     model = fit(docs, labels, label, domains, id_col=id_col, text_col=text_col)
     scored = with_posteriors(docs, model, id_col, text_col)
-    narrow = saved(scored.select("id", "n", "p"), "mixing")
+    narrow = saved(scored.select("id", "n", "p", "draw"), "mixing")
     steps = fit_rates(narrow, targets, volume)
     out = (scored if with_rows else narrow).withColumn("rate", rate(F.col("p"), steps))
-    return out.withColumn("copies", copies(F.col("id"), F.col("rate"))), list(targets)
+    return out.withColumn("copies", copies(F.col("draw"), F.col("rate"))).drop("draw"), list(targets)

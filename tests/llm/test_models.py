@@ -364,6 +364,9 @@ def test_mixing(spark):
     assert {r.n for r in got if r.id in (900, 901)} == {0}
     narrow, _ = mixing.mix(docs, lab, with_rows=False)
     assert sorted(((r.id, r.n, r.copies) for r in narrow.collect()), key=str) == sorted(((r.id, r.n, r.copies) for r in got), key=str)
+    same = spark.range(2000).select(F.lit(None).cast("long").alias("i"), F.concat(F.lit("t"), "id").alias("t"))
+    drawn = same.select(mixing.copies(F.xxhash64("i", "t"), F.lit(1.5)).alias("c")).groupBy().avg("c").first()[0]
+    assert abs(drawn - 1.5) < 0.06  # rows without an id are drawn apart
     out, _ = mixing.mix(docs.filter("false"), lab)
     assert out.collect() == []
     named = docs.withColumn("doc_id", F.format_string("%05d", "doc_id")), lab.withColumn("doc_id", F.format_string("%05d", "doc_id"))
