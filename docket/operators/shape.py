@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docket.functions.scan import dealt
 from docket.functions.text import ci
 
 from docket.operators.gaps import expected_grid
@@ -96,10 +97,17 @@ def role_views(rows: DataFrame, roles: Sequence[tuple[str, Column, Column]], mea
 
 
 def entity_extract(facts: DataFrame, lookups: Sequence[tuple[DataFrame, Column, str]],
-                   cols: Sequence[str]) -> DataFrame:
-    """Distinct wide extract over a star join (O-33); ``lookups``: (dim, condition, how)."""
+                   cols: Sequence[str], deal_by: str | None = None) -> DataFrame:
+    """Distinct wide extract over a star join (O-33); ``lookups``: (dim, condition, how).
+
+    Before the last lookup the facts are dealt by ``deal_by``, into partitions whose number grows
+    with the facts. If the last condition equates it with one of ``cols``, join and distinct both
+    work on these partitions: no wide row is shuffled, and a task's memory does not grow with the table.
+    """
     x = facts
-    for dim, cond, how in lookups:
+    for k, (dim, cond, how) in enumerate(lookups):
+        if deal_by and k == len(lookups) - 1:
+            x = dealt(x, facts.count(), deal_by)
         x = x.join(dim, cond, how)
     return x.select(*cols).distinct()
 

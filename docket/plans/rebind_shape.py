@@ -154,11 +154,11 @@ def q_entity_extract(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey"])
     n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
     p = read_table(spark, sf, "part", ["p_partkey", "p_type"])
-    return S.entity_extract(li, [(o, F.col("l_orderkey") == F.col("o_orderkey"), "inner"),
-                                 (c, F.col("o_custkey") == F.col("c_custkey"), "inner"),
-                                 (n, F.col("c_nationkey") == F.col("n_nationkey"), "inner"),
-                                 (p, F.col("l_partkey") == F.col("p_partkey"), "inner")],
-                            ["o_orderkey", "c_name", "n_name", "p_type", "l_returnflag"])
+    # customer and nation are looked up once an order, not once a line
+    orders = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    return S.entity_extract(li, [(p, F.col("l_partkey") == F.col("p_partkey"), "inner"),
+                                 (orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")],
+                            ["o_orderkey", "c_name", "n_name", "p_type", "l_returnflag"], "l_orderkey")
 
 
 @register("extract_recent", """
