@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 
+from docket.functions.scan import dealt
 from docket.operators import measures as M
 from docket.operators.events import size_deadline
 from docket.plans.rebind_events import CALENDAR_SQL
@@ -166,14 +167,12 @@ def q_obligation_balance(spark, sf):
     li = read_table(spark, sf, "lineitem", ["l_partkey", "l_suppkey", "l_shipdate", "l_quantity",
                                             "l_returnflag", "l_linestatus"])
     p = read_table(spark, sf, "part", ["p_partkey", "p_brand"])
-    # aggregate lines to (part, supplier, year, class) before the part join
-    pre = (li.withColumn("year", F.year("l_shipdate"))
-             .groupBy("l_partkey", "l_suppkey", "year", "l_linestatus", "l_returnflag")
-             .agg(F.sum("l_quantity").alias("q")))
-    x = pre.join(p, pre.l_partkey == p.p_partkey)
+    rows = li.filter(F.col("l_linestatus").isin("O", "F")).withColumn("year", F.year("l_shipdate"))
     keys = ["l_suppkey", "p_brand", "year"]
-    q = lambda status, flag=None: F.when((F.col("l_linestatus") == status) & (F.lit(flag is None) | (F.col("l_returnflag") == flag)), F.col("q"))
-    return M.obligation_balance(x.filter(F.col("l_linestatus").isin("O", "F")), keys, q("O"), q("F", "A"), q("F", "N"))
+    # lines hardly ever share part, supplier and year: no aggregate before the join, and one by key on partitions of a bounded size after it
+    x = dealt(rows.join(p, F.col("l_partkey") == F.col("p_partkey")), li.count(), *keys)
+    q = lambda status, flag=None: F.when((F.col("l_linestatus") == status) & (F.lit(flag is None) | (F.col("l_returnflag") == flag)), F.col("l_quantity"))
+    return M.obligation_balance(x, keys, q("O"), q("F", "A"), q("F", "N"))
 
 
 @register("obligation_newest", """
