@@ -13,11 +13,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docket.functions.scan import null_safe_join
 from docket.functions.text import ci
 from docket.session import committed
 
 
 HELD, FILLED = "__held_{}", "__filled_{}"
+COMBINATION, GROUP = "__combination", "__group"
 
 
 def fold(text: str) -> str:
@@ -117,34 +119,42 @@ def breakdown_cube(rows: DataFrame, rules: Sequence[Rule], entity: Sequence[str]
     value, shown by its least spelling (T1); NULL and '' stay apart in groups. Missing quantities
     count as 0. At level ``total`` the change is 0 for both kinds when either side is 0.
 
-    ``rows`` is read once and reduced to the distinct combinations of the columns in use before any
-    rule is looked at; members and totals are two grouping sets of one aggregation.
+    ``rows`` is read once. Rules, spellings and the groups that rows end in are worked out on the distinct
+    combinations of the columns in use alone; rows are reduced to sums by entity and combination before
+    they are dealt to the groups, which are told apart by numbers until their texts are put back at the end.
     """
     used = sorted({c for r in rules for c in r.reads} | set(dims))
     only_blank = [c for c in used if c not in dims and not any(c in r.where for r in rules)]
     keep = [F.when(F.coalesce(ci(c), F.lit("")) != "", F.lit("x")).alias(c) if c in only_blank else F.col(c) for c in used]
-    base = rows.select(*entity, *keep, F.coalesce(v1, F.lit(0.0)).alias("s1"), F.coalesce(v2, F.lit(0.0)).alias("s2"))
-    base = committed(base.groupBy(*entity, *used).agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2")), "cube")
-    names = committed(_names(base, dims), "names")
+    base = committed(rows.select(*entity, *keep, F.coalesce(v1, F.lit(0.0)).alias("s1"), F.coalesce(v2, F.lit(0.0)).alias("s2")), "cube")
+    combined = committed(base.select(*used).distinct().withColumn(COMBINATION, F.monotonically_increasing_id()), "combinations")
+    names = committed(_names(combined, dims), "names")
 
-    tagged = by_rule(base, rules)
-    shown = tagged.select("rule", *entity, *[F.when(F.col("rule").isin([r.name for r in rules if d in r.by]), F.col(d)).alias(d) for d in dims], "s1", "s2")
+    tagged = by_rule(combined, rules)
+    shown = tagged.select("rule", COMBINATION, *[F.when(F.col("rule").isin([r.name for r in rules if d in r.by]), F.col(d)).alias(d) for d in dims])
     for d in dims:
         n = names.select(F.col("dim").alias("__dim"), F.col("folded").alias("__folded"), F.col("shown").alias("__shown"))
         shown = shown.join(n, (F.col("__dim") == F.lit(d)) & (F.col("__folded") == ci(d)), "left")
         shown = shown.withColumn(d, F.coalesce("__shown", d)).drop("__dim", "__folded", "__shown")
-    zero = _scaffold(names, rules, dims)
-    zero = zero.select("rule", *[F.lit(None).cast(base.schema[e].dataType).alias(e) for e in entity], *dims,
-                       F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2"), F.lit(True).alias("zero"))
-    both = shown.withColumn("zero", F.lit(False)).unionByName(zero)
-
     total = ["rule", *dims]
-    cube = both.groupingSets([["zero", *entity, *total], total], "zero", *entity, *total).agg(
-        F.round(F.sum("s1"), 2).alias("s1"), F.round(F.sum("s2"), 2).alias("s2"), F.grouping("zero").alias("over"))
-    level = F.when(F.col("over") == 1, "total").when(F.col("zero"), "scaffold").otherwise("member")
+    shown = committed(shown, "shown")
+    groups = committed(shown.select(*total).distinct().withColumn(GROUP, F.monotonically_increasing_id()), "groups")
+    links = committed(null_safe_join(shown, groups, total).select(COMBINATION, GROUP), "links")
+    zero = committed(_scaffold(names, rules, dims).select(*total).distinct(), "scaffold")
+
+    add = [F.sum("s1").alias("s1"), F.sum("s2").alias("s2")]
+    sums = committed(null_safe_join(base, combined, used).groupBy(*entity, COMBINATION).agg(*add), "sums")
+    member = sums.join(links, COMBINATION).groupBy(*entity, GROUP).agg(*add).join(groups, GROUP)
+    over = sums.groupBy(COMBINATION).agg(*add).join(links, COMBINATION).groupBy(GROUP).agg(*add).join(groups, GROUP)
+    nothing = zero.select(*total, F.lit(0.0).alias("s1"), F.lit(0.0).alias("s2"))
+    over = over.select(*total, "s1", "s2").unionByName(nothing).groupBy(*total).agg(*add)
+    no_entity = [F.lit(None).cast(base.schema[e].dataType).alias(e) for e in entity]
     s1, s2 = F.col("s1"), F.col("s2")
-    diff = F.when((F.col("over") == 1) & ((s1 == 0) | (s2 == 0)), F.lit(0.0)).otherwise(change(s1, s2, kind))
-    out = cube.select(level.alias("level"), F.col("rule").alias("breakdown"), *entity, *dims, "s1", "s2", diff.alias("change"))
+    show = lambda x, level, who: x.select(F.lit(level).alias("level"), F.col("rule").alias("breakdown"), *who, *dims,
+                                          F.round(s1, 2).alias("s1"), F.round(s2, 2).alias("s2"))
+    own = show(member, "member", entity).unionByName(show(nothing, "scaffold", no_entity)).withColumn("change", change(s1, s2, kind))
+    every = show(over, "total", no_entity).withColumn("change", F.when((s1 == 0) | (s2 == 0), F.lit(0.0)).otherwise(change(s1, s2, kind)))
+    out = own.unionByName(every)
     return out.withColumn("arrow", F.when(F.col("change") >= upper, "up").when(F.col("change") <= lower, "down").otherwise("flat"))
 
 
