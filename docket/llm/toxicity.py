@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from itertools import chain as joined
 
 import numpy as np
 import pyarrow as pa
@@ -105,12 +106,12 @@ class Scorer(dict):
         """Toxic minus ordinary log-probability of each word; words by text."""
         n = np.array([len(w) for w in each], np.int64)
         there = set().union(*each)
-        new = there.difference(self)
+        new = [w for w in there if w not in self]  # set.difference would walk all the words remembered
         if len(self) + len(new) > CACHED_WORDS:
             self.clear()
             new = there
         self.learn(sorted(new))
-        return self.known[np.fromiter((self[w] for ws in each for w in ws), np.int64, int(n.sum()))], n
+        return self.known[np.fromiter(map(self.__getitem__, joined.from_iterable(each)), np.int64, int(n.sum()))], n
 
     def features(self, texts: list[str | None]) -> np.ndarray:
         """By text: 1, the whole text's ratio per word, that of the most toxic stretch of each
